@@ -20,7 +20,13 @@ def profile_dataset(orders: DataFrame, top: int = 5) -> DataFrame:
         "stack(3, 'rows', n_rows, 'columns', "
         f"cast({len(orders.columns)} as bigint), 'customers', customers) as (metric, value)"
     )
-    best = per_customer.where(F.col("customer_id").isNotNull()).orderBy(F.desc("n"), "customer_id").limit(top)
+    # NULL is no customer. It is dropped behind the limit: a filter in front would be pushed
+    # into the scan, and the table of this branch could not be shared with the others.
+    best = (
+        per_customer.orderBy(F.col("customer_id").isNull(), F.desc("n"), "customer_id")
+        .limit(top)
+        .where(F.col("customer_id").isNotNull())
+    )
     countries = base.groupBy("country").agg(F.sum("n").alias("n"))
     return (
         totals.select("metric", F.lit("").alias("item"), F.coalesce("value", F.lit(0)).alias("value"))

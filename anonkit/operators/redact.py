@@ -21,23 +21,15 @@ from anonkit.functions.text import (
 
 
 def redact_column(df: DataFrame, column: str, output: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Add ``output``: ``column`` with every rule applied to its whole text.
-
-    One projection per rule, so that a rule can be skipped for the texts its
-    ``needs`` rule out. Spark keeps the projections apart because each reads
-    the one before more than once, and runs them in one generated loop.
-    """
-    df = df.withColumn(output, F.col(column))
-    for rule in rules:
-        current = F.col(output)
-        possible = rule.may_match(current)
-        changed = rule.applied_to(current)
-        df = df.withColumn(output, changed if possible is None else F.when(possible, changed).otherwise(current))
-    return df
+    """Add ``output``: the whole text of ``column`` after all rules."""
+    return df.withColumn(output, redact_rules(F.col(column), rules))
 
 
 def redacted_note(note: Column) -> Column:
-    """Known values of the row first, then the rules; NULL for a missing or empty note."""
+    """The note without the known values of its row and without what the rules find.
+
+    NULL for a missing or empty note.
+    """
     return F.when(note != "", redact_rules(redact_known_values(note)))
 
 
@@ -52,9 +44,10 @@ def redact_notes(orders: DataFrame, note: str = "customer_notes", done: str = "c
     A note whose redaction gives NULL stays pending; its raw text is never
     passed on in its place.
     """
-    earlier = F.col(done) if done in orders.columns else F.lit(None).cast("string")
-    result = F.when(pending(F.col(note), earlier), redacted_note(F.col(note))).otherwise(earlier)
-    return orders.withColumn(done, result).drop(note)
+    redacted = redacted_note(F.col(note))
+    if done in orders.columns:
+        redacted = F.when(pending(F.col(note), F.col(done)), redacted).otherwise(F.col(done))
+    return orders.withColumn(done, redacted).drop(note)
 
 
 def label_counts(df: DataFrame, column: str, by: list[str]) -> DataFrame:
