@@ -37,4 +37,5 @@ def sf_dir():
 def orders(spark, sf_dir):
     from anonkit.sources.orders import orders_flat
 
-    return orders_flat(spark, sf_dir).cache()
+    # not cached: Spark would use the cache in the plans of all other tests
+    return orders_flat(spark, sf_dir)

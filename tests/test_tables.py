@@ -142,7 +142,7 @@ def test_growth_forms_agree(orders):
 
 def test_generated_orders(spark, sf_dir):
     customers = tables.read_test_table(spark, sf_dir, "customer")
-    df = gen_orders(customers, POLICY.as_of, "seed").cache()
+    df = gen_orders(customers, POLICY.as_of, "seed")
     assert df.columns == ORDERS_SCHEMA.names
     n, ids = df.agg(F.count("*"), F.countDistinct("order_id")).first()
     assert n == ids and n > 150
