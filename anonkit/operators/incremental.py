@@ -27,10 +27,14 @@ def pending_rows(
     finished: DataFrame | None = None,
     key: str = "order_id",
 ) -> DataFrame:
-    """Rows with a note and no result, neither in the ``done`` column nor, by key, in ``finished``."""
+    """Rows with a note and no result, neither in the ``done`` column nor, by key, in ``finished``.
+
+    ``finished`` is made distinct by the key the join needs anyway, so a key
+    that was logged many times is one row when it is shuffled.
+    """
     rows = add_column_if_missing(df, done)
     rows = rows.where(pending(F.col(note), F.col(done)))
-    return rows if finished is None else rows.join(finished.select(key), key, "left_anti")
+    return rows if finished is None else rows.join(finished.select(key).distinct(), key, "left_anti")
 
 
 def pick_rows(df: DataFrame, probability: float, salt: str, key: str = "order_id", among: Column | None = None) -> DataFrame:

@@ -89,7 +89,7 @@ ANON = f"""anon AS (
 
 
 def mean(x: str, scale: int = 2) -> str:
-    return f"CAST(round(CAST(avg({x}) AS DECIMAL(18,6)), {scale}) AS DOUBLE)"
+    return f"CAST(round(CAST(avg({x}) AS DECIMAL(28,10)), {scale}) AS DOUBLE)"
 
 
 def number(x: str) -> str:
@@ -97,7 +97,7 @@ def number(x: str) -> str:
 
 
 def percent(part: str, whole: str) -> str:
-    return f"CAST(round(CAST(({part}) * 100.0 / nullif({whole}, 0) AS DECIMAL(18,6)), 2) AS DOUBLE)"
+    return f"CAST(round(CAST(({part}) * 100.0 / nullif({whole}, 0) AS DECIMAL(28,10)), 2) AS DOUBLE)"
 
 
 def percent_raw(part: str, whole: str) -> str:
@@ -118,18 +118,18 @@ VIEWS = {
     order_date, device_type, payment_method FROM anon)""",
     "behavior": """behavior AS (
   SELECT customer_id_hashed AS customer_hash, customer_segment, count(*) AS total_orders,
-    round(CAST(avg(order_value_random) AS DECIMAL(18,6)), 2) AS avg_order_value,
+    round(CAST(avg(order_value_random) AS DECIMAL(28,10)), 2) AS avg_order_value,
     sum(order_value_random) AS total_spent, min(order_date) AS first_order, max(order_date) AS last_order,
     date_diff('day', min(order_date)::DATE, max(order_date)::DATE) AS customer_lifespan_days
   FROM anon GROUP BY ALL)""",
     "demographic": """demographic AS (
   SELECT gender, country, age_range, product_category, count(*) AS n_orders,
-    round(CAST(avg(order_value_random) AS DECIMAL(18,6)), 2) AS avg_order_value,
+    round(CAST(avg(order_value_random) AS DECIMAL(28,10)), 2) AS avg_order_value,
     sum(order_value_random) AS total_revenue
   FROM anon GROUP BY ALL)""",
     "product": """product AS (
   SELECT product_category, device_type, payment_method, count(*) AS n_orders,
-    round(CAST(avg(order_value_random) AS DECIMAL(18,6)), 2) AS avg_order_value,
+    round(CAST(avg(order_value_random) AS DECIMAL(28,10)), 2) AS avg_order_value,
     min(order_value_random) AS min_order_value, max(order_value_random) AS max_order_value,
     sum(order_value_random) AS total_revenue
   FROM anon GROUP BY ALL)""",

@@ -67,7 +67,7 @@ SQL = {
     ),
     "noise_diff_pct": on_orders(
         f"""SELECT order_id, {number("v")} AS order_value_eur, {number("n")} AS noised_value,
-  CAST(round(CAST((n - v) * 100.0 / v AS DECIMAL(18,6)), 2) AS DOUBLE) AS difference_percent
+  CAST(round(CAST((n - v) * 100.0 / v AS DECIMAL(28,10)), 2) AS DOUBLE) AS difference_percent
 FROM (SELECT order_id, order_value_eur AS v, {NOISED} AS n FROM orders_flat)"""
     ),
     "truncate_ip_prefix": _column(

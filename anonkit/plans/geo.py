@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anonkit.functions import money
@@ -10,8 +10,9 @@ from anonkit.functions import money
 _VALUE = "order_value"
 
 
-def _month():
-    return F.date_format(F.col("order_date"), "yyyy-MM").alias("month")
+def _month() -> Column:
+    # from the date: a time of day may not exist in the zone of the session
+    return F.date_format(F.col("order_date").cast("date"), "yyyy-MM").alias("month")
 
 
 def orders_per_payment(view: DataFrame) -> DataFrame:

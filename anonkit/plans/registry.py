@@ -89,10 +89,8 @@ def boundary(df: DataFrame) -> DataFrame:
             column = column.cast("double")
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint")
-        elif isinstance(kind, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            column = column.cast("string")
         return column.alias(field.name)
 
     return df.select(*[shown(f) for f in df.schema.fields])
