@@ -14,7 +14,7 @@ from anonkit.functions.text import (
     LABELS,
     RULES,
     Rule,
-    count_label,
+    labels_in,
     redact_known_values,
     redact_rules,
 )
@@ -51,13 +51,25 @@ def redact_notes(orders: DataFrame, note: str = "customer_notes", done: str = "c
 
 
 def label_counts(df: DataFrame, column: str, by: list[str]) -> DataFrame:
-    """Per group and label: how many texts got the label, and how many times."""
-    redacted = redact_column(df.select(*by, column), column, "_redacted")
-    hits = redacted.select(
+    """Per group and label: how often it was put in, and into how many texts.
+
+    Labels that the text held before are not counted. A text that redaction
+    left as it was is not searched.
+    """
+    changed = redact_column(df.select(*by, column), column, "_redacted").select(
+        *by, column, "_redacted", (F.col("_redacted") != F.col(column)).alias("_changed")
+    )
+    found = changed.select(
         *by,
-        *[(count_label(F.col("_redacted"), lb) - count_label(F.col(column), lb)).alias(lb[1:-1]) for lb in LABELS],
+        F.when(F.col("_changed"), labels_in(F.col("_redacted"))).alias("_after"),
+        F.when(F.col("_changed"), labels_in(F.col(column))).alias("_before"),
     )
-    names = [lb[1:-1] for lb in LABELS]
+
+    def count(labels: str, label: str) -> Column:
+        return F.coalesce(F.array_size(F.filter(labels, lambda x: x == label)), F.lit(0)).cast("bigint")
+
+    names = [label[1:-1] for label in LABELS]
+    hits = found.select(*by, *[(count("_after", lb) - count("_before", lb)).alias(n) for n, lb in zip(names, LABELS)])
     sums = [F.sum(n).alias(f"{n}_hits") for n in names]
     texts = [F.count_if(F.col(n) > 0).alias(f"{n}_texts") for n in names]
     stacked = ", ".join(f"'[{n}]', {n}_hits, {n}_texts" for n in names)

@@ -54,10 +54,10 @@ class Inputs:
 
     def texts(self) -> DataFrame:
         """All free text: documents, conversation turns and order notes."""
-        documents = self.table("documents").select(
+        documents = tables.spread(self.table("documents").select("doc_id", "lang", "text")).select(
             F.lit("document").alias("kind"), F.col("doc_id").cast("string").alias("text_id"), "lang", "text"
         )
-        turns = self.table("conversations").select(
+        turns = tables.spread(self.table("conversations").select("conv_id", "turn", "text")).select(
             F.lit("conversation").alias("kind"),
             F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("text_id"),
             F.lit("unknown").alias("lang"),

@@ -109,6 +109,11 @@ def test_no_known_value_survives(orders):
     assert all(r.notes_with_value > 0 for r in rows)
 
 
-def test_count_label(spark):
-    df = spark.createDataFrame([("[ID] and [ID]",), ("none",), (None,)], "t string")
-    assert [r[0] for r in df.select(text.count_label(F.col("t"), "[ID]")).collect()] == [2, 0, 0]
+def test_label_counts_leave_out_labels_that_were_there(spark):
+    rows = [("x", "mail a@b.example or [EMAIL]"), ("x", "[EMAIL] [ID]"), ("x", None), ("y", "CUST-123456 CUST-234567")]
+    got = redact.label_counts(spark.createDataFrame(rows, "g string, t string"), "t", ["g"])
+    assert {(r.g, r.label): (r.hits, r.texts) for r in got.collect() if r.hits} == {
+        ("x", "[EMAIL]"): (1, 1),
+        ("y", "[ID]"): (2, 1),
+    }
+    assert got.count() == 2 * len(text.LABELS)
