@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base: str | None = None
-
 
 def shared_base(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
-
-    Only a local session, which has no other machines, may do without: it gets
-    a temporary folder. A cluster without the setting is an error, because
-    files on one machine are lost with it.
-    """
-    global _local_base
+    """The folder that all executors share: ``spark.checkpoint.dir``, else a subfolder of the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_base is None:
-        _local_base = tempfile.mkdtemp(prefix="anonkit-")
-    return _local_base
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/anonkit-scratch"
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -203,9 +203,7 @@ def test_shared_folder_comes_from_the_session(spark):
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
 
 
-def test_cluster_without_shared_folder_is_an_error():
-    cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077")
-    )
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_base(cluster)
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    settings = {"spark.sql.warehouse.dir": "file:/shared/warehouse"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    assert shared_base(session) == "file:/shared/warehouse/anonkit-scratch"
