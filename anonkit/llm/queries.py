@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from anonkit.llm import token_counts
+from anonkit.llm import packing, simhash, token_counts
 from anonkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
+    "op6_simhash": op6_simhash,
     "op10_token_counts": op10_token_counts,
 }
 
