@@ -122,3 +122,15 @@ def quiet_tokenizers() -> None:
 
 
 __all__ = ["F", "map_rows", "own_columns", "pa_schema", "quiet_tokenizers", "table", "tokenizer_path", "written"]
+
+
+# Byte to byte: A-Z become a-z; a-z, digits and all bytes of non-ASCII characters stay; the rest parts words.
+_WORD_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+    for b in range(256)
+)
+
+
+def word_bytes(text: str | None) -> list[bytes]:
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z in lower case, in UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
