@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from anonkit.llm import packing, simhash, token_counts
+from anonkit.llm import decontaminate, packing, simhash, token_counts, toxicity
 from anonkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return documents.select(
+        "doc_id", (F.pmod(crc, F.lit(4)) == 2).alias("held_out"), toxicity.score_column(model, "text").alias("score")
+    ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("item_ids")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -25,6 +40,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_decontaminate": op2_decontaminate,
     "op4_packing": op4_packing,
     "op6_simhash": op6_simhash,
     "op10_token_counts": op10_token_counts,
