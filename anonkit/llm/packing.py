@@ -16,6 +16,7 @@ table gives no rows; other columns have no effect.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from itertools import filterfalse
@@ -25,23 +26,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from anonkit.llm.common import pa_schema, quiet_tokenizers, tokenizer_path
+from anonkit.llm.token_counts import RankMerger
 
-_MEMO_PIECES = 500_000
+# Fixed value: the pattern of the vocabulary's pre-tokens.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+_MEMO_PIECES = 700_000
+_PLAIN_BELOW = "\u0250"  # Latin letters up to here are composed already, and lower case is a matter of each alone
 _WINDOWS_PER_PARTITION = 1 << 40
 
 
 class PieceTokenizer:
-    """Ids of whole texts by the tokenizer library, for vocabularies that drop white space.
+    """Ids of whole texts as the tokenizer library gives them, for vocabularies that drop white space.
 
     White space only parts pre-tokens, so a text's ids are those of its pieces between spaces, one after
-    another. Each distinct piece goes through the library once; a bounded memo holds its ids.
+    another, and a bounded memo holds the ids of each distinct piece. Pieces of plain Latin text are merged
+    in bulk, as normalization does nothing but lower their case; all others go through the library.
     """
 
     def __init__(self, path: str, memo_pieces: int = _MEMO_PIECES):
         quiet_tokenizers()
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as source:
+            self.merger = RankMerger.from_model(json.load(source)["model"])
+        self.pre_token = regex.compile(PRE_TOKEN)
         self.memo_pieces = memo_pieces
         self._forget()
 
@@ -51,14 +62,31 @@ class PieceTokenizer:
         self.start = np.zeros(1, np.int64)
         self.length = np.zeros(1, np.int64)
 
-    def _learn(self, pieces: list[str]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        length = np.array([len(i) for i in made], np.int64)
-        ids = np.fromiter((i for one in made for i in one), np.int32, int(length.sum()))
-        start = len(self.ids) + np.cumsum(length) - length
-        self.place.update(zip(pieces, range(len(self.length), len(self.length) + len(pieces)), strict=True))
-        self.ids = np.concatenate([self.ids, ids])
-        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, length])
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of new pieces; equal pre-tokens of several pieces are merged once."""
+        plain, other, found = [], [], []
+        for piece in pieces:
+            if max(piece) < _PLAIN_BELOW and "<|" not in piece and piece.isprintable():
+                plain.append(piece)
+                low = piece.lower()
+                found.append([low] if low.isalpha() else self.pre_token.findall(low))
+            else:
+                other.append(piece)
+        number: dict[str, int] = {}
+        owned = np.array([number.setdefault(w, len(number)) for words in found for w in words], np.int64)
+        length, ids = self.merger.merge([w.encode() for w in number], with_ids=True)
+        rows = ragged(ids, np.cumsum(length) - length, length, owned)
+        per_word = np.zeros(len(owned) + 1, np.int64)
+        np.cumsum(length[owned], out=per_word[1:])
+        ends = np.cumsum([len(words) for words in found], dtype=np.int64)
+        sizes = np.diff(per_word[ends], prepend=0) if len(ends) else ends
+        made = [e.ids for e in self.library.encode_batch_fast(other, add_special_tokens=False)]
+        sizes = np.concatenate([sizes, np.array([len(i) for i in made], np.int64)])
+        rest = np.array([i for one in made for i in one], np.int32)
+        start = len(self.ids) + np.cumsum(sizes) - sizes
+        self.place.update(zip([*plain, *other], range(len(self.length), len(self.length) + len(pieces)), strict=True))
+        self.ids = np.concatenate([self.ids, rows.astype(np.int32), rest])
+        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, sizes])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         rows = [(text or "").replace("\n", " ").split(" ") for text in texts]
@@ -68,17 +96,21 @@ class PieceTokenizer:
         for row in rows:
             missing.update(filterfalse(self.place.__contains__, row))
         if missing:
-            self._learn(sorted(missing))
+            self._learn(missing)
         out = []
         for row in rows:
             place = np.fromiter(map(self.place.__getitem__, row), np.int64, len(row))
-            length = self.length[place]
-            ends = np.cumsum(length)
-            shift = np.repeat(self.start[place] - (ends - length), length)
-            out.append(self.ids[shift + np.arange(len(shift))])
+            out.append(ragged(self.ids, self.start, self.length, place))
         return out
 
 
+def ragged(flat: np.ndarray, start: np.ndarray, length: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The given rows of a ragged array, one after the other."""
+    sizes = length[rows]
+    shift = np.repeat(start[rows] - np.cumsum(sizes) + sizes, sizes)
+    return flat[shift + np.arange(len(shift))]
+
+
 class SquaredLevels:
     """Counts of partly filled windows by fill level, and the windows that stand there."""
 

@@ -88,25 +88,37 @@ class PairTable:
 
 
 class RankMerger:
-    """Byte-pair merges of many sequences at once."""
+    """Byte-pair merges of many sequences at once; ``suffix`` marks the last symbol of a sequence."""
 
-    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         left, right, merged = (
             np.array([vocab[f(a, b)] for a, b in merges], np.int64)
             for f in (lambda a, b: a, lambda a, b: b, lambda a, b: a + b)
         )
         self.pairs = PairTable(left, right, merged)
         self.first = np.array([vocab[s] for s in byte_symbols()], np.int64)
+        self.final = np.array([vocab[s + suffix] for s in byte_symbols()], np.int64)
+
+    @classmethod
+    def from_model(cls, model: dict) -> RankMerger:
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        return cls(model["vocab"], merges, model.get("end_of_word_suffix") or "")
 
     def counts(self, pieces: list[bytes]) -> np.ndarray:
         """Number of symbols that survive in each piece."""
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        out = lengths.copy()
-        row = np.flatnonzero(lengths > 1)
-        if not len(row):
-            return out
-        flat = self.first[np.frombuffer(b"".join([pieces[i] for i in row]), np.uint8)]
-        length = lengths[row]
+        return self.merge(pieces)[0]
+
+    def merge(self, pieces: list[bytes], with_ids: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Surviving symbols of each piece: their number and, one piece after the other, their ids."""
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        out = np.zeros(len(pieces), np.int64)
+        row = np.flatnonzero(length)
+        done_flat: list[np.ndarray] = []
+        done_row: list[np.ndarray] = []
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        flat, length = self.first[data], length[row]
+        last = np.cumsum(length) - 1
+        flat[last] = self.final[data[last]]
         while len(row):
             start = np.zeros(len(row), np.int64)
             np.cumsum(length[:-1], out=start[1:])
@@ -115,6 +127,18 @@ class RankMerger:
             slot[start + length - 1] = -1  # the last symbol has no right neighbour in its own sequence
             rank = np.where(slot >= 0, self.pairs.ranks[slot], _NO_RANK)
             lowest = np.minimum.reduceat(rank, start)
+            done = lowest == _NO_RANK
+            if done.any():
+                out[row[done]] = length[done]
+                stays = np.repeat(~done, length)
+                if with_ids:
+                    done_flat.append(flat[~stays])
+                    done_row.append(np.repeat(row[done], length[done]))
+                flat, rank, slot, lowest = flat[stays], rank[stays], slot[stays], lowest[~done]
+                row, length = row[~done], length[~done]
+                if not len(row):
+                    break
+                start = np.cumsum(length) - length
             place = np.flatnonzero((rank == np.repeat(lowest, length)) & (rank < _NO_RANK))
             fresh = np.ones(len(place), bool)
             fresh[1:] = place[1:] != place[:-1] + 1
@@ -124,11 +148,10 @@ class RankMerger:
             keep = np.ones(len(flat), bool)
             keep[place + 1] = False
             length = np.add.reduceat(keep.astype(np.int64), start)
-            done = (lowest == _NO_RANK) | (length == 1)
-            out[row[done]] = length[done]
-            keep &= ~np.repeat(done, np.diff(np.append(start, len(flat))))
-            flat, row, length = flat[keep], row[~done], length[~done]
-        return out
+            flat = flat[keep]
+        if not with_ids or not done_flat:
+            return out, np.zeros(0, np.int64)
+        return out, np.concatenate(done_flat)[np.argsort(np.concatenate(done_row), kind="stable")]
 
 
 class TextCounter:
@@ -139,8 +162,7 @@ class TextCounter:
 
         with open(path, encoding="utf-8") as source:
             model = json.load(source)
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["model"]["merges"]]
-        self.merger = RankMerger(model["model"]["vocab"], merges)
+        self.merger = RankMerger.from_model(model["model"])
         self.pre_token = regex.compile(PRE_TOKEN)
         special = [t["content"] for t in model["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
