@@ -23,7 +23,8 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anonkit.llm.common import map_rows, word_bytes
@@ -211,18 +212,22 @@ def drop_contaminated(
     """The documents without any hit; a filter, so all columns stay."""
     kept = docs
     for built in benchmark_blocks(items, item_key, item_text, block_bytes):
-        block = docs.sparkSession.sparkContext.broadcast(built)
+        kept = kept.where(_clean_column(docs.sparkSession.sparkContext.broadcast(built), F.col(text), slice_rows))
+    return kept
 
-        @F.arrow_udf("boolean")
-        def clean(texts: pa.Array, block=block) -> pa.Array:
-            values, out = texts.to_pylist(), []
-            for at in range(0, len(values), slice_rows):
-                found = block.value.match([word_bytes(t) for t in values[at : at + slice_rows]])[1]
-                out += [not f for f in found]
-            return pa.array(out, pa.bool_())
 
-        kept = kept.where(clean(F.col(text)))
-    return kept
+def _clean_column(block: Broadcast, text: Column, slice_rows: int) -> Column:
+    """Whether a text has no hit in one block."""
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        values, out = texts.to_pylist(), []
+        for at in range(0, len(values), slice_rows):
+            found = block.value.match([word_bytes(t) for t in values[at : at + slice_rows]])[1]
+            out += [not f for f in found]
+        return pa.array(out, pa.bool_())
+
+    return clean(text)
 
 
 def items_digest(item_ids: list[str]) -> str:

@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anonkit.llm import decontaminate, packing, simhash, token_counts, toxicity
+from anonkit.llm import decontaminate, packing, quality, simhash, token_counts, topk, toxicity, url_filters
 from anonkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url").drop("weight")
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -35,6 +44,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = documents.select("doc_id", quality.score_column(quality.fit(documents), "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -43,8 +58,11 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
+    "op7_url_filters": op7_url_filters,
+    "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_url_filters": url_filters.oracle_sql()}
