@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anonkit.llm import decontaminate, packing, quality, simhash, token_counts, topk, toxicity, url_filters
+from anonkit.llm import decontaminate, packing, quality, simhash, token_counts, topk, toxicity, url_filters, warc
 from anonkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url").drop("weight")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(spark, table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op7_url_filters": op7_url_filters,
+    "op8_warc": op8_warc,
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
 }
