@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from anonkit.llm import decontaminate, packing, quality, simhash, token_counts, topk, toxicity, url_filters, warc
+from anonkit.llm import (
+    decontaminate,
+    html_text,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    url_filters,
+    warc,
+)
 from anonkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +55,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("item_ids")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -61,6 +76,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
+    "op3_html_text": op3_html_text,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
