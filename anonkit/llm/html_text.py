@@ -6,8 +6,9 @@ from how its whole text is shared by the host's pages, and a presentation entrop
 styles it appears with. Text that differs from page to page makes a node important, text that is the same
 everywhere does not. Branches of low importance are removed from each page of the host, and so are elements
 whose tag or class names them as menus, page headers, footers, sidebars, notices, adverts, forms or comments.
-If the page marks its article or main part, the text is taken from there. A branch that holds over half of
-what is left of a page stays, so copies of one article on a host do not remove it.
+If the page marks its article or main part, the text is taken from there. A branch of low importance goes
+where the branch around it is important, and stays if it holds over half of what is left of the page, so
+copies of one article on a host do not remove it.
 
 Each page gives one row per style path, with hashes for text and child styles, so the merge is a plain
 aggregation that combines on the map side; a host of any size is never in one task. Only nodes on at least
@@ -215,8 +216,16 @@ class Page:
                 for path in set(block.paths):
                     size[path] += len(block.text)
             half = sum(len(b.text) for b in kept) / 2
-            drop = {p for p in unimportant if size[p] <= half}
-            kept = [b for b in kept if not drop.intersection(b.paths)]
+
+            def removed(paths: list[str]) -> bool:
+                above = ""
+                for path in paths:
+                    if path in unimportant and size[path] <= half and above not in unimportant:
+                        return True
+                    above = path
+                return False
+
+            kept = [b for b in kept if not removed(b.paths)]
         return "\n".join(b.text for b in kept)
 
 

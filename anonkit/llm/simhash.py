@@ -176,15 +176,15 @@ def near_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 def near_duplicates(prints: DataFrame, key: str) -> DataFrame:
     """``prints`` (``key``, ``fp``) with ``component_id``, the least ``key`` that a row can reach over links.
 
-    ``prints`` is read several times; pass a written table.
+    ``root`` tells components apart whose keys are all null. ``prints`` is read several times; pass a written table.
     """
     nodes = prints.groupBy("fp").agg(F.min(key).alias("least"))
     links = near_links(nodes.select("fp"))
     roots = connected_components(links, "a", "b").withColumnsRenamed({"node": "fp"})
     placed = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = placed.join(names, "root").select("fp", "component_id")
-    return prints.join(members, "fp").select(key, "fp", "component_id")
+    members = placed.join(names, "root").select("fp", "root", "component_id")
+    return prints.join(members, "fp").select(key, "fp", "root", "component_id")
 
 
 def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -203,9 +203,8 @@ def keep_one_per_group(df: DataFrame, key: str, text: str) -> DataFrame:
     own = own_columns(df)
     fp, of = own("fp"), own("key")
     found = near_duplicates(fingerprints(df, key, text), key)
-    kept = found.groupBy("component_id").agg(F.min_by("fp", F.struct(F.col(key).isNull(), F.col(key), "fp")).alias(fp))
-    kept = kept.select(F.col("component_id").alias(of), fp)
-    marked = df.withColumn(fp, fingerprint_column(text))
-    same = F.col(key).eqNullSafe(F.col(of)) & (marked[fp] == kept[fp])
-    joined = marked.join(kept, same).drop(of).drop(kept[fp])
-    return joined.dropDuplicates([key, fp]).select(*df.columns)
+    least = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "fp")).alias("least")
+    kept = found.groupBy("root").agg(least).select(F.col("least.key").alias(of), F.col("least.fp").alias(fp))
+    marked = df.withColumn(own("print"), fingerprint_column(text))
+    same = F.col(key).eqNullSafe(F.col(of)) & (F.col(own("print")) == F.col(fp))
+    return marked.join(kept, same).dropDuplicates([key, fp]).select(*df.columns)

@@ -12,8 +12,8 @@ bounded memory. Each gives at most k rows per query, which are ranked once more.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without id, take no
 part; shorter vectors are filled up with zeros; components beyond 32 bits after scaling are cut to 32 bits;
-rows that have the query's id are its own; a query that occurs repeatedly is answered once per distinct
-vector and keeps its best rows; ties go to the smaller id; an empty table gives no rows.
+rows that have the query's id are its own; a repeated row is a candidate as often as it occurs, but asked
+once; ties go to the smaller id; an empty table gives no rows; other columns have no effect.
 """
 
 from __future__ import annotations
@@ -196,5 +196,5 @@ def top_k(
     pairs = index.join(met, "block").repartition(min(blocks * groups, 4096), "block", "batch")
     found = pairs.select("rows", "asked").mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
