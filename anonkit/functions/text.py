@@ -20,10 +20,25 @@ from pyspark.sql import functions as F
 LABELS = ("[NAME]", "[EMAIL]", "[PHONE]", "[ADDRESS]", "[DOB]", "[ID]", "[CARD]", "[IP]")
 
 _START = r"(?<![0-9A-Za-z_])"
+_NOT_IN_WORD = r"(?<![\p{L}0-9_])"
 _END = r"(?![0-9A-Za-z_])"
 _LOCAL = r"[\p{IsLatin}0-9._%+-]"
 
 
+_WORD = r"\p{Lu}[\p{L}'-]*+"
+_DATE = r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:19|20)[0-9]{2})"
+
+# Words that make a date a birth date, kinds of streets, and particles inside names.
+BIRTH_WORDS = (
+    "born|birth|birthday|birthdate|date of birth|dob|geboren|geburtsdatum|née|né|naissance|nacida|nacido|nacimiento|geboortedatum"
+)
+STREETS = "Street|Road|Avenue|Lane|Square"
+STREETS_FIRST = "Calle|Avenida|Plaza|Paseo|Camino"
+STREET_ENDINGS = "straße|strasse|weg|platz|allee|gasse|straat|laan|plein|gracht|kade"
+STREETS_FRENCH = "rue|avenue|boulevard|place|chemin|allée|impasse|quai"
+PARTICLES = "de|del|della|da|dos|das|di|du|la|las|le|los|van|von|der|den|ten|ter|zu|y|e|bin|ibn"
+
+
 @dataclass(frozen=True)
 class Rule:
     """A pattern, its label, and a cheap test that every text it matches passes.
@@ -81,10 +96,11 @@ RULES = (
     Rule(
         "birth_date",
         "[DOB]",
-        r"(?=[0-9])" + _START + r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}"
-        r"|[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:19|20)[0-9]{2})" + _END,
-        hint=r"[0-9][/.-][0-9]",
+        r"(?<![0-9A-Za-z_\[])" + rf"((?i:{BIRTH_WORDS})[^0-9A-Za-z.;!?\n\[][^0-9.;!?\n\[]{{0,20}}){_DATE}" + _END,
+        hint=rf"(?i:{BIRTH_WORDS})",
+        keeps_group=True,
     ),
+    Rule("birth_date_or", "[DOB]", rf"(\[DOB\] (?:or|oder|ou|o|of|/) ){_DATE}" + _END, needs=("[DOB] ",), keeps_group=True),
     Rule(
         "phone_international",
         "[PHONE]",
@@ -101,14 +117,31 @@ RULES = (
     Rule(
         "address",
         "[ADDRESS]",
-        r"(?=[0-9])" + _START + r"[0-9]{1,4} (?:\p{Lu}[\p{L}']{1,40} ){1,3}(?:Street|Road|Avenue|Lane|Square)" + _END
-        + r"(?:, \p{Lu}[\p{L}]+)?",
-        hint=r"[0-9] \p{Lu}",
+        rf"(?=[0-9]){_START}[0-9]++[A-Za-z]? {_WORD} (?:(?!(?:{STREETS}){_END}){_WORD} )*+(?:{STREETS}){_END}(?:, {_WORD})?",
+        hint=rf"(?:{STREETS})",
+    ),
+    Rule(
+        "address_street_first",
+        "[ADDRESS]",
+        rf"{_NOT_IN_WORD}(?:{STREETS_FIRST}) (?:(?:de|del|la|las|los|el) )*+{_WORD}(?: (?:(?:de|del|la|las|los|el) )*+{_WORD})*+,? [0-9]++[A-Za-z]?{_END}",
+        hint=rf"(?:{STREETS_FIRST}) ",
+    ),
+    Rule(
+        "address_street_inside",
+        "[ADDRESS]",
+        rf"{_NOT_IN_WORD}\p{{Lu}}\p{{L}}*(?:{STREET_ENDINGS}) [0-9]++[A-Za-z]?{_END}",
+        hint=rf"(?:{STREET_ENDINGS}) [0-9]",
+    ),
+    Rule(
+        "address_number_first",
+        "[ADDRESS]",
+        rf"(?=[0-9]){_START}[0-9]++(?: bis| ter)?,? (?:{STREETS_FRENCH}) (?:(?:de|du|des|la|le|les) )*+(?:[dl]')?{_WORD}(?: {_WORD})*+",
+        hint=rf"[0-9rs],? (?:{STREETS_FRENCH}) ",
     ),
     Rule(
         "introduced_name",
         "[NAME]",
-        _START + r"([Mm]y name is )\p{Lu}[\p{L}'-]*+(?: \p{Lu}[\p{L}'-]*+)*+",
+        rf"{_START}([Mm]y name is ){_WORD}(?: (?:(?:{PARTICLES}) )*+{_WORD})*+",
         needs=("y name is ",),
         keeps_group=True,
     ),
@@ -116,7 +149,7 @@ RULES = (
     Rule(
         "passport",
         "[ID]",
-        _START + r"([Pp]assport(?: number| no[.]?)?:? )[A-Z]{0,2}[0-9]{6,8}" + _END,
+        _START + r"([Pp]assport(?: number| no[.]?)?:? )[A-Z]{0,2}[0-9]{6,}+" + _END,
         needs=("assport",),
         keeps_group=True,
     ),
@@ -162,15 +195,39 @@ def redact_rules(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return reduce(step, rules, text)
 
 
+def _as_token(value: Column) -> Column:
+    """Pattern for a value as a token of its own, with all its signs quoted.
+
+    Where the value begins or ends with a letter or digit, none may stand before or behind it, so a short value
+    never cuts another number or name. An order id is a token as a whole.
+    """
+    quoted = F.regexp_replace(value, r"([^\p{L}\p{N} ])", r"\\$1")
+    inside = r"[\p{L}\p{N}_]"
+    return F.concat(
+        F.lit(rf"(?:(?<!{inside})(?<!ORD-)|(?!{inside}))"), quoted, F.lit(rf"(?:(?!{inside})|(?<!{inside}))")
+    )
+
+
+def holds_token(text: Column, value: Column) -> Column:
+    """Whether ``value`` stands in ``text`` as a token of its own; false if it is missing or empty."""
+    return F.coalesce((value != "") & F.contains(text, value) & F.regexp_like(text, _as_token(value)), F.lit(False))
+
+
 def redact_known_values(text: Column, known: tuple[tuple[str, str], ...] = KNOWN_VALUE_LABELS) -> Column:
-    """Replace values that stand in other columns of the row.
+    """Replace values that stand in other columns of the row, each as a token of its own.
 
-    ``replace`` with a NULL search value would make the whole note NULL; an
-    empty one changes nothing.
+    Only a row whose text contains the value pays for its pattern. A missing or
+    empty value changes nothing.
     """
-    for column, label in known:
-        text = F.replace(text, F.coalesce(F.col(column), F.lit("")), F.lit(label))
-    return text
+
+    def without(text: Column, value: Column, label: str) -> Column:
+        def body(t: Column) -> Column:
+            found = (value != "") & F.contains(t, value)
+            return F.when(found, F.regexp_replace(t, _as_token(value), F.lit(label))).otherwise(t)
+
+        return _once(text, body)
+
+    return reduce(lambda current, known_value: without(current, F.col(known_value[0]), known_value[1]), known, text)
 
 
 def labels_in(text: Column) -> Column:

@@ -8,11 +8,13 @@ plain GROUP BY, which combines on the map side and spreads by value.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anonkit.functions import masks, money, noise
+from anonkit.sources.scratch import fresh_dir
 
 # Fixed value: groups with fewer rows than this are reported as rare.
 RARE_BELOW = 10
@@ -50,14 +52,19 @@ def mask_phone_by_country(orders: DataFrame) -> DataFrame:
 
 
 def audit_hash_determinism(orders: DataFrame, top: int = 15) -> DataFrame:
-    """Customers with several orders and their one hash, most orders first."""
+    """Customers with several orders, their hash, and whether all their rows have the same; most orders first.
+
+    Each row is hashed by itself, so a hash that depends on more than the id would show.
+    """
     return (
-        orders.groupBy("customer_id")
-        .agg(F.count("*").alias("orders"))
+        orders.select("customer_id", masks.hash_id(F.col("customer_id")).alias("hashed_id"))
+        .groupBy("customer_id")
+        .agg(F.count("*").alias("orders"), F.min("hashed_id").alias("hashed_id"), F.max("hashed_id").alias("_other"))
         .where(F.col("orders") > 1)
         .orderBy(F.desc("orders"), "customer_id")
         .limit(top)
-        .withColumn("hashed_id", masks.hash_id(F.col("customer_id")))
+        .withColumn("hashes", F.when(F.col("hashed_id") == F.col("_other"), 1).otherwise(2).cast("bigint"))
+        .drop("_other")
     )
 
 
@@ -226,23 +233,67 @@ def _noised(orders: DataFrame, salt: str) -> DataFrame:
     )
 
 
+def _middle_values(counted: DataFrame) -> DataFrame:
+    """The exact median of each series from a table of (series, value, n), in three narrowing steps.
+
+    Each step counts by leading digits, finds the digits that hold the middle rank, and goes on with their rows.
+    At most 10,000 counts of a series meet in one task, whatever the number of distinct amounts.
+    """
+    cents = (F.col("value") * 100).cast("bigint")
+    total = counted.groupBy("series").agg(F.sum("n").alias("total"))
+    side = F.explode(F.array(F.lit(0), F.lit(1))).alias("side")  # both middle ranks; one and the same for an odd count
+    ranks = total.select("series", F.floor((F.col("total") - 1) / 2).alias("low"), F.floor(F.col("total") / 2).alias("high"), side)
+    ranks = ranks.select("series", "side", F.when(F.col("side") == 0, F.col("low")).otherwise(F.col("high")).alias("rank"))
+    rows = counted.select("series", cents.alias("cents"), "n").join(F.broadcast(ranks.select("series", "side")), "series")
+    for unit in (10**8, 10**4, 1):
+        digits = F.floor(F.col("cents") / unit).alias("digits")
+        counts = rows.groupBy("series", "side", digits).agg(F.sum("n").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("series", "side").orderBy("digits"))
+        placed = counts.withColumn("upto", upto).join(F.broadcast(ranks), ["series", "side"])
+        held = placed.where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        # two rows for each series
+        chosen = held.select("series", "side", "digits", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+        ranks = chosen.select("series", "side", "rank")
+        rows = rows.withColumn("digits", digits).join(F.broadcast(chosen.drop("rank")), ["series", "side", "digits"]).drop("digits")
+    middle = rows.groupBy("series", "side").agg(F.min("cents").alias("cents"))
+    return middle.groupBy("series").agg((F.avg("cents") / 100).alias("median_value"))
+
+
 def noise_utility_total(orders: DataFrame, salt: str) -> DataFrame:
     """Count, mean, extremes, sum and median before and after the noise.
 
-    One scan: rows are counted per (series, value) on the map side, and the
-    statistics are formed from the counts. That leaves at most one row per
-    distinct amount in cents, which also bounds the state of the exact median.
+    One scan: rows are counted per (series, value) on the map side into a table, and all statistics are formed
+    from the counts.
     """
     values = _noised(orders, salt).selectExpr("stack(2, 'original', original, 'noised', noised) as (series, value)")
-    counted = values.where(F.col("value").isNotNull()).groupBy("series", "value").agg(F.count("*").alias("n"))
+    counts = values.where(F.col("value").isNotNull()).groupBy("series", "value").agg(F.count("*").alias("n"))
+    path = fresh_dir(orders.sparkSession, "amounts")
+    counts.write.parquet(path)
+    counted = orders.sparkSession.read.schema(counts.schema).parquet(path)
     weighted = F.sum(F.col("value") * F.col("n"))
-    return counted.groupBy("series").agg(
+    sums = counted.groupBy("series").agg(
         F.sum("n").alias("orders"),
         F.round(weighted / F.sum("n"), 2).alias("avg_value"),
         F.max("value").alias("max_value"),
         F.min("value").alias("min_value"),
         weighted.cast("decimal(20,2)").alias("total_value"),
-        F.percentile("value", 0.5, F.col("n")).alias("median_value"),
+    )
+    return sums.join(_middle_values(counted), "series")
+
+
+def noise_checks(orders: DataFrame, noise_of: Callable[[Column], Column], bound: float | None = None) -> DataFrame:
+    """Rows, rows whose noise is within ``bound``, and 1 if the mean deviation is close to 0, for random noise.
+
+    The noise is drawn once per row and used in one aggregation only.
+    """
+    value = F.col("order_value_eur").cast("double")
+    drawn = orders.select(value.alias("value"), noise_of(F.col("order_value_eur")).cast("double").alias("noised"))
+    change = F.col("noised") - F.col("value")
+    within = F.lit(True) if bound is None else F.abs(change) <= F.col("value") * bound + 0.0051
+    return drawn.agg(
+        F.count("*").alias("orders"),
+        F.count_if(within).alias("within_bound"),
+        (F.abs(F.avg(change / F.col("value"))) < 0.005).cast("bigint").alias("centered"),
     )
 
 

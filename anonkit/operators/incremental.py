@@ -49,10 +49,10 @@ def update_by_key(
     """``base`` with ``columns`` taken from ``updates`` where the key occurs there, NULL values included.
 
     Several updates of one key count as one: the one with the highest
-    ``latest_by``, else the greatest values. So no row is ever doubled.
+    ``latest_by``, among equal ones the greatest values. So no row is ever doubled.
     """
     values = F.struct(*[F.col(c) for c in columns])
-    chosen = F.max(values) if latest_by is None else F.max_by(values, F.col(latest_by))
+    chosen = F.max(values) if latest_by is None else F.max_by(values, F.struct(F.col(latest_by), *columns))
     single = updates.groupBy(F.col(key).alias("_key")).agg(chosen.alias("_new"))
     joined = base.join(single, F.col(key) == F.col("_key"), "left")
     return joined.select(

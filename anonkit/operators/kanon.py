@@ -21,8 +21,8 @@ LEVELS = {
 }
 
 
-def with_quasi_identifiers(orders: DataFrame, policy: Policy) -> DataFrame:
-    """Raw orders reduced to the person and the generalized attributes that could single them out."""
+def with_quasi_identifiers(orders: DataFrame, policy: Policy, *more: str) -> DataFrame:
+    """Raw orders reduced to the person, the generalized attributes that could single them out, and ``more`` columns."""
     return orders.select(
         "customer_id",
         "gender",
@@ -31,6 +31,7 @@ def with_quasi_identifiers(orders: DataFrame, policy: Policy) -> DataFrame:
         masks.age_range(F.col("birth_date"), policy.as_of, policy.age_width).alias("age_range"),
         masks.postal_prefix(F.col("postal_code"), policy.postal_keep).alias("postal_prefix"),
         masks.generalize_postal(F.col("postal_code"), policy.postal_keep).alias("region"),
+        *more,
     )
 
 

@@ -14,6 +14,7 @@ from anonkit.functions.text import (
     LABELS,
     RULES,
     Rule,
+    holds_token,
     labels_in,
     redact_known_values,
     redact_rules,
@@ -80,6 +81,33 @@ def label_counts(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     )
 
 
+def audit_redaction_precision(orders: DataFrame, truth: dict[str, Column], note: str = "customer_notes") -> DataFrame:
+    """Per label, for notes of which ``truth`` says how many values each holds: right, missed and false labels.
+
+    A false label stands on something that is not personal, such as an order date or a version.
+    """
+    notes = orders.where(F.col(note) != "")
+    expected = [count.alias(f"e{i}") for i, count in enumerate(truth.values())]
+    found = notes.select(*expected, labels_in(redacted_note(F.col(note))).alias("_found"))
+
+    def times(label: str) -> Column:
+        return F.array_size(F.filter("_found", lambda x: x == label))
+
+    measures, stacked = [], []
+    for i, label in enumerate(truth):
+        e, f = F.col(f"e{i}"), times(label)
+        measures += [
+            F.sum(e).alias(f"x{i}"),
+            F.sum(F.least(e, f)).alias(f"r{i}"),
+            F.sum(F.greatest(e - f, F.lit(0))).alias(f"m{i}"),
+            F.sum(F.greatest(f - e, F.lit(0))).alias(f"f{i}"),
+        ]
+        stacked.append(f"'{label}', x{i}, r{i}, m{i}, f{i}")
+    return found.agg(*measures).selectExpr(
+        f"stack({len(truth)}, {', '.join(stacked)}) as (label, expected, right_labels, missed, false_labels)"
+    )
+
+
 def audit_redaction(orders: DataFrame, note: str = "customer_notes") -> DataFrame:
     """Per label: notes that hold a value of their own row, and how many still show it.
 
@@ -91,7 +119,7 @@ def audit_redaction(orders: DataFrame, note: str = "customer_notes") -> DataFram
     text = redact_column(text, note, "_by_rules").withColumn("_redacted", redacted_note(F.col(note)))
 
     def visible(where: str, column: str) -> Column:
-        return F.count_if((F.col(column) != "") & F.contains(F.col(where), F.col(column)))
+        return F.count_if(holds_token(F.col(where), F.col(column)))
 
     measures = [
         visible(where, column).alias(f"{column}_{step}")

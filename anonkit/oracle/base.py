@@ -47,6 +47,13 @@ SELECT * EXCLUDE (o),
     WHEN 0 THEN 'Customer ' || full_name || ' called from ' || coalesce(phone, 'an unknown number') || ' about '
       || order_id || '.' || chr(10) || 'Reply to ' || coalesce(email, 'no address') || '; ship to '
       || street_address || '.'
+    WHEN 2 THEN 'Hello, my name is ' || full_name || ', born ' || coalesce(birth_date::VARCHAR, 'unknown') || '. Customer '
+      || customer_id || ', order ' || order_id || ' placed on ' || strftime(order_date, '%Y-%m-%d') || '.'
+    WHEN 6 THEN 'Passport number ' || printf('%09d', (o * 7919) % 1000000000) || ' checked, card 4465 7583 8288 ' || card_last4
+      || ', login from ' || ip_address || ', build 10.2.3.'
+    WHEN 10 THEN 'Deliver to Calle de Mayor ' || (1 + o % 90)::VARCHAR || ' or Hauptstraße ' || (1 + o % 300)::VARCHAR
+      || ', not to 12 Pieces.'
+    WHEN 12 THEN 'Order ' || order_id || ' shipped 2024-04-28, delivered 2024-05-01, version 3.10.2; invoice 1234567, 3 boxes.'
     WHEN 8 THEN 'The product quality was excellent, will buy again!'
     WHEN 4 THEN '' END AS customer_notes
 FROM f)"""

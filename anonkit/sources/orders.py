@@ -88,10 +88,37 @@ _ORDER = {
 _NOTES = """case o % 16
     when 0 then 'Customer ' || full_name || ' called from ' || coalesce(phone, 'an unknown number') || ' about '
         || order_id || '.\\n' || 'Reply to ' || coalesce(email, 'no address') || '; ship to ' || street_address || '.'
+    when 2 then 'Hello, my name is ' || full_name || ', born ' || coalesce(cast(birth_date as string), 'unknown')
+        || '. Customer ' || customer_id || ', order ' || order_id || ' placed on ' || date_format(order_date, 'yyyy-MM-dd') || '.'
+    when 6 then 'Passport number ' || lpad(cast((o * 7919) % 1000000000 as string), 9, '0') || ' checked, card 4465 7583 8288 '
+        || card_last4 || ', login from ' || ip_address || ', build 10.2.3.'
+    when 10 then 'Deliver to Calle de Mayor ' || cast(1 + o % 90 as string) || ' or Hauptstraße ' || cast(1 + o % 300 as string)
+        || ', not to 12 Pieces.'
+    when 12 then 'Order ' || order_id || ' shipped 2024-04-28, delivered 2024-05-01, version 3.10.2; invoice 1234567, 3 boxes.'
     when 8 then 'The product quality was excellent, will buy again!'
     when 4 then '' end"""
 
 
+def note_truth() -> dict[str, Column]:
+    """How many values of each label the note of an order holds, as the note forms above put them in."""
+    form = F.substring(F.col("order_id"), 5, 100).cast("bigint") % 16
+
+    def among(*forms: int, having: str | None = None) -> Column:
+        held = form.isin(*forms)
+        return (held if having is None else held & F.col(having).isNotNull()).cast("int")
+
+    return {
+        "[NAME]": among(0, 2),
+        "[EMAIL]": among(0, having="email"),
+        "[PHONE]": among(0, having="phone"),
+        "[ADDRESS]": among(0) + among(10) * 2,
+        "[DOB]": among(2, having="birth_date"),
+        "[ID]": among(2, 6),
+        "[CARD]": among(6),
+        "[IP]": among(6),
+    }
+
+
 def _named(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(e).alias(name) for name, e in expressions.items()]
 

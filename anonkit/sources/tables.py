@@ -21,17 +21,6 @@ def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
-
-    For heavy work on each row, such as pattern searches in texts: a few small
-    files would keep a few cores busy. A large scan has more splits than cores
-    and is passed on without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def full_refresh(df: DataFrame, path: str) -> None:
     """Replace all rows of the table at ``path``. Running it again gives the same table.
 

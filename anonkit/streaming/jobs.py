@@ -27,15 +27,19 @@ def run_files(
     checkpoint: str,
     schema: T.StructType = ORDERS_SCHEMA,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
 ) -> StreamingQuery:
     """Process the parquet files that arrived since the last run, then stop.
 
-    ``max_files_per_trigger`` bounds what is done again after a crash.
-    ``transform`` must keep no state.
+    By default one batch takes all files. ``max_bytes_per_trigger`` (such as
+    ``10t``) bounds what is done again after a crash; it should be many times
+    what the cluster reads at once. ``transform`` must keep no state.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     query = (
         transform(reader.parquet(source))
         .writeStream.format("parquet")
@@ -69,9 +73,9 @@ def redacted_notes_only(orders: DataFrame) -> DataFrame:
 
 
 def redact_notes_stream(
-    spark: SparkSession, source: str, sink: str, checkpoint: str, max_files_per_trigger: int = 1
+    spark: SparkSession, source: str, sink: str, checkpoint: str, max_bytes_per_trigger: str | None = None
 ) -> StreamingQuery:
-    """Redact the notes of order files, committing after every few files."""
+    """Redact the notes of order files, committing after every ``max_bytes_per_trigger``."""
     return run_files(
-        spark, redacted_notes_only, source, sink, checkpoint, max_files_per_trigger=max_files_per_trigger
+        spark, redacted_notes_only, source, sink, checkpoint, max_bytes_per_trigger=max_bytes_per_trigger
     )

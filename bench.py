@@ -41,7 +41,6 @@ HEADLINE = [
     "dm10_rank_lag",
     "ge07_monthly_revenue",
     "ge09_growth_first_last",
-    "ge09_growth_joined",
     "ge10_city_above_avg",
     "pp01_revenue_category",
     "pp10_running_total",

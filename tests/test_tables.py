@@ -74,13 +74,6 @@ def test_database_and_table(spark, orders, tmp_path):
         spark.catalog.setCurrentDatabase("default")
 
 
-def test_only_small_scans_are_spread(spark, tmp_path):
-    spark.range(0, 100, 1, 1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert tables.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 50)
-    assert tables.spread(many) is many
-
 
 def test_describe(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
