@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from anonkit.functions import money
 
+# Fixed value: the name of all other payment methods.
+_REST = "Resto"
+
 
 def _revenue_by(view: DataFrame, *keys) -> DataFrame:
     return view.groupBy(*keys).agg(money.total(F.col("total_revenue")).alias("revenue"))
@@ -62,7 +65,7 @@ def value_range(view: DataFrame) -> DataFrame:
     )
 
 
-def method_against_rest(view: DataFrame, method: str = "Klarna", rest: str = "Resto") -> DataFrame:
+def method_against_rest(view: DataFrame, method: str = "Klarna", rest: str = _REST) -> DataFrame:
     group = F.when(F.col("payment_method") == method, method).otherwise(rest).alias("payment_group")
     everything = F.sum("revenue").over(Window.partitionBy())
     return _revenue_by(view, group).select(

@@ -27,6 +27,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = ORDERS_SCHEM
     A field may hold newlines, so a file cannot be split: it is one task. Large
     data should come as many files, or be converted to parquet once. A bare
     empty field is NULL, a quoted one an empty string; see :func:`null_if_blank`.
+    A field that is exactly the control character 1 is read as NULL, too.
     """
     options = {**_FORMAT, "multiLine": "true", "mode": "FAILFAST", "nullValue": _NULL_MARK, "emptyValue": ""}
     return spark.read.schema(schema).options(**options).csv(path)

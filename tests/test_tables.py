@@ -92,6 +92,8 @@ def test_update_by_key(spark):
     assert latest.columns == base.columns
     assert sorted(map(tuple, latest.collect()), key=lambda r: r[2]) == [("1", "a", 1), ("2", "B2", 2), ("3", None, 3), (None, "n", 4)]
     assert incremental.update_by_key(base, updates, "k", ["v"]).count() == 4
+    tied = spark.createDataFrame([("1", v, 5) for v in ("p", "r", "q")], "k string, v string, t int")
+    assert {r.v for r in incremental.update_by_key(base, tied, "k", ["v"], "t").where("k = '1'").collect()} == {"r"}
 
 
 def test_pending_rows_and_added_column(spark):
