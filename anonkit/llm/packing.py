@@ -31,7 +31,7 @@ from anonkit.llm.token_counts import RankMerger
 # Fixed value: the pattern of the vocabulary's pre-tokens.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-_MEMO_PIECES = 700_000
+_MEMO_PIECES = 400_000
 _PLAIN_BELOW = "\u0250"  # Latin letters up to here are composed already, and lower case is a matter of each alone
 _WINDOWS_PER_PARTITION = 1 << 40
 

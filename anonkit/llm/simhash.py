@@ -184,27 +184,31 @@ def near_duplicates(prints: DataFrame, key: str) -> DataFrame:
     placed = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     members = placed.join(names, "root").select("fp", "root", "component_id")
-    return prints.join(members, "fp").select(key, "fp", "root", "component_id")
+    return prints.join(members, "fp").select(*prints.columns, "root", "component_id")
 
 
 def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Written table of ``key`` and ``fp``, read from ``df`` once."""
-    return written(df.select(key, fingerprint_column(text).alias("fp")), "fingerprints")
+    """Written table of ``key``, ``fp`` and ``body``, a hash of the whole text; ``df`` is read once."""
+    body = F.xxhash64(F.col(text)).alias("body")
+    return written(df.select(F.col(key).alias("key"), fingerprint_column(text).alias("fp"), body), "fingerprints")
 
 
 def simhash_components(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key``, fingerprint as 16 hex digits and component of every row."""
-    found = near_duplicates(fingerprints(df, key, text), key)
-    return found.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = near_duplicates(fingerprints(df, key, text), "key")
+    return found.select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one_per_group(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``df`` with one row of each component: the one with its least key."""
+    """``df`` with one row of each component: the one with its least key.
+
+    Rows are found again by key and text hash, natively; of rows that are equal in both, one stays.
+    """
     own = own_columns(df)
-    fp, of = own("fp"), own("key")
-    found = near_duplicates(fingerprints(df, key, text), key)
-    least = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "fp")).alias("least")
-    kept = found.groupBy("root").agg(least).select(F.col("least.key").alias(of), F.col("least.fp").alias(fp))
-    marked = df.withColumn(own("print"), fingerprint_column(text))
-    same = F.col(key).eqNullSafe(F.col(of)) & (F.col(own("print")) == F.col(fp))
-    return marked.join(kept, same).dropDuplicates([key, fp]).select(*df.columns)
+    body, of, kept_body = own("body"), own("key"), own("kept")
+    found = near_duplicates(fingerprints(df, key, text), "key")
+    least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "body")).alias("least")
+    kept = found.groupBy("root").agg(least).select(F.col("least.key").alias(of), F.col("least.body").alias(kept_body))
+    same = F.col(key).eqNullSafe(F.col(of)) & (F.col(body) == F.col(kept_body))
+    marked = df.withColumn(body, F.xxhash64(F.col(text)))
+    return marked.join(kept, same).dropDuplicates([key, body]).select(*df.columns)

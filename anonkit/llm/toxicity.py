@@ -36,7 +36,7 @@ PREFIXES = (3, 4, 5, 6)  # characters
 PRIOR = 4.0
 DRAG = 1.0
 THRESHOLD = 0.3
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 200_000
 
 
 def chain(word: str) -> list[str]:
