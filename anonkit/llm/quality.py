@@ -35,7 +35,7 @@ FALSE_ALARM = 0.002
 MISSED_KIND = 0.05
 GOOD, JUNK, SILENT = 1, 2, 0
 LABELLERS = ("bars", "signs", "repeats", "capitals", "sentence_ends", "variety", "letters", "word_length")
-_MEMO_WORDS = 500_000
+_MEMO_WORDS = 150_000
 _LETTERS, _DIGITS, _SAME = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(\W)\1+")
 
 
@@ -70,7 +70,7 @@ class TextShapes:
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.attributes = np.zeros((0, 6))
+        self.attributes = np.zeros((0, 6), np.float32)
         self.bucket = np.zeros(0, np.int64)
 
     def words(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -82,7 +82,7 @@ class TextShapes:
         if fresh:
             self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
             made = list(map(describe, fresh))
-            self.attributes = np.concatenate([self.attributes, np.array([m[1:] for m in made], float)])
+            self.attributes = np.concatenate([self.attributes, np.array([m[1:] for m in made], np.float32)])
             self.bucket = np.concatenate([self.bucket, np.array([zlib.crc32(m[0].encode()) for m in made], np.int64)])
         return [np.fromiter(map(self.place.__getitem__, row), np.int64, len(row)) for row in rows]
 
