@@ -70,7 +70,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, similarity=None)
 
 
 QUERIES: dict[str, Query] = {
