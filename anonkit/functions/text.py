@@ -32,6 +32,10 @@ _DATE = r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.-][0-9]{1,2}[/.-](
 BIRTH_WORDS = (
     "born|birth|birthday|birthdate|date of birth|dob|geboren|geburtsdatum|née|né|naissance|nacida|nacido|nacimiento|geboortedatum"
 )
+_BIRTH = rf"(?<![0-9A-Za-z_\[])(?i:{BIRTH_WORDS})(?![\p{{L}}0-9_])"
+_WHOLE_DATE = rf"(?<![0-9A-Za-z_]){_DATE}{_END}"
+# The rest of a sentence up to the next birth word, date or [DOB]; it stops there, so no text is read twice.
+_UP_TO_BIRTH_OR_DATE = rf"(?:(?!{_BIRTH}|{_WHOLE_DATE}|\[DOB\])(?:[^.;!?\n]|[.](?=\S)))*+"
 STREETS = "Street|Road|Avenue|Lane|Square"
 STREETS_FIRST = "Calle|Avenida|Plaza|Paseo|Camino"
 STREET_ENDINGS = "straße|strasse|weg|platz|allee|gasse|straat|laan|plein|gracht|kade"
@@ -96,11 +100,18 @@ RULES = (
     Rule(
         "birth_date",
         "[DOB]",
-        r"(?<![0-9A-Za-z_\[])" + rf"((?i:{BIRTH_WORDS})[^0-9A-Za-z.;!?\n\[][^0-9.;!?\n\[]{{0,20}}){_DATE}" + _END,
+        rf"({_BIRTH}{_UP_TO_BIRTH_OR_DATE}){_WHOLE_DATE}",
         hint=rf"(?i:{BIRTH_WORDS})",
         keeps_group=True,
     ),
     Rule("birth_date_or", "[DOB]", rf"(\[DOB\] (?:or|oder|ou|o|of|/) ){_DATE}" + _END, needs=("[DOB] ",), keeps_group=True),
+    Rule(
+        "birth_date_before",
+        "[DOB]",
+        # a birth word that has its own date behind it says nothing of the date before
+        rf"{_WHOLE_DATE}(?={_UP_TO_BIRTH_OR_DATE}{_BIRTH}(?!{_UP_TO_BIRTH_OR_DATE}\[DOB\]))",
+        hint=rf"(?i:{BIRTH_WORDS})",
+    ),
     Rule(
         "phone_international",
         "[PHONE]",
@@ -230,6 +241,15 @@ def redact_known_values(text: Column, known: tuple[tuple[str, str], ...] = KNOWN
     return reduce(lambda current, known_value: without(current, F.col(known_value[0]), known_value[1]), known, text)
 
 
+def redact_known_birth_date(text: Column, birth_date: Column) -> Column:
+    """Replace the row's birth date in its common forms. Only a text with its year pays for the pattern."""
+    year, month, day = (part(birth_date).cast("string") for part in (F.year, F.month, F.dayofmonth))
+    m, d = F.concat(F.lit("0?"), month), F.concat(F.lit("0?"), day)
+    forms = [F.concat_ws("[/.-]", *parts) for parts in ((year, m, d), (d, m, year), (m, d, year))]
+    pattern = F.concat(F.lit(r"(?<![0-9A-Za-z_])(?:"), F.concat_ws("|", *forms), F.lit(r")(?![0-9A-Za-z_])"))
+    return _once(text, lambda t: F.when(F.contains(t, year), F.regexp_replace(t, pattern, F.lit("[DOB]"))).otherwise(t))
+
+
 def labels_in(text: Column) -> Column:
     """All labels that stand in ``text``, in order, as an array; one search for all of them."""
     names = "|".join(label[1:-1] for label in LABELS)

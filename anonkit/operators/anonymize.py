@@ -44,7 +44,7 @@ def export_orders(orders: DataFrame, policy: Policy) -> DataFrame:
     Notes are redacted in the same pass, while the row still knows the name,
     address and numbers of its customer.
     """
-    redacted = redacted_note(F.col("customer_notes")).alias("customer_notes_anonymized")
+    redacted = redacted_note(F.col("customer_notes"), F.col("birth_date")).alias("customer_notes_anonymized")
     return orders.select(*treated_columns(policy), redacted).drop("customer_notes")
 
 

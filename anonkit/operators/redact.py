@@ -16,6 +16,7 @@ from anonkit.functions.text import (
     Rule,
     holds_token,
     labels_in,
+    redact_known_birth_date,
     redact_known_values,
     redact_rules,
 )
@@ -26,12 +27,13 @@ def redact_column(df: DataFrame, column: str, output: str, rules: tuple[Rule, ..
     return df.withColumn(output, redact_rules(F.col(column), rules))
 
 
-def redacted_note(note: Column) -> Column:
-    """The note without the known values of its row and without what the rules find.
+def redacted_note(note: Column, birth_date: Column | None = None) -> Column:
+    """The note without the known values of its row, its birth date if given, and without what the rules find.
 
     NULL for a missing or empty note.
     """
-    return F.when(note != "", redact_rules(redact_known_values(note)))
+    known = redact_known_values(note)
+    return F.when(note != "", redact_rules(known if birth_date is None else redact_known_birth_date(known, birth_date)))
 
 
 def pending(note: Column, done: Column) -> Column:
@@ -45,7 +47,7 @@ def redact_notes(orders: DataFrame, note: str = "customer_notes", done: str = "c
     A note whose redaction gives NULL stays pending; its raw text is never
     passed on in its place.
     """
-    redacted = redacted_note(F.col(note))
+    redacted = redacted_note(F.col(note), F.col("birth_date") if "birth_date" in orders.columns else None)
     if done in orders.columns:
         redacted = F.when(pending(F.col(note), F.col(done)), redacted).otherwise(F.col(done))
     return orders.withColumn(done, redacted).drop(note)

@@ -69,7 +69,8 @@ def anonymize_stream(
 
 def redacted_notes_only(orders: DataFrame) -> DataFrame:
     note = F.col("customer_notes")
-    return orders.where(note != "").select("order_id", redacted_note(note).alias("customer_notes_anonymized"))
+    birth_date = F.col("birth_date") if "birth_date" in orders.columns else None
+    return orders.where(note != "").select("order_id", redacted_note(note, birth_date).alias("customer_notes_anonymized"))
 
 
 def redact_notes_stream(
