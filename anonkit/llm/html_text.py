@@ -5,7 +5,11 @@ id and role, where elements of equal style under one parent are one node. A node
 from how its whole text is shared by the host's pages, and a presentation entropy, from the orders of child
 styles it appears with. Text that differs from page to page makes a node important, text that is the same
 everywhere does not. Branches of low importance are removed from each page of the host, and so are elements
-whose tag or class names them as menus, page headers, footers, sidebars, notices, adverts, forms or comments.
+whose tag or names say that they are menus, page headers, footers, sidebars, notices, adverts, forms or comments.
+A name is a whole class, role or id whose parts all say so or say nothing (``site-footer``, but not ``has-sidebar``
+or ``related-work``); ids inside the main part are made from titles and say nothing. Names alone never remove the
+body, the main part, an article or a heading, nor an element that holds the main part, an article or an h1, nor, on
+pages without a marked main part, one with over half of the text.
 If the page marks its article or main part, the text is taken from there. A branch of low importance goes
 where the branch around it is important, and stays if it holds over half of what is left of the page, so
 copies of one article on a host do not remove it.
@@ -60,7 +64,13 @@ NOISE_NAMES = set(
     " toolbar widget login search skip hidden navigation banner complementary contentinfo".split()
 )
 PAGE_HEADER_NAMES = set("header masthead topbar".split())
-MAIN_NAMES = {"main"}
+# Parts of names that say nothing by themselves.
+NEUTRAL_NAMES = set(
+    "area bar block bottom box col column container global group inner item items left link links list main outer page panel"
+    " primary right row secondary section site slot top unit wrap wrapper".split()
+)
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+NEVER_BY_NAME = {"html", "body", "main", "article"} | HEADINGS
 # An open element of the second kind is closed when one of the first kind starts.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -84,6 +94,7 @@ class Element:
     has_path: bool
     noise: bool
     main: bool
+    named: bool
 
 
 @dataclass
@@ -94,20 +105,31 @@ class Block:
     noise: bool
     main: bool
     text: str
+    named: tuple[int, ...]  # numbers of the elements around it whose names say noise
+
 
+def _named(values: list[str], kinds: set[str]) -> bool:
+    """Whether one of the whole names says one of ``kinds`` and nothing else."""
+    for value in values:
+        for name in value.split():
+            parts = {p for p in _NAME.split(name) if len(p) > 1}
+            if parts & kinds and parts <= kinds | NEUTRAL_NAMES:
+                return True
+    return False
 
-def _style(tag: str, rest: str, inside_main: bool) -> tuple[str, bool, bool]:
-    """Style name; whether tag or names say noise; whether they say main part."""
+
+def _style(tag: str, rest: str, inside_main: bool) -> tuple[str, bool, bool, bool]:
+    """Style name; whether the tag says noise; whether it says main part; whether names say noise."""
     found = {}
     if "=" in rest:
         found = {k.lower(): v.strip("\"'").lower() for k, v in _STYLE.findall(rest)}
-    names = {n for v in found.values() for n in _NAME.split(v) if n}
     main = tag in ("article", "main") or found.get("role") in ("main", "article")
-    noise = tag in NOISE_TAGS or bool(names & NOISE_NAMES)
-    if not inside_main and not main:
-        noise = noise or tag == "header" or bool(names & PAGE_HEADER_NAMES)
+    outside = not inside_main and not main
+    noise = tag in NOISE_TAGS or (outside and tag == "header")
+    kinds = NOISE_NAMES | PAGE_HEADER_NAMES if outside else NOISE_NAMES
+    named = tag not in NEVER_BY_NAME and not main and _named([v for k, v in found.items() if k != "id" or not inside_main], kinds)
     shown = "".join(f"[{k}={' '.join(sorted(v.split()))}]" for k, v in sorted(found.items()) if k != "id" or not re.search(r"\d", v))
-    return tag + shown, noise, main
+    return tag + shown, noise, main, named
 
 
 class Page:
@@ -120,6 +142,9 @@ class Page:
         self._paths: list[str] = []  # of the stack, as deep as the style tree goes
         self._open_tags: Counter[str] = Counter()
         self._noise = self._main = 0  # open elements of that kind
+        self._named: list[int] = []  # open elements whose names say noise
+        self._names = 0
+        self._cleared: set[int] = set()  # those that hold what names cannot remove
         self._text: list[str] = []
         source = source or ""
         at = 0
@@ -149,7 +174,7 @@ class Page:
         text = " ".join(references.unescape("".join(self._text)).split())
         self._text = []
         if text:
-            self.blocks.append(Block(self._paths.copy(), self._noise > 0, self._main > 0, text))
+            self.blocks.append(Block(self._paths.copy(), self._noise > 0, self._main > 0, text, tuple(self._named)))
 
     def _open(self, tag: str, rest: str) -> None:
         if tag in BLOCK:
@@ -166,9 +191,11 @@ class Page:
                     break
         if tag in VOID:
             return
-        name, noise, main = _style(tag, rest, self._main > 0)
-        if tag in BLOCK or noise or main:
-            if noise and tag not in BLOCK:
+        name, noise, main, named = _style(tag, rest, self._main > 0)
+        if (main or tag == "h1") and not self._main and not self._noise:
+            self._cleared.update(self._named)
+        if tag in BLOCK or noise or main or named:
+            if (noise or named) and tag not in BLOCK:
                 self._flush()
             deep = len(self._paths) < DEPTH
             if deep:
@@ -177,10 +204,13 @@ class Page:
                 if not order or order[-1] != name:
                     order.append(name)
                 self._paths.append(f"{parent}>{name}")
-            self._stack.append(Element(tag, deep, noise, main))
+            self._stack.append(Element(tag, deep, noise, main, named))
             self._open_tags[tag] += 1
             self._noise += noise
             self._main += main
+            if named:
+                self._names += 1
+                self._named.append(self._names)
 
     def _close(self, tag: str) -> None:
         if tag in BLOCK:
@@ -193,6 +223,8 @@ class Page:
             self._open_tags[element.tag] -= 1
             self._noise -= element.noise
             self._main -= element.main
+            if element.named:
+                self._named.pop()
             if element.has_path:
                 self._paths.pop()
             if element.tag == tag:
@@ -208,6 +240,15 @@ class Page:
 
     def main_text(self, unimportant: set[str]) -> str:
         kept = [b for b in self.blocks if not b.noise]
+        cleared = self._cleared
+        if not any(b.main for b in kept):
+            held: Counter[int] = Counter()
+            for block in kept:
+                for number in block.named:
+                    held[number] += len(block.text)
+            most = sum(len(b.text) for b in kept) / 2
+            cleared = cleared | {number for number, size in held.items() if size > most}
+        kept = [b for b in kept if cleared.issuperset(b.named)]
         marked = [b for b in kept if b.main]
         kept = marked or kept
         if unimportant and kept:
