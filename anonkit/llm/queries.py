@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from anonkit.llm import (
+    centroids,
     decontaminate,
     html_text,
     packing,
@@ -73,6 +74,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, similarity=None)
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontaminate": op2_decontaminate,
@@ -84,6 +89,10 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
+    "op13_centroids": op13_centroids,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_url_filters": url_filters.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op7_url_filters": url_filters.oracle_sql(),
+    "op13_centroids": centroids.oracle_sql(),
+}
