@@ -12,6 +12,7 @@ from anonkit.llm import (
     decontaminate,
     html_text,
     packing,
+    prefix_trie,
     quality,
     simhash,
     token_counts,
@@ -74,6 +75,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, similarity=None)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -89,10 +94,12 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": url_filters.oracle_sql(),
+    "op11_prefix_trie": prefix_trie.oracle_sql(),
     "op13_centroids": centroids.oracle_sql(),
 }
