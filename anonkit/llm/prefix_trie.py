@@ -91,7 +91,7 @@ def splitters(paths: DataFrame, shards: int) -> list[tuple[bytes, int]]:
     chosen = sample.withColumn("place", place).where((F.col("place") % SAMPLE_PER_SHARD == 0)).orderBy("place").collect()
     out: list[tuple[bytes, int]] = []
     before = b""
-    for row in chosen:
+    for row in chosen[: shards - 1]:
         path = bytes(row["path"])
         shared = common_turns(before, path)
         if shared * WIDTH == len(path):  # a copy, or a prefix, of the border before: only the id tells them apart

@@ -11,6 +11,7 @@ from anonkit.llm import (
     centroids,
     decontaminate,
     html_text,
+    order_minhash,
     packing,
     prefix_trie,
     quality,
@@ -79,6 +80,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(table(spark, sf_dir, "conversations"))
 
 
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_order_minhash": op12_order_minhash,
     "op13_centroids": op13_centroids,
 }
 
