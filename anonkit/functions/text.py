@@ -26,12 +26,29 @@ _LOCAL = r"[\p{IsLatin}0-9._%+-]"
 
 
 _WORD = r"\p{Lu}[\p{L}'-]*+"
-_DATE = r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:19|20)[0-9]{2})"
 
-# Words that make a date a birth date, kinds of streets, and particles inside names.
+# Months in English, German, French, Spanish and Dutch.
+MONTHS = (
+    "January|February|March|April|May|June|July|August|September|October|November|December"
+    "|Januar|Februar|März|Mai|Juni|Juli|Oktober|Dezember"
+    "|janvier|février|mars|avril|mai|juin|juillet|août|septembre|octobre|novembre|décembre"
+    "|enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
+    "|januari|februari|maart|april|mei|juni|juli|augustus|september|oktober|november|december"
+)
+_YEAR = "(?:19|20)[0-9]{2}"
+_DATE = (
+    rf"(?:{_YEAR}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}[/.-][0-9]{{1,2}}[/.-]{_YEAR}"
+    rf"|[0-9]{{1,2}}(?:st|nd|rd|th|er|[.])? (?:de )?(?:{MONTHS})(?: de)? {_YEAR}|(?:{MONTHS}) [0-9]{{1,2}}(?:st|nd|rd|th)?,? {_YEAR})"
+)
+
+# Words that make a date a birth date (before it; as its name behind it, and what may stand between),
+# kinds of streets, and particles inside names.
 BIRTH_WORDS = (
-    "born|birth|birthday|birthdate|date of birth|dob|geboren|geburtsdatum|née|né|naissance|nacida|nacido|nacimiento|geboortedatum"
+    "born|birth|birthday|birthdate|date of birth|dob|geboren|geb[.]|geburtsdatum|née|né|naissance|nacida|nacido|nacimiento|geboortedatum"
 )
+BIRTH_NAMES = "date of birth|birthday|birthdate|dob|geburtsdatum|geburtstag|date de naissance|fecha de nacimiento|geboortedatum"
+COPULAS = "is|was|ist|war|est|était|es|era"
+OWNERS = "my|his|her|their|the|customer's|mein|sein|ihr|das|ma|sa|la|mi|su|mijn|de"
 _BIRTH = rf"(?<![0-9A-Za-z_\[])(?i:{BIRTH_WORDS})(?![\p{{L}}0-9_])"
 _WHOLE_DATE = rf"(?<![0-9A-Za-z_]){_DATE}{_END}"
 # The rest of a sentence up to the next birth word, date or [DOB]; it stops there, so no text is read twice.
@@ -47,9 +64,9 @@ PARTICLES = "de|del|della|da|dos|das|di|du|la|las|le|los|van|von|der|den|ten|ter
 class Rule:
     """A pattern, its label, and a cheap test that every text it matches passes.
 
-    The test is a substring of which one must occur (``needs``), or a short
-    pattern without look-around (``hint``). Most texts fail it and are spared
-    the slower search.
+    The test is a substring of which one must occur (``needs``), or one or two
+    short patterns without look-around (``hint``, ``second_hint``). Most texts
+    fail it and are spared the slower search.
     """
 
     name: str
@@ -57,6 +74,7 @@ class Rule:
     pattern: str
     needs: tuple[str, ...] = ()
     hint: str | None = None
+    second_hint: str | None = None
     keeps_group: bool = False
 
     def applied_to(self, text: Column) -> Column:
@@ -65,7 +83,8 @@ class Rule:
 
     def may_match(self, text: Column) -> Column:
         if self.hint:
-            return text.rlike(self.hint)
+            found = text.rlike(self.hint)
+            return found & text.rlike(self.second_hint) if self.second_hint else found
         return reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in self.needs])
 
 
@@ -101,16 +120,19 @@ RULES = (
         "birth_date",
         "[DOB]",
         rf"({_BIRTH}{_UP_TO_BIRTH_OR_DATE}){_WHOLE_DATE}",
-        hint=rf"(?i:{BIRTH_WORDS})",
+        hint=_YEAR,
+        second_hint=rf"(?i:{BIRTH_WORDS})",
         keeps_group=True,
     ),
     Rule("birth_date_or", "[DOB]", rf"(\[DOB\] (?:or|oder|ou|o|of|/) ){_DATE}" + _END, needs=("[DOB] ",), keeps_group=True),
     Rule(
         "birth_date_before",
         "[DOB]",
-        # a birth word that has its own date behind it says nothing of the date before
-        rf"{_WHOLE_DATE}(?={_UP_TO_BIRTH_OR_DATE}{_BIRTH}(?!{_UP_TO_BIRTH_OR_DATE}\[DOB\]))",
-        hint=rf"(?i:{BIRTH_WORDS})",
+        # the date is called a birth date, and by nothing else: "2024-05-01, birthday gift" is none
+        rf"{_WHOLE_DATE}(?=(?: (?:{COPULAS}))?[,(:-]{{0,1}} ?[(]?(?:(?i:{OWNERS}) ){{0,2}}(?i:{BIRTH_NAMES})"
+        rf"(?: of [\p{{L}}' -]{{1,60}})?(?:[).,;:!?\n]|$))",
+        hint=_YEAR,
+        second_hint=rf"(?i:{BIRTH_NAMES})",
     ),
     Rule(
         "phone_international",
@@ -241,13 +263,34 @@ def redact_known_values(text: Column, known: tuple[tuple[str, str], ...] = KNOWN
     return reduce(lambda current, known_value: without(current, F.col(known_value[0]), known_value[1]), known, text)
 
 
-def redact_known_birth_date(text: Column, birth_date: Column) -> Column:
-    """Replace the row's birth date in its common forms. Only a text with its year pays for the pattern."""
+def _birth_date_forms(birth_date: Column) -> Column:
+    """Pattern for a date in its common numeric forms, standing alone."""
     year, month, day = (part(birth_date).cast("string") for part in (F.year, F.month, F.dayofmonth))
     m, d = F.concat(F.lit("0?"), month), F.concat(F.lit("0?"), day)
     forms = [F.concat_ws("[/.-]", *parts) for parts in ((year, m, d), (d, m, year), (m, d, year))]
-    pattern = F.concat(F.lit(r"(?<![0-9A-Za-z_])(?:"), F.concat_ws("|", *forms), F.lit(r")(?![0-9A-Za-z_])"))
-    return _once(text, lambda t: F.when(F.contains(t, year), F.regexp_replace(t, pattern, F.lit("[DOB]"))).otherwise(t))
+    return F.concat(F.lit(r"(?<![0-9A-Za-z_])(?:"), F.concat_ws("|", *forms), F.lit(r")(?![0-9A-Za-z_])"))
+
+
+def _has_year(text: Column, birth_date: Column) -> Column:
+    return F.contains(text, F.year(birth_date).cast("string"))
+
+
+def holds_birth_date(text: Column, birth_date: Column) -> Column:
+    """Whether the date stands in ``text`` in one of its common numeric forms; false if it is missing."""
+    found = _has_year(text, birth_date) & F.regexp_like(text, _birth_date_forms(birth_date))
+    return F.coalesce(found, F.lit(False))
+
+
+def redact_known_birth_date(text: Column, birth_date: Column) -> Column:
+    """Replace the row's birth date in its common forms. Only a text with its year pays for the pattern.
+
+    A date of another kind that is equal to it, such as an order date, goes as well: the text does not tell which is meant.
+    """
+
+    def body(t: Column) -> Column:
+        return F.when(_has_year(t, birth_date), F.regexp_replace(t, _birth_date_forms(birth_date), F.lit("[DOB]"))).otherwise(t)
+
+    return _once(text, body)
 
 
 def labels_in(text: Column) -> Column:

@@ -14,6 +14,7 @@ from anonkit.functions.text import (
     LABELS,
     RULES,
     Rule,
+    holds_birth_date,
     holds_token,
     labels_in,
     redact_known_birth_date,
@@ -90,7 +91,7 @@ def audit_redaction_precision(orders: DataFrame, truth: dict[str, Column], note:
     """
     notes = orders.where(F.col(note) != "")
     expected = [count.alias(f"e{i}") for i, count in enumerate(truth.values())]
-    found = notes.select(*expected, labels_in(redacted_note(F.col(note))).alias("_found"))
+    found = notes.select(*expected, labels_in(redacted_note(F.col(note), F.col("birth_date"))).alias("_found"))
 
     def times(label: str) -> Column:
         return F.array_size(F.filter("_found", lambda x: x == label))
@@ -114,24 +115,26 @@ def audit_redaction(orders: DataFrame, note: str = "customer_notes") -> DataFram
     """Per label: notes that hold a value of their own row, and how many still show it.
 
     ``visible_after_rules`` is what the patterns alone would leave; their recall
-    is one minus its share. ``visible_after_redaction`` must be 0.
+    is one minus its share. ``visible_after_redaction`` must be 0. Only notes
+    that hold a value are redacted, as the others count nowhere.
     """
-    columns = [c for c, _ in KNOWN_VALUE_LABELS]
-    text = orders.where(F.col(note) != "").select(note, *columns)
-    text = redact_column(text, note, "_by_rules").withColumn("_redacted", redacted_note(F.col(note)))
-
-    def visible(where: str, column: str) -> Column:
-        return F.count_if(holds_token(F.col(where), F.col(column)))
-
-    measures = [
-        visible(where, column).alias(f"{column}_{step}")
-        for column in columns
-        for step, where in (("raw", note), ("rules", "_by_rules"), ("done", "_redacted"))
-    ]
+    shown = {column: (label, lambda text, c=column: holds_token(text, F.col(c))) for column, label in KNOWN_VALUE_LABELS}
+    shown["birth_date"] = ("[DOB]", lambda text: holds_birth_date(text, F.col("birth_date")))
+    text = orders.where(F.col(note) != "").select(note, *shown)
+    text = text.withColumns({f"_in_{column}": holds(F.col(note)) for column, (_, holds) in shown.items()})
+    text = text.where(F.array_contains(F.array(*[f"_in_{column}" for column in shown]), True))
+    text = redact_column(text, note, "_by_rules").withColumn("_redacted", redacted_note(F.col(note), F.col("birth_date")))
+    measures = []
+    for column, (_, holds) in shown.items():
+        measures += [
+            F.count_if(f"_in_{column}").alias(f"{column}_raw"),
+            F.count_if(holds(F.col("_by_rules"))).alias(f"{column}_rules"),
+            F.count_if(holds(F.col("_redacted"))).alias(f"{column}_done"),
+        ]
     stacked = ", ".join(
-        f"'{label}', '{column}', {column}_raw, {column}_rules, {column}_done" for column, label in KNOWN_VALUE_LABELS
+        f"'{label}', '{column}', {column}_raw, {column}_rules, {column}_done" for column, (label, _) in shown.items()
     )
     return text.agg(*measures).selectExpr(
-        f"stack({len(columns)}, {stacked})"
+        f"stack({len(shown)}, {stacked})"
         " as (label, source_column, notes_with_value, visible_after_rules, visible_after_redaction)"
     )

@@ -54,6 +54,9 @@ SELECT * EXCLUDE (o),
     WHEN 10 THEN 'Deliver to Calle de Mayor ' || (1 + o % 90)::VARCHAR || ' or Hauptstraße ' || (1 + o % 300)::VARCHAR
       || ', not to 12 Pieces.'
     WHEN 12 THEN 'Order ' || order_id || ' shipped 2024-04-28, delivered 2024-05-01, version 3.10.2; invoice 1234567, 3 boxes.'
+    WHEN 14 THEN 'Date of birth of the customer, as in the passport shown: ' || coalesce(birth_date::VARCHAR, 'unknown')
+      || '. 3 February 1980 is the date of birth of the partner. Delivered 2024-05-01, birthday gift; order of 2020-01-01 was for'
+      || ' the birth of a child.'
     WHEN 8 THEN 'The product quality was excellent, will buy again!'
     WHEN 4 THEN '' END AS customer_notes
 FROM f)"""

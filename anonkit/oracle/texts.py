@@ -5,10 +5,33 @@ from __future__ import annotations
 from anonkit.oracle.base import ANON, ORDERS, moment, number, on_orders
 
 _CAPITAL = r"\p{Lu}[\p{L}'-]*"
-_DATE = r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.-][0-9]{1,2}[/.-](?:19|20)[0-9]{2})"
-# Words that make a date a birth date.
+# Months, words that make a date a birth date, names of a birth date, and what stands before such a name.
+_MONTHS = (
+    "January|February|March|April|May|June|July|August|September|October|November|December"
+    "|Januar|Februar|März|Mai|Juni|Juli|Oktober|Dezember"
+    "|janvier|février|mars|avril|mai|juin|juillet|août|septembre|octobre|novembre|décembre"
+    "|enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
+    "|januari|februari|maart|april|mei|juni|juli|augustus|september|oktober|november|december"
+)
 _BIRTH = (
-    "born|birth|birthday|birthdate|date of birth|dob|geboren|geburtsdatum|née|né|naissance|nacida|nacido|nacimiento|geboortedatum"
+    "born|birth|birthday|birthdate|date of birth|dob|geboren|geb[.]|geburtsdatum|née|né|naissance|nacida|nacido|nacimiento|geboortedatum"
+)
+_BIRTH_NAMES = "date of birth|birthday|birthdate|dob|geburtsdatum|geburtstag|date de naissance|fecha de nacimiento|geboortedatum"
+_COPULAS = "is|was|ist|war|est|était|es|era"
+_OWNERS = "my|his|her|their|the|customer's|mein|sein|ihr|das|ma|sa|la|mi|su|mijn|de"
+_YEAR = "(?:19|20)[0-9]{2}"
+_DATE = (
+    rf"(?:{_YEAR}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{1,2}}[/.-][0-9]{{1,2}}[/.-]{_YEAR}"
+    rf"|[0-9]{{1,2}}(?:st|nd|rd|th|er|[.])? (?:de )?(?:{_MONTHS})(?: de)? {_YEAR}|(?:{_MONTHS}) [0-9]{{1,2}}(?:st|nd|rd|th)?,? {_YEAR})"
+)
+# A sentence goes on over a point that no white space follows; \x01 stands for a label that is there already.
+_ENDS = r".;!?\n\x01"
+_ON = rf"(?:[^{_ENDS}]|[.]+[^\s{_ENDS}])"
+_FIRST = rf"(?:[^\p{{L}}0-9_{_ENDS}]|[.]+[^\s{_ENDS}])"
+_FORWARD = rf"((?:^|[^0-9A-Za-z_\[])(?i:{_BIRTH})(?:{_FIRST}{_ON}*?)?[.]*)\b{_DATE}\b"
+_BACKWARD = (
+    rf"\b{_DATE}\b((?: (?:{_COPULAS}))?[,(:-]? ?[(]?(?:(?i:{_OWNERS}) ){{0,2}}(?i:{_BIRTH_NAMES})"
+    r"(?: of [\p{L}' -]{1,60})?(?:[).,;:!?\n]|$))"
 )
 
 # Label, pattern and replacement of each rule, in order.
@@ -21,8 +44,11 @@ RULES = [
     ),
     ("email", r"[\p{Latin}0-9._%+-]+@[\p{Latin}0-9.-]+[.]\p{Latin}{2,}", "[EMAIL]"),
     ("ip", r"\b[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}\b", "[IP]"),
-    ("dob", rf"((?:^|[^0-9A-Za-z_\[])(?i:{_BIRTH})[^0-9A-Za-z.;!?\n\[][^0-9.;!?\n\[]{{0,20}}){_DATE}\b", r"\1[DOB]"),
+    ("dob", r"\[DOB\]", "\x01"),
+    ("dob", _FORWARD, r"\1[DOB]"),
+    ("dob", r"\x01", "[DOB]"),
     ("dob", rf"(\[DOB\] (?:or|oder|ou|o|of|/) ){_DATE}\b", r"\1[DOB]"),
+    ("dob", _BACKWARD, r"[DOB]\1"),
     ("phone", r"[+][0-9]{1,3}[ .-]?[(]?[0-9]{1,4}[)]?(?:[ .-]?[0-9]{2,4}){2,4}", "[PHONE]"),
     ("phone", r"[(]0[0-9]{1,4}[)][ -]{0,2}[0-9]{4,8}\b", "[PHONE]"),
     ("phone", r"\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b", "[PHONE]"),
@@ -108,7 +134,19 @@ for _i, (_column, _label) in enumerate(KNOWN):
     CASE WHEN coalesce({_column}, '') <> '' THEN {_without_known("t", _column, _label)} ELSE t END AS t)
   FROM known{_i})"""
     )
-_KNOWN_STEPS.append(f"redacted AS (SELECT *, {by_rules('t')} AS note_redacted FROM known{len(KNOWN)})")
+_FORMS = (
+    "'\\b(?:' || concat_ws('|', y || '[/.-]0?' || m || '[/.-]0?' || d, '0?' || d || '[/.-]0?' || m || '[/.-]' || y,"
+    " '0?' || m || '[/.-]0?' || d || '[/.-]' || y) || ')\\b'"
+)
+_KNOWN_STEPS.append(
+    f"""dated AS (SELECT * EXCLUDE (y, m, d), CASE WHEN y IS NOT NULL THEN {_FORMS} END AS birth_forms
+  FROM (SELECT *, year(birth_date) AS y, month(birth_date) AS m, day(birth_date) AS d FROM known{len(KNOWN)}))"""
+)
+_KNOWN_STEPS.append(
+    "knownd AS (SELECT * REPLACE (CASE WHEN birth_forms IS NOT NULL THEN regexp_replace(t, birth_forms, '[DOB]', 'g') ELSE t END AS t)"
+    " FROM dated)"
+)
+_KNOWN_STEPS.append(f"redacted AS (SELECT *, {by_rules('t')} AS note_redacted FROM knownd)")
 KNOWN_STEPS = tuple(_KNOWN_STEPS)
 
 TEXTS = """texts AS (
@@ -135,6 +173,9 @@ _AUDIT = "\nUNION ALL\n".join(
 FROM (SELECT *, {by_rules("customer_notes")} AS by_rules FROM redacted)"""
     for column, label in KNOWN
 )
+_AUDIT += f"""\nUNION ALL\nSELECT '[DOB]', 'birth_date', count(*) FILTER (regexp_matches(customer_notes, birth_forms)),
+  count(*) FILTER (regexp_matches(by_rules, birth_forms)), count(*) FILTER (regexp_matches(note_redacted, birth_forms))
+FROM (SELECT *, {by_rules("customer_notes")} AS by_rules FROM redacted)"""
 _FORM = "substr(order_id, 5)::BIGINT % 16"
 # How many values of each label the note forms hold.
 _TRUTH = {
@@ -142,7 +183,7 @@ _TRUTH = {
     "EMAIL": f"CASE WHEN {_FORM} = 0 AND email IS NOT NULL THEN 1 ELSE 0 END",
     "PHONE": f"CASE WHEN {_FORM} = 0 AND phone IS NOT NULL THEN 1 ELSE 0 END",
     "ADDRESS": f"CASE {_FORM} WHEN 0 THEN 1 WHEN 10 THEN 2 ELSE 0 END",
-    "DOB": f"CASE WHEN {_FORM} = 2 AND birth_date IS NOT NULL THEN 1 ELSE 0 END",
+    "DOB": f"CASE WHEN {_FORM} IN (2, 14) AND birth_date IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN {_FORM} = 14 THEN 1 ELSE 0 END",
     "ID": f"CASE WHEN {_FORM} IN (2, 6) THEN 1 ELSE 0 END",
     "CARD": f"CASE WHEN {_FORM} = 6 THEN 1 ELSE 0 END",
     "IP": f"CASE WHEN {_FORM} = 6 THEN 1 ELSE 0 END",

@@ -95,6 +95,8 @@ _NOTES = """case o % 16
     when 10 then 'Deliver to Calle de Mayor ' || cast(1 + o % 90 as string) || ' or Hauptstraße ' || cast(1 + o % 300 as string)
         || ', not to 12 Pieces.'
     when 12 then 'Order ' || order_id || ' shipped 2024-04-28, delivered 2024-05-01, version 3.10.2; invoice 1234567, 3 boxes.'
+    when 14 then 'Date of birth of the customer, as in the passport shown: ' || coalesce(cast(birth_date as string), 'unknown')
+        || '. 3 February 1980 is the date of birth of the partner. Delivered 2024-05-01, birthday gift; order of 2020-01-01 was for the birth of a child.'
     when 8 then 'The product quality was excellent, will buy again!'
     when 4 then '' end"""
 
@@ -112,7 +114,7 @@ def note_truth() -> dict[str, Column]:
         "[EMAIL]": among(0, having="email"),
         "[PHONE]": among(0, having="phone"),
         "[ADDRESS]": among(0) + among(10) * 2,
-        "[DOB]": among(2, having="birth_date"),
+        "[DOB]": among(2, 14, having="birth_date") + among(14),
         "[ID]": among(2, 6),
         "[CARD]": among(6),
         "[IP]": among(6),
