@@ -40,9 +40,11 @@ f AS (
     CAST((CAST(round(o_totalprice * 100) AS BIGINT) % 49000 + 1000) / 100.0 AS DECIMAL(10,2)) AS order_value_eur,
     CASE WHEN o % 10 < 6 THEN 'mobile' WHEN o % 10 < 9 THEN 'desktop' ELSE 'tablet' END AS device_type,
     concat_ws('.', 1 + o % 223, (o * 13) % 256, (o * 29) % 256, 1 + o % 254) AS ip_address,
-    CASE WHEN k % 10 < 5 THEN 'New' WHEN k % 10 < 9 THEN 'Regular' ELSE 'VIP' END AS customer_segment, o
+    CASE WHEN k % 10 < 5 THEN 'New' WHEN k % 10 < 9 THEN 'Regular' ELSE 'VIP' END AS customer_segment, o, k,
+    (['Ana','Liam','Greta','Louis','Carmen','Daan','Niamh','Oscar'])[(k + 1) % 8 + 1] AS next_first,
+    (['Keller','Murphy','Garcia','Dupont','Visser','Smith','Weber'])[(k + 1) % 7 + 1] AS next_last
   FROM b)
-SELECT * EXCLUDE (o),
+SELECT * EXCLUDE (o, k, next_first, next_last),
   CASE o % 16
     WHEN 0 THEN 'Customer ' || full_name || ' called from ' || coalesce(phone, 'an unknown number') || ' about '
       || order_id || '.' || chr(10) || 'Reply to ' || coalesce(email, 'no address') || '; ship to '
@@ -57,6 +59,9 @@ SELECT * EXCLUDE (o),
     WHEN 14 THEN 'Date of birth of the customer, as in the passport shown: ' || coalesce(birth_date::VARCHAR, 'unknown')
       || '. 3 February 1980 is the date of birth of the partner. Delivered 2024-05-01, birthday gift; order of 2020-01-01 was for'
       || ' the birth of a child.'
+    WHEN 13 THEN 'Parcel taken by the neighbour ' || next_first || ' ' || next_last || ', ' || lower(next_first) || '.'
+      || lower(next_last) || (k + 1)::VARCHAR || '@mail.example; signed ' || next_first || ' ' || left(next_last, 2)
+      || substr(next_last, 4) || '.'
     WHEN 8 THEN 'The product quality was excellent, will buy again!'
     WHEN 4 THEN '' END AS customer_notes
 FROM f)"""

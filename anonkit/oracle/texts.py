@@ -179,8 +179,8 @@ FROM (SELECT *, {by_rules("customer_notes")} AS by_rules FROM redacted)"""
 _FORM = "substr(order_id, 5)::BIGINT % 16"
 # How many values of each label the note forms hold.
 _TRUTH = {
-    "NAME": f"CASE WHEN {_FORM} IN (0, 2) THEN 1 ELSE 0 END",
-    "EMAIL": f"CASE WHEN {_FORM} = 0 AND email IS NOT NULL THEN 1 ELSE 0 END",
+    "NAME": f"CASE WHEN {_FORM} IN (0, 2) THEN 1 WHEN {_FORM} = 13 THEN 2 ELSE 0 END",
+    "EMAIL": f"CASE WHEN {_FORM} = 13 OR {_FORM} = 0 AND email IS NOT NULL THEN 1 ELSE 0 END",
     "PHONE": f"CASE WHEN {_FORM} = 0 AND phone IS NOT NULL THEN 1 ELSE 0 END",
     "ADDRESS": f"CASE {_FORM} WHEN 0 THEN 1 WHEN 10 THEN 2 ELSE 0 END",
     "DOB": f"CASE WHEN {_FORM} IN (2, 14) AND birth_date IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN {_FORM} = 14 THEN 1 ELSE 0 END",
@@ -199,7 +199,52 @@ _EXPORT = f"""SELECT a.* EXCLUDE (customer_notes) REPLACE ({number("order_value_
   {moment("a.order_date")} AS order_date), note_redacted AS customer_notes_anonymized
 FROM anon a LEFT JOIN redacted r USING (order_id)"""
 
+# All values of all customers, each looked for in all texts.
+_W = r"[\p{L}\p{N}_]"
+_S = r"[^\p{L}\p{N}_]"
+VALUES = f"""vals AS (
+  SELECT core, min(label) AS label, arg_min(lead, label) AS lead, any_value(words) AS words FROM (
+    SELECT label, regexp_extract(value, '^({_S}*)', 1) AS lead, regexp_replace(value, '^{_S}+|{_S}+$', '', 'g') AS core,
+      len(regexp_extract_all(core, '{_W}+')) AS words
+    FROM (SELECT DISTINCT '1[EMAIL]' AS label, email AS value FROM orders_flat
+      UNION ALL SELECT DISTINCT '2[ADDRESS]', street_address FROM orders_flat
+      UNION ALL SELECT DISTINCT '3[NAME]', full_name FROM orders_flat
+      UNION ALL SELECT DISTINCT '4[PHONE]', phone FROM orders_flat)
+    WHERE value IS NOT NULL)
+  WHERE words > 1 OR length(core) >= 7 GROUP BY core)"""
+_HELD = f"""held AS (
+  SELECT kind, text_id, label, string_agg('(?:' || regexp_escape(lead) || ')?' || regexp_escape(core), '|' ORDER BY length(core) DESC) AS p
+  FROM texts JOIN vals ON contains(text, core) GROUP BY ALL),
+patterns AS (
+  SELECT kind, text_id, map(list(label), list('(^|{_S})(?:' || p || ')($|{_S})')) AS p FROM held GROUP BY ALL)"""
+
+
+def _all_values_replaced() -> tuple[str, ...]:
+    steps = ["all0 AS (SELECT t.kind, t.text_id, text AS t, p FROM texts t LEFT JOIN patterns USING (kind, text_id))"]
+    for i, label in enumerate(("1[EMAIL]", "2[ADDRESS]", "3[NAME]", "4[PHONE]")):
+        once = f"regexp_replace(t, p['{label}'], '\\1{label[1:]}\\2', 'g')"
+        twice = f"regexp_replace({once}, p['{label}'], '\\1{label[1:]}\\2', 'g')"  # neighbours share a sign
+        steps.append(f"all{i + 1} AS (SELECT * REPLACE (CASE WHEN p['{label}'] IS NOT NULL THEN {twice} ELSE t END AS t) FROM all{i})")
+    return tuple(steps)
+
+
+_MISSPELT = f"""cuts AS (SELECT kind, text_id, regexp_extract_all(text, '{_W}+|{_S}+') AS q FROM texts),
+two AS (
+  SELECT kind, text_id, unnest(range(1, len(q) - 1)) AS place, q[place] || q[place + 1] || q[place + 2] AS found,
+    regexp_matches(q[place], '^{_W}') AS starts FROM cuts),
+names AS (SELECT DISTINCT full_name AS core FROM orders_flat)"""
+
 SQL = {
+    "redact_all_values": on_orders(
+        "SELECT kind, text_id, t AS redacted FROM all4", TEXTS, VALUES, _HELD, *_all_values_replaced()
+    ),
+    "find_misspelt_names": on_orders(
+        """SELECT kind, text_id, place, found, min(levenshtein(found, core))::BIGINT AS distance, count(*) AS names_near
+FROM two JOIN names ON starts AND levenshtein(found, core) <= 1 AND len(regexp_extract_all(core, '[\\p{L}\\p{N}_]+')) = 2
+GROUP BY ALL""",
+        TEXTS,
+        _MISSPELT,
+    ),
     **{
         f"redact_{kind}": on_texts(f"SELECT kind, text_id, {by_rules('text', kind)} AS redacted FROM texts")
         for kind in ("email", "phone", "card", "id", "dob", "address", "name")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from anonkit.functions import masks, noise, text
 from anonkit.functions.keyed import bernoulli
-from anonkit.operators import anonymize, audits, incremental, kanon, profile, redact
+from anonkit.operators import anonymize, audits, dictionary, incremental, kanon, profile, redact
 from anonkit.plans import behavior, demographic, geo, product, views
 from anonkit.schema import Policy
 from anonkit.sources import csv, tables
@@ -335,6 +335,19 @@ def _known_values(inputs: Inputs) -> DataFrame:
     return notes.select("order_id", text.redact_known_values(F.col("customer_notes")).alias("note_redacted"))
 
 
+def _all_values(inputs: Inputs) -> DataFrame:
+    values = dictionary.value_table(inputs.orders())
+    return dictionary.redact_values(inputs.texts(), "text", ["kind", "text_id"], values).select("kind", "text_id", "redacted")
+
+
+def _misspelt_names(inputs: Inputs) -> DataFrame:
+    names = dictionary.value_table(inputs.orders(), (("full_name", "[NAME]"),))
+    found = dictionary.finds(inputs.texts(), "text", ["kind", "text_id"], names, edits=1)
+    return found.groupBy("kind", "text_id", F.col("at").cast("bigint").alias("place"), "found").agg(
+        F.min("distance").alias("distance"), F.count("*").alias("names_near")
+    )
+
+
 _TEXTS: dict[str, Query] = {
     **{
         f"redact_{kind}": _redacted_texts(text.rules_for(f"[{kind.upper()}]"))
@@ -343,6 +356,8 @@ _TEXTS: dict[str, Query] = {
     "redact_documents": _redacted_texts(),
     "redact_unchanged": _unchanged,
     "redact_known_values": _known_values,
+    "redact_all_values": _all_values,
+    "find_misspelt_names": _misspelt_names,
     "redact_notes": lambda i: redact.redact_notes(i.orders()).select("order_id", "customer_notes_anonymized"),
     "label_counts": lambda i: redact.label_counts(i.texts(), "text", ["kind", "lang"]),
     "audit_redaction": lambda i: redact.audit_redaction(i.orders()),

@@ -85,6 +85,8 @@ _ORDER = {
     "ip_address": """cast(1 + o % 223 as string) || '.' || cast((o * 13) % 256 as string) || '.'
         || cast((o * 29) % 256 as string) || '.' || cast(1 + o % 254 as string)""",
 }
+# The customer with the next key, whom some notes name, once in a misspelt form.
+_NEIGHBOUR = {"_next_first": _pick(FIRST_NAMES, "k + 1"), "_next_last": _pick(LAST_NAMES, "k + 1")}
 _NOTES = """case o % 16
     when 0 then 'Customer ' || full_name || ' called from ' || coalesce(phone, 'an unknown number') || ' about '
         || order_id || '.\\n' || 'Reply to ' || coalesce(email, 'no address') || '; ship to ' || street_address || '.'
@@ -97,6 +99,9 @@ _NOTES = """case o % 16
     when 12 then 'Order ' || order_id || ' shipped 2024-04-28, delivered 2024-05-01, version 3.10.2; invoice 1234567, 3 boxes.'
     when 14 then 'Date of birth of the customer, as in the passport shown: ' || coalesce(cast(birth_date as string), 'unknown')
         || '. 3 February 1980 is the date of birth of the partner. Delivered 2024-05-01, birthday gift; order of 2020-01-01 was for the birth of a child.'
+    when 13 then 'Parcel taken by the neighbour ' || _next_first || ' ' || _next_last || ', ' || lower(_next_first) || '.'
+        || lower(_next_last) || cast(k + 1 as string) || '@mail.example; signed ' || _next_first || ' ' || substr(_next_last, 1, 2)
+        || substr(_next_last, 4) || '.'
     when 8 then 'The product quality was excellent, will buy again!'
     when 4 then '' end"""
 
@@ -110,8 +115,8 @@ def note_truth() -> dict[str, Column]:
         return (held if having is None else held & F.col(having).isNotNull()).cast("int")
 
     return {
-        "[NAME]": among(0, 2),
-        "[EMAIL]": among(0, having="email"),
+        "[NAME]": among(0, 2) + among(13) * 2,
+        "[EMAIL]": among(0, having="email") + among(13),
         "[PHONE]": among(0, having="phone"),
         "[ADDRESS]": among(0) + among(10) * 2,
         "[DOB]": among(2, 14, having="birth_date") + among(14),
@@ -143,7 +148,7 @@ def orders_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority",
     )
     people = joined.select("*", *_named(_CUSTOMER_BASE))
-    flat = people.select("o", *_named(_CUSTOMER), *_named(_ORDER))
+    flat = people.select("o", "k", *_named(_NEIGHBOUR), *_named(_CUSTOMER), *_named(_ORDER))
     return flat.withColumn("customer_notes", F.expr(_NOTES)).select(*ORDERS_SCHEMA.names)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -16,3 +16,10 @@ def shared_base(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """Path below the shared folder that nobody used before."""
     return f"{shared_base(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def as_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what follows does not compute it again."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
