@@ -281,22 +281,37 @@ def noise_utility_total(orders: DataFrame, salt: str) -> DataFrame:
     return sums.join(_middle_values(counted), "series")
 
 
-def noise_checks(orders: DataFrame, noise_of: Callable[[Column], Column], bound: float | None = None) -> DataFrame:
-    """Rows, rows whose noise is within ``bound``, and 1 if the mean deviation is close to 0, for random noise.
+def noise_drawn(orders: DataFrame, noise_of: Callable[[Column], Column], bound: float) -> DataFrame:
+    """Each order's value, whether noise was drawn for it, and whether it lies within ``bound``, for random noise.
 
-    The noise is drawn once per row and used in one aggregation only.
+    The noised value itself changes when the plan runs again; write it before using it twice.
     """
     value = F.col("order_value_eur").cast("double")
-    drawn = orders.select(value.alias("value"), noise_of(F.col("order_value_eur")).cast("double").alias("noised"))
-    change = F.col("noised") - F.col("value")
-    within = F.lit(True) if bound is None else F.abs(change) <= F.col("value") * bound + 0.0051
-    return drawn.agg(
-        F.count("*").alias("orders"),
-        F.count_if(within).alias("within_bound"),
-        (F.abs(F.avg(change / F.col("value"))) < 0.005).cast("bigint").alias("centered"),
+    drawn = orders.select("order_id", value.alias("order_value_eur"), noise_of(F.col("order_value_eur")).cast("double").alias("_noised"))
+    change = F.abs(F.col("_noised") - F.col("order_value_eur"))
+    return drawn.select(
+        "order_id",
+        "order_value_eur",
+        F.col("_noised").isNotNull().cast("bigint").alias("noised"),
+        (change <= F.col("order_value_eur") * bound + 0.0051).cast("bigint").alias("within_bound"),
     )
 
 
+def noise_bands(orders: DataFrame, noise_of: Callable[[Column], Column], bands: dict[str, tuple[float, float, float]]) -> DataFrame:
+    """For each band (relative change, least and greatest share of rows within it) whether the share is as it must be.
+
+    ``centered`` is 1 if the mean change is close to 0. The noise is drawn once per row and used in one aggregation only.
+    """
+    value = F.col("order_value_eur").cast("double")
+    drawn = orders.select(value.alias("value"), noise_of(F.col("order_value_eur")).cast("double").alias("noised"))
+    change = (F.col("noised") - F.col("value")) / F.col("value")
+    checks = [
+        F.count_if(F.abs(change) <= width).between(F.count("*") * least, F.count("*") * most).cast("bigint").alias(name)
+        for name, (width, least, most) in bands.items()
+    ]
+    return drawn.agg(F.count("*").alias("orders"), *checks, (F.abs(F.avg(change)) < 0.005).cast("bigint").alias("centered"))
+
+
 def noise_utility_country(orders: DataFrame, salt: str) -> DataFrame:
     """Average before and after per country, and the deviation in percent."""
     before, after = F.sum("original"), F.sum("noised")

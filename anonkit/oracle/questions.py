@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from anonkit.oracle.base import (
     AS_OF,
     GENERAL_POSTAL,
@@ -9,6 +11,7 @@ from anonkit.oracle.base import (
     NETWORK,
     NOISED,
     VIEWS,
+    age,
     age_range,
     day,
     mean,
@@ -118,6 +121,7 @@ WHERE a.month = (SELECT min(month) FROM monthly m WHERE m.country = a.country)
 FROM (SELECT country, city, sum(order_value) AS city_revenue FROM geo GROUP BY ALL)
 WINDOW w AS (PARTITION BY country) QUALIFY city_revenue > avg(city_revenue) OVER w""",
 }
+_GEO["ge09_growth_joined"] = _GEO["ge09_growth_first_last"]
 _MONTHLY = """monthly AS (SELECT country, strftime(order_date, '%Y-%m') AS month, sum(order_value) AS revenue
   FROM geo GROUP BY ALL)"""
 
@@ -199,8 +203,15 @@ ORDER BY unique_codes, region_prefix NULLS FIRST LIMIT 15""",
 FROM (SELECT {value} AS v FROM orders_flat)"""
         for series, value in (("original", "order_value_eur"), ("noised", NOISED))
     ),
-    "noise_uniform_rand": "SELECT count(*) AS orders, count(*) AS within_bound, 1::BIGINT AS centered FROM orders_flat",
-    "noise_gaussian_randn": "SELECT count(*) AS orders, count(*) AS within_bound, 1::BIGINT AS centered FROM orders_flat",
+    **{
+        key: f"""SELECT order_id, {number("order_value_eur")} AS order_value_eur, 1::BIGINT AS noised, 1::BIGINT AS within_bound
+FROM orders_flat"""
+        for key in ("noise_uniform_rand", "noise_gaussian_randn")
+    },
+    "noise_uniform_rand_bands": """SELECT count(*) AS orders, 1::BIGINT AS within_half, 1::BIGINT AS within_all,
+  1::BIGINT AS centered FROM orders_flat""",
+    "noise_gaussian_randn_bands": """SELECT count(*) AS orders, 1::BIGINT AS within_1, 1::BIGINT AS within_2,
+  1::BIGINT AS within_3, 1::BIGINT AS centered FROM orders_flat""",
     "noise_utility_country": f"""SELECT country, {mean("v")} AS avg_value, {mean("n")} AS avg_noised_value,
   {percent("abs(sum(n) - sum(v))", "sum(v)")} AS deviation_percent
 FROM (SELECT country, order_value_eur AS v, {NOISED} AS n FROM orders_flat) GROUP BY country""",
@@ -248,7 +259,78 @@ _KANON["kanon_view"] = "\nUNION ALL\n".join(
     ]
 )
 
+# Every choice of levels counted by itself; of those that pass, the ones that no other passing choice is finer than.
+_LEVELS = {
+    "gender": ["gender"],
+    "country": ["country"],
+    "age": [f"({age()} // 20 * 20)", f"({age()} // 10 * 10)"],
+    "postal": ["left(postal_code, 1)", "left(postal_code, 2)"],
+}
+
+
+def _every_choice() -> str:
+    parts = []
+    for choice in product(*[range(len(steps) + 1) for steps in _LEVELS.values()]):
+        used = [_LEVELS[c][n - 1] for c, n in zip(_LEVELS, choice) if n]
+        shown = ", ".join(f"{n}::BIGINT AS {c}" for c, n in zip(_LEVELS, choice))
+        grouping = f"GROUP BY {', '.join(used)}" if used else ""
+        parts.append(
+            f"""SELECT {shown}, {sum(choice)}::BIGINT AS levels, count(*) AS groups, count(*) FILTER (people < 5) AS small_groups,
+  coalesce(sum(n) FILTER (people < 5), 0)::BIGINT AS rows_lost
+FROM (SELECT count(*) AS n, count(DISTINCT customer_id) AS people FROM orders_flat {grouping})"""
+        )
+    return f"""choices AS ({" UNION ALL ".join(parts)}),
+passing AS (SELECT * FROM choices WHERE rows_lost <= 0.02 * (SELECT count(*) FROM orders_flat))"""
+
+
+def _none_finer() -> str:
+    finer = " AND ".join(f"f.{c} >= p.{c}" for c in _LEVELS)
+    return f"SELECT * FROM passing p WHERE NOT EXISTS (SELECT 1 FROM passing f WHERE f.levels > p.levels AND {finer})"
+
+
+_FOLDED = """folded AS (SELECT * REPLACE (upper(strip_accents(city)) AS city) FROM anon),
+spelled AS (SELECT *, CASE substr(order_id, 5)::BIGINT % 3 WHEN 0 THEN upper(city) WHEN 1 THEN replace(city, 'i', 'í') ELSE city END
+  AS spelling FROM anon)"""
+_CHOICES = {
+    "kanon_finest_sets": on_orders(_none_finer(), _every_choice()),
+    "kanon_median_ranges": on_orders(
+        """SELECT count(*) AS orders, count(DISTINCT customer_id) AS people, 0::BIGINT AS orders_in_small_groups,
+  0::BIGINT AS outside_their_range FROM orders_flat"""
+    ),
+    "kanon_linkage": on_orders(
+        """SELECT candidates, sum(view_rows)::BIGINT AS view_rows FROM (
+  SELECT count(DISTINCT CASE WHEN b.customer_id IS NOT NULL AND c.customer_id IS NOT NULL THEN a.customer_id END) AS candidates,
+    any_value(u.view_rows) AS view_rows
+  FROM (SELECT country, city, region, product_category, device_type, payment_method, count(*) AS view_rows FROM qi GROUP BY ALL) u
+  JOIN (SELECT DISTINCT country, city, region, customer_id FROM qi) a
+    ON a.country = u.country AND a.city = u.city AND a.region IS NOT DISTINCT FROM u.region
+  LEFT JOIN (SELECT DISTINCT country, product_category, customer_id FROM qi) b
+    ON b.country = u.country AND b.product_category = u.product_category AND b.customer_id = a.customer_id
+  LEFT JOIN (SELECT DISTINCT product_category, device_type, payment_method, customer_id FROM qi) c
+    ON c.product_category = u.product_category AND c.device_type = u.device_type AND c.payment_method = u.payment_method
+      AND c.customer_id = a.customer_id
+  GROUP BY u.country, u.city, u.region, u.product_category, u.device_type, u.payment_method)
+GROUP BY candidates""",
+        _QI,
+    ),
+    "kanon_city_blind": on_anon(
+        """SELECT city, age_range, count(DISTINCT customer_id_hashed) AS people FROM folded GROUP BY ALL HAVING people < 5""", _FOLDED
+    ),
+    "collation_city_spellings": on_anon(
+        """SELECT min(spelling) AS spelling, count(DISTINCT spelling) AS spellings, count(*) AS "rows" FROM spelled GROUP BY city""",
+        _FOLDED,
+    ),
+    "ge10_city_blind": on_anon(
+        f"""SELECT country, city, {number("city_revenue")} AS city_revenue,
+  CAST(round(avg(city_revenue) OVER w, 6) AS DOUBLE) AS country_average
+FROM (SELECT country, min(spelling) AS city, sum(order_value_random) AS city_revenue FROM spelled GROUP BY country, spelled.city)
+WINDOW w AS (PARTITION BY country) QUALIFY city_revenue > avg(city_revenue) OVER w""",
+        _FOLDED,
+    ),
+}
+
 SQL = {
+    **_CHOICES,
     **_VIEWS,
     **{key: on_view("behavior", body) for key, body in _BEHAVIOR.items()},
     **{key: on_view("demographic", body) for key, body in _DEMOGRAPHIC.items()},

@@ -90,6 +90,7 @@ SQL = {
     "src_csv_multiline": _ALL,
     "src_table": _ALL,
     "sink_full_refresh": _ALL,
+    "sink_refresh_table": _ALL,
     "src_null_normalize": on_orders(
         """SELECT order_id, email, phone, postal_code, nullif(customer_notes, '') AS customer_notes FROM orders_flat"""
     ),

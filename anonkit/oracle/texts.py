@@ -274,6 +274,17 @@ FROM orders_flat o LEFT JOIN redacted r USING (order_id)""",
     "audit_redaction_precision": on_orders(_PRECISION, *KNOWN_STEPS),
     "export_orders": "WITH " + ",\n".join([ORDERS, ANON, *KNOWN_STEPS]) + "\n" + _EXPORT,
     "stream_anonymize": "WITH " + ",\n".join([ORDERS, ANON, *KNOWN_STEPS]) + "\n" + _EXPORT,
+    "inc_checkpoint_update": on_orders(
+        """SELECT o.order_id, note_redacted AS customer_notes_anonymized
+FROM orders_flat o LEFT JOIN redacted r USING (order_id)""",
+        *KNOWN_STEPS,
+    ),
+    "upd_by_key_partitions": on_orders(
+        """SELECT o.order_id, o.customer_segment, strftime(o.order_date, '%Y-%m') AS order_month,
+  CASE WHEN o.order_date < DATE '1994-01-01' THEN coalesce(note_redacted, o.customer_notes) ELSE o.customer_notes END AS customer_notes
+FROM orders_flat o LEFT JOIN redacted r USING (order_id)""",
+        *KNOWN_STEPS,
+    ),
     "inc_checkpoint": on_orders(
         "SELECT order_id, note_redacted AS customer_notes_anonymized FROM redacted", *KNOWN_STEPS
     ),

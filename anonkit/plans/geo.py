@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anonkit.functions import money
+from anonkit.operators.collation import collated, spelling
 
 _VALUE = "order_value"
 
@@ -112,6 +113,16 @@ def growth_first_last_joined(view: DataFrame) -> DataFrame:
     )
 
 
+def cities_above_average_blind(view: DataFrame) -> DataFrame:
+    """The same with cities and countries compared without case and accents; each city has its least spelling."""
+    cities = collated(view, "country", "city").groupBy("country", "city").agg(
+        money.total(F.col(_VALUE)).alias("city_revenue"), spelling("country").alias("_country"), spelling("city").alias("_city")
+    )
+    return _above_average(cities).select(
+        F.col("_country").alias("country"), F.col("_city").alias("city"), "city_revenue", "country_average"
+    )
+
+
 def cities_above_average(view: DataFrame) -> DataFrame:
     """Cities whose revenue exceeds the mean city revenue of their country.
 
@@ -119,6 +130,10 @@ def cities_above_average(view: DataFrame) -> DataFrame:
     a window over the country would put all cities of a country in one task.
     """
     cities = view.groupBy("country", "city").agg(money.total(F.col(_VALUE)).alias("city_revenue"))
+    return _above_average(cities).select("country", "city", "city_revenue", "country_average").orderBy("country", "city")
+
+
+def _above_average(cities: DataFrame) -> DataFrame:
     countries = cities.groupBy("country").agg(
         F.sum("city_revenue").alias("_sum"), F.count("city_revenue").alias("_cities")
     )
@@ -126,6 +141,5 @@ def cities_above_average(view: DataFrame) -> DataFrame:
         cities.join(countries, "country")
         # compared as city * n > sum, which needs no rounding
         .where(F.col("city_revenue") * F.col("_cities") > F.col("_sum"))
-        .select("country", "city", "city_revenue", F.round(F.col("_sum") / F.col("_cities"), 6).alias("country_average"))
-        .orderBy("country", "city")
+        .withColumn("country_average", F.round(F.col("_sum") / F.col("_cities"), 6))
     )

@@ -18,11 +18,11 @@ from pyspark.sql import types as T
 
 from anonkit.functions import masks, noise, text
 from anonkit.functions.keyed import bernoulli
-from anonkit.operators import anonymize, audits, dictionary, incremental, kanon, profile, redact
+from anonkit.operators import anonymize, audits, collation, dictionary, generalize, incremental, kanon, profile, redact, stored
 from anonkit.plans import behavior, demographic, geo, product, views
 from anonkit.schema import Policy
 from anonkit.sources import csv, tables
-from anonkit.sources.orders import gen_orders, note_truth, orders_flat
+from anonkit.sources.orders import COUNTRIES, GENDERS, gen_orders, note_truth, orders_flat
 from anonkit.sources.scratch import fresh_dir
 from anonkit.streaming import jobs
 
@@ -31,6 +31,8 @@ AS_OF = dt.date(2026, 1, 1)
 SALT = "salt"
 SEED = "seed"
 POLICY = Policy(noise_salt=SALT, as_of=AS_OF)
+# One, two and three standard deviations of the Gaussian noise, and the share of draws within them.
+SIGMAS = {"within_1": (0.025, 0.65, 0.715), "within_2": (0.05, 0.94, 0.97), "within_3": (0.075, 0.99, 1)}
 
 
 @dataclass(frozen=True)
@@ -114,6 +116,27 @@ def _refreshed(inputs: Inputs) -> str:
     return path
 
 
+def _refreshed_table(inputs: Inputs) -> DataFrame:
+    """Load a part, then all: the second load must replace the first."""
+
+    def build() -> DataFrame:
+        tables.refresh_table(inputs.orders().where(bernoulli(F.col("order_id"), 0.5, SEED)), "orders_with_notes")
+        tables.refresh_table(inputs.orders(), "orders_with_notes")
+        return tables.scan(inputs.spark, "orders_with_notes")
+
+    return _in_new_database(inputs, build)
+
+
+def _added_column(inputs: Inputs) -> DataFrame:
+    def build() -> DataFrame:
+        tables.create_table_as(inputs.anonymized(), "customers_orders_anonymized")
+        for _ in range(2):
+            tables.add_stored_column(inputs.spark, "customers_orders_anonymized", "customer_notes_anonymized")
+        return tables.scan(inputs.spark, "customers_orders_anonymized").select("order_id", "customer_notes_anonymized")
+
+    return _in_new_database(inputs, build)
+
+
 def _reconcile(inputs: Inputs) -> DataFrame:
     return tables.reconcile(inputs.orders(), tables.scan(inputs.spark, _refreshed(inputs)))
 
@@ -178,6 +201,34 @@ def _updated(inputs: Inputs) -> DataFrame:
     return incremental.update_by_key(base, updates, "order_id", ["customer_notes"])
 
 
+def _order_months(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+
+
+def _updated_partitions(inputs: Inputs) -> DataFrame:
+    """A stored table by month, of which the notes of all orders before 1994 are redacted, twice with the same result."""
+    orders, path = _order_months(inputs.orders()), inputs.fresh_dir("by-month")
+    orders.select("order_id", "customer_segment", "customer_notes", "order_month").write.partitionBy("order_month").parquet(path)
+    early = orders.where((F.col("order_month") < "1994") & (F.col("customer_notes") != ""))
+    note = redact.redacted_note(F.col("customer_notes"), F.col("birth_date")).alias("customer_notes")
+    for _ in range(2):
+        stored.update_stored(inputs.spark, path, early.select("order_id", note), "order_id", ["customer_notes"], ["order_month"])
+    return inputs.spark.read.parquet(path).withColumn("order_month", F.col("order_month").cast("string"))
+
+
+def _updated_by_stream(inputs: Inputs) -> DataFrame:
+    """A stored table by month whose column of redacted notes is filled as files of orders arrive."""
+    orders = _order_months(inputs.orders())
+    source, table, ledger, checkpoint = (inputs.fresh_dir(f"update-{part}") for part in ("source", "table", "ledger", "checkpoint"))
+    empty = F.lit(None).cast("string").alias("customer_notes_anonymized")
+    orders.select("order_id", empty, "order_month").write.partitionBy("order_month").parquet(table)
+    early = bernoulli(F.col("order_id"), 0.5, SEED)
+    for batch in (early, ~early):
+        inputs.orders().where(batch).write.mode("append").parquet(source)
+        jobs.update_notes_stream(inputs.spark, source, table, ledger, checkpoint)
+    return inputs.spark.read.parquet(table).select("order_id", "customer_notes_anonymized")
+
+
 def _arrivals(inputs: Inputs, process: Callable[[str, str, str], object]) -> DataFrame:
     """Let half of the orders arrive, process, let the rest arrive, process twice more."""
     source, sink, checkpoint = (inputs.fresh_dir(f"stream-{part}") for part in ("source", "sink", "checkpoint"))
@@ -206,19 +257,20 @@ _SOURCES: dict[str, Query] = {
     "src_fillna_notes": lambda i: incremental.fill_notes(i.orders()).select("order_id", "customer_notes"),
     "src_table": _table_scan,
     "sink_full_refresh": lambda i: tables.scan(i.spark, _refreshed(i)),
+    "sink_refresh_table": _refreshed_table,
     "sink_reconcile": _reconcile,
     "sink_csv": lambda i: _csv_round_trip(i, ["order_id", "full_name", "customer_notes"]),
     "sink_ctas": _create_table,
     "sink_views": _session_views,
     "cat_describe": lambda i: profile.describe(i.view("view_geo_analysis")),
     "cat_use_db": _use_database,
-    "cat_add_column": lambda i: incremental.add_column_if_missing(i.anonymized(), "customer_notes_anonymized").select(
-        "order_id", "customer_notes_anonymized"
-    ),
+    "cat_add_column": _added_column,
     "upd_by_key": _updated,
+    "upd_by_key_partitions": _updated_partitions,
     "inc_pending": _pending,
     "inc_pick": _picked,
     "inc_checkpoint": _stream_notes,
+    "inc_checkpoint_update": _updated_by_stream,
     "preview_sample": lambda i: profile.preview_sample(
         i.orders().where(F.col("customer_notes") != ""), 3, "order_id", SEED
     ).select("order_id", "full_name", "country", "customer_notes"),
@@ -266,11 +318,15 @@ _COLUMNS: dict[str, Query] = {
     "noise_uniform": _column(
         "order_value_eur", "noised_value", lambda c: noise.noise_uniform(c, F.col("order_id"), SALT)
     ),
-    "noise_uniform_rand": lambda i: audits.noise_checks(i.orders(), lambda c: noise.noise_uniform_random(c, 42), 0.05),
+    "noise_uniform_rand": lambda i: audits.noise_drawn(i.orders(), lambda c: noise.noise_uniform_random(c, 42), 0.05),
+    "noise_uniform_rand_bands": lambda i: audits.noise_bands(
+        i.orders(), lambda c: noise.noise_uniform_random(c, 42), {"within_half": (0.025, 0.47, 0.53), "within_all": (0.0506, 1, 1)}
+    ),
     "noise_gaussian": _column(
         "order_value_eur", "noised_value", lambda c: noise.noise_gaussian(c, F.col("order_id"), SALT)
     ),
-    "noise_gaussian_randn": lambda i: audits.noise_checks(i.orders(), lambda c: noise.noise_gaussian_random(c, 42)),
+    "noise_gaussian_randn": lambda i: audits.noise_drawn(i.orders(), lambda c: noise.noise_gaussian_random(c, 42), 0.25),
+    "noise_gaussian_randn_bands": lambda i: audits.noise_bands(i.orders(), lambda c: noise.noise_gaussian_random(c, 42), SIGMAS),
     "noise_diff_pct": _noise_difference,
     "truncate_ip_prefix": _column("ip_address", "ip_prefix", masks.truncate_ip_prefix),
     "truncate_ip": _column("ip_address", "ip_truncated", masks.truncate_ip),
@@ -289,6 +345,54 @@ def _violations(level: str) -> Query:
     return lambda i: kanon.k_violations(kanon.with_quasi_identifiers(i.orders(), POLICY), kanon.LEVELS[level])
 
 
+def _finest_sets(inputs: Inputs) -> DataFrame:
+    birth, postal = F.col("birth_date"), F.col("postal_code")
+    levels = {
+        "gender": [F.col("gender")],
+        "country": [F.col("country")],
+        "age": [masks.age_range(birth, AS_OF, 20), masks.age_range(birth, AS_OF, 10)],
+        "postal": [masks.postal_prefix(postal, 1), masks.postal_prefix(postal, 2)],
+    }
+    return generalize.finest_sets(inputs.orders(), levels, most_lost=0.02)
+
+
+def _median_ranges(inputs: Inputs) -> DataFrame:
+    """What median cuts leave: nobody is withheld, and no group is small."""
+    code = lambda c, names: F.array_position(F.array(*[F.lit(n) for n in sorted(names)]), F.col(c))
+    people = inputs.orders().select(
+        "customer_id",
+        masks.age_exact(F.col("birth_date"), AS_OF).alias("age"),
+        code("country", COUNTRIES).alias("country"),
+        code("gender", GENDERS).alias("gender"),
+    )
+    ranges = generalize.median_ranges(people.distinct(), ["age", "country", "gender"])
+    own = F.coalesce(F.col("age").between(F.col("age_from"), F.col("age_to")), F.col("age").isNull())
+    kept = people.join(ranges, "customer_id")
+    return kept.agg(
+        F.count("*").alias("orders"),
+        F.countDistinct("customer_id").alias("people"),
+        F.count_if(F.col("people") < kanon.DEFAULT_K).alias("orders_in_small_groups"),
+        F.count_if(~own).alias("outside_their_range"),
+    )
+
+
+def _linkage(inputs: Inputs) -> DataFrame:
+    rows = kanon.with_quasi_identifiers(inputs.orders(), POLICY, "product_category", "device_type", "payment_method")
+    shared = {
+        "view_geo_analysis": ["country", "city", "region"],
+        "view_demographic_analysis": ["country", "product_category"],
+        "view_product_performance": ["product_category", "device_type", "payment_method"],
+    }
+    return generalize.linkage_audit(rows, shared)
+
+
+def _city_spellings(inputs: Inputs) -> DataFrame:
+    """The order rows with their city in one of three spellings."""
+    form = F.substring("order_id", 5, 100).cast("bigint") % 3
+    city = F.when(form == 0, F.upper("city")).when(form == 1, F.translate("city", "i", "í")).otherwise(F.col("city"))
+    return inputs.anonymized().withColumn("city", city)
+
+
 _AUDITS: dict[str, Query] = {
     "audit_phone_short": lambda i: audits.audit_phone_short(i.orders()),
     "audit_phone_leak": lambda i: audits.audit_phone_leak(i.orders()),
@@ -314,6 +418,13 @@ _AUDITS: dict[str, Query] = {
     "kanon_4qi": _violations("4 quasi-identifiers"),
     "kanon_summary": lambda i: kanon.k_summary(kanon.with_quasi_identifiers(i.orders(), POLICY)),
     "kanon_view": lambda i: views.k_summary_of_views(i.orders(), POLICY),
+    "kanon_finest_sets": _finest_sets,
+    "kanon_median_ranges": _median_ranges,
+    "kanon_linkage": _linkage,
+    "kanon_city_blind": lambda i: kanon.k_violations(
+        collation.collated(_city_spellings(i), "city"), ["city", "age_range"], "customer_id_hashed"
+    ).select(F.upper(F.translate(F.collate("city", "UTF8_BINARY"), "íÍ", "iI")).alias("city"), "age_range", "people"),
+    "collation_city_spellings": lambda i: collation.group_spellings(_city_spellings(i), "city"),
 }
 
 # ---- free text --------------------------------------------------------------
@@ -407,6 +518,7 @@ _GEO = {
     "ge07_monthly_revenue": geo.monthly_revenue,
     "ge08_device_share": geo.device_share,
     "ge09_growth_first_last": geo.growth_first_last,
+    "ge09_growth_joined": geo.growth_first_last_joined,
     "ge10_city_above_avg": geo.cities_above_average,
 }
 _PRODUCT = {
@@ -427,6 +539,7 @@ _QUESTIONS: dict[str, Query] = {
     **{key: _asked("view_demographic_analysis", q) for key, q in _DEMOGRAPHIC.items()},
     **{key: _asked("view_geo_analysis", q) for key, q in _GEO.items()},
     **{key: _asked("view_product_performance", q) for key, q in _PRODUCT.items()},
+    "ge10_city_blind": lambda i: geo.cities_above_average_blind(views.view_geo_analysis(_city_spellings(i))),
 }
 
 QUERIES: dict[str, Query] = {**_SOURCES, **_COLUMNS, **_AUDITS, **_TEXTS, **_QUESTIONS}

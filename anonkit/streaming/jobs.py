@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from anonkit.operators.anonymize import export_orders
 from anonkit.operators.redact import redacted_note
+from anonkit.operators.stored import update_from_stream
 from anonkit.schema import ORDERS_SCHEMA, Policy
 
 
@@ -54,7 +55,13 @@ def run_files(
 
 
 def anonymize_stream(
-    spark: SparkSession, policy: Policy, source: str, sink: str, checkpoint: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    policy: Policy,
+    source: str,
+    sink: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str | None = None,
 ) -> StreamingQuery:
     """Anonymize order files with redacted notes; the batch twin is ``export_orders``."""
     return run_files(
@@ -64,6 +71,7 @@ def anonymize_stream(
         sink,
         checkpoint,
         max_files_per_trigger=max_files_per_trigger,
+        max_bytes_per_trigger=max_bytes_per_trigger,
     )
 
 
@@ -80,3 +88,24 @@ def redact_notes_stream(
     return run_files(
         spark, redacted_notes_only, source, sink, checkpoint, max_bytes_per_trigger=max_bytes_per_trigger
     )
+
+
+def update_notes_stream(
+    spark: SparkSession, source: str, table: str, ledger: str, checkpoint: str, max_bytes_per_trigger: str | None = None
+) -> None:
+    """Redact the notes of order files and put them into the stored table of orders, partitioned by ``order_month``.
+
+    The table has the columns ``order_id``, ``customer_notes_anonymized`` and ``order_month``, and any others.
+    """
+    reader = spark.readStream.schema(ORDERS_SCHEMA)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+
+    def redacted(orders: DataFrame) -> DataFrame:
+        note = redacted_note(F.col("customer_notes"), F.col("birth_date")).alias("customer_notes_anonymized")
+        month = F.date_format("order_date", "yyyy-MM").alias("order_month")
+        return orders.where(F.col("customer_notes") != "").select("order_id", note, month)
+
+    update_from_stream(
+        reader.parquet(source), table, ledger, checkpoint, redacted, "order_id", ["customer_notes_anonymized"], ["order_month"]
+    )
