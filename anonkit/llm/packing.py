@@ -17,9 +17,12 @@ table gives no rows; other columns have no effect.
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import filterfalse
+from functools import cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,80 +31,125 @@ from pyspark.sql import DataFrame
 from anonkit.llm.common import pa_schema, quiet_tokenizers, tokenizer_path
 from anonkit.llm.token_counts import RankMerger
 
-# Fixed value: the pattern of the vocabulary's pre-tokens.
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-_MEMO_PIECES = 400_000
-_PLAIN_BELOW = "\u0250"  # Latin letters up to here are composed already, and lower case is a matter of each alone
+_MEMO_PIECES = 250_000
+_PLAIN_BELOW = 0x250  # Latin letters up to here are composed already, and lower case is a matter of each alone
 _WINDOWS_PER_PARTITION = 1 << 40
+_LETTER, _NUMBER, _SIGN, _OTHER = range(4)
+
+
+def _plain_characters() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of each code point below ``_PLAIN_BELOW``; the last entry stands for all others.
+
+    Apostrophes are no plain signs, as some pre-tokens begin with one.
+    """
+    kinds = np.full(_PLAIN_BELOW + 1, _OTHER, np.int8)
+    lower = np.arange(_PLAIN_BELOW + 1, dtype=np.uint32)
+    for point in range(_PLAIN_BELOW):
+        sign, low = chr(point), chr(point).lower()
+        if not sign.isprintable() or sign.isspace() or sign == "'" or len(low) > 1 or ord(low) >= 0x800:
+            continue
+        lower[point] = ord(low)
+        kinds[point] = {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(low)[0], _SIGN)
+    return kinds, lower
 
 
 class PieceTokenizer:
     """Ids of whole texts as the tokenizer library gives them, for vocabularies that drop white space.
 
     White space only parts pre-tokens, so a text's ids are those of its pieces between spaces, one after
-    another, and a bounded memo holds the ids of each distinct piece. Pieces of plain Latin text are merged
-    in bulk, as normalization does nothing but lower their case; all others go through the library.
+    another, and a bounded memo holds the ids of each distinct piece. Pieces of plain Latin text are cut into
+    pre-tokens and merged in bulk, as normalization does nothing but lower their case; all others go through the library.
     """
 
     def __init__(self, path: str, memo_pieces: int = _MEMO_PIECES):
         quiet_tokenizers()
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as source:
             self.merger = RankMerger.from_model(json.load(source)["model"])
-        self.pre_token = regex.compile(PRE_TOKEN)
+        self.kinds, self.lower = _plain_characters()
         self.memo_pieces = memo_pieces
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {"": 0}
-        self.ids = np.zeros(0, np.int32)
-        self.start = np.zeros(1, np.int64)
-        self.length = np.zeros(1, np.int64)
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of new pieces; equal pre-tokens of several pieces are merged once."""
-        plain, other, found = [], [], []
-        for piece in pieces:
-            if max(piece) < _PLAIN_BELOW and "<|" not in piece and piece.isprintable():
-                plain.append(piece)
-                low = piece.lower()
-                found.append([low] if low.isalpha() else self.pre_token.findall(low))
-            else:
-                other.append(piece)
-        number: dict[str, int] = {}
-        owned = np.array([number.setdefault(w, len(number)) for words in found for w in words], np.int64)
-        length, ids = self.merger.merge([w.encode() for w in number], with_ids=True)
-        rows = ragged(ids, np.cumsum(length) - length, length, owned)
-        per_word = np.zeros(len(owned) + 1, np.int64)
-        np.cumsum(length[owned], out=per_word[1:])
-        ends = np.cumsum([len(words) for words in found], dtype=np.int64)
-        sizes = np.diff(per_word[ends], prepend=0) if len(ends) else ends
-        made = [e.ids for e in self.library.encode_batch_fast(other, add_special_tokens=False)]
-        sizes = np.concatenate([sizes, np.array([len(i) for i in made], np.int64)])
-        rest = np.array([i for one in made for i in one], np.int32)
-        start = len(self.ids) + np.cumsum(sizes) - sizes
-        self.place.update(zip([*plain, *other], range(len(self.length), len(self.length) + len(pieces)), strict=True))
-        self.ids = np.concatenate([self.ids, rows.astype(np.int32), rest])
-        self.start, self.length = np.concatenate([self.start, start]), np.concatenate([self.length, sizes])
+        # a piece that is new takes the next number
+        self.place: defaultdict[str, int] = defaultdict(count(1).__next__, {"": 0})
+        self.ids = Growing(np.int32)
+        self.start, self.length = Growing(np.int64, 1), Growing(np.int64, 1)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces, in the order of their numbers."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        points = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), "<u4")
+        begin = np.cumsum(size) - size
+        kind = self.kinds[np.minimum(points, _PLAIN_BELOW)]
+        special = np.zeros(len(points), bool)  # "<|" may begin a special token, wherever pieces meet
+        special[:-1] = (points[:-1] == ord("<")) & (points[1:] == ord("|"))
+        other = np.logical_or.reduceat((kind == _OTHER) | special, begin)
+        length, start = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        plain = np.flatnonzero(~other)
+        if len(plain):
+            mine = np.repeat(~other, size)
+            length[plain], ids = self._merged(self.lower[points[mine]], kind[mine], np.repeat(np.arange(len(plain)), size[plain]))
+            start[plain] = len(self.ids) + np.cumsum(length[plain]) - length[plain]
+            self.ids.extend(ids)
+        rest = np.flatnonzero(other)
+        if len(rest):
+            made = [e.ids for e in self.library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)]
+            length[rest] = [len(i) for i in made]
+            start[rest] = len(self.ids) + np.cumsum(length[rest]) - length[rest]
+            self.ids.extend(np.array([i for one in made for i in one], np.int32))
+        self.start.extend(start)
+        self.length.extend(length)
+
+    def _merged(self, points: np.ndarray, kind: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each piece, and the ids; pre-tokens are runs of letters or of signs, and single numbers."""
+        fresh = np.ones(len(points), bool)
+        fresh[1:] = (piece[1:] != piece[:-1]) | (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+        first = np.flatnonzero(fresh)
+        two = points >= 0x80
+        at = np.arange(len(points)) + np.cumsum(two) - two
+        data = np.empty(len(points) + int(two.sum()), np.uint8)
+        data[at] = np.where(two, 0xC0 | (points >> 6), points)
+        data[at[two] + 1] = 0x80 | (points[two] & 0x3F)
+        length, ids = self.merger.merge_flat(data, np.add.reduceat(1 + two.astype(np.int64), first), with_ids=True)
+        return np.bincount(piece[first], length, piece[-1] + 1).astype(np.int64), ids
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        rows = [(text or "").replace("\n", " ").split(" ") for text in texts]
         if len(self.place) > self.memo_pieces:
             self._forget()
-        missing: set[str] = set()
-        for row in rows:
-            missing.update(filterfalse(self.place.__contains__, row))
-        if missing:
-            self._learn(missing)
-        out = []
-        for row in rows:
-            place = np.fromiter(map(self.place.__getitem__, row), np.int64, len(row))
-            out.append(ragged(self.ids, self.start, self.length, place))
-        return out
+        known = len(self.place)
+        rows = []
+        for text in texts:
+            row = (text or "").replace("\n", " ").split(" ")
+            rows.append(np.fromiter(map(self.place.__getitem__, row), np.int64, len(row)))
+        if fresh := list(islice(reversed(self.place), len(self.place) - known)):
+            self._learn(fresh[::-1])
+        ids, start, length = self.ids.values(), self.start.values(), self.length.values()
+        return [ragged(ids, start, length, row) for row in rows]
+
+
+class Growing:
+    """An array that grows at its end; its space doubles, so that growing costs no more than filling."""
+
+    def __init__(self, kind: type, size: int = 0):
+        self.size, self.space = size, np.zeros(max(1024, size), kind)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def extend(self, more: np.ndarray) -> None:
+        need = self.size + len(more)
+        if need > len(self.space):
+            space = np.zeros(max(need, 2 * len(self.space)), self.space.dtype)
+            space[: self.size] = self.space[: self.size]
+            self.space = space
+        self.space[self.size : need] = more
+        self.size = need
+
+    def values(self) -> np.ndarray:
+        return self.space[: self.size]
 
 
 def ragged(flat: np.ndarray, start: np.ndarray, length: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -222,7 +270,10 @@ def pack(documents: Iterator[tuple[object, np.ndarray]], capacity: int) -> Itera
     yield from close_windows(levels.drain(), capacity)
 
 
-_tokenizers: dict[str, PieceTokenizer] = {}
+@cache
+def own_tokenizer(path: str) -> PieceTokenizer:
+    """That of this worker process, with its memo."""
+    return PieceTokenizer(path)
 
 
 def pack_documents(
@@ -255,12 +306,10 @@ def pack_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        path = tokenizer_path(tokenizer)
-        if path not in _tokenizers:
-            _tokenizers[path] = PieceTokenizer(path)
+        encoder = own_tokenizer(tokenizer_path(tokenizer))
         sequence = TaskContext.get().partitionId() * _WINDOWS_PER_PARTITION
         rows: list[tuple] = []
-        for window in pack(documents(batches, _tokenizers[path]), capacity):
+        for window in pack(documents(batches, encoder), capacity):
             offset = 0
             for p in window:
                 crc = zlib.crc32(p.ids.astype("<u4").tobytes())

@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -62,29 +63,68 @@ def describe(word: str) -> tuple[str, float, float, float, float, float, float]:
     return shape(word), word == "|", signs, letters > 1 and word.isupper(), ends, letters, n
 
 
+_PLAIN_BELOW = 0x250
+_ENDS = ".,;:!?"
+
+
+def _plain_letters() -> dict[str, np.ndarray]:
+    """What Python says of each code point below ``_PLAIN_BELOW``; the last entry stands for all others."""
+    points = [chr(p) for p in range(_PLAIN_BELOW)]
+    tests = {"letter": str.isalpha, "upper": str.isupper, "lower": lambda c: c.islower() or c.istitle() and not c.isupper()}
+    return {name: np.array([*map(test, points), False]) for name, test in tests.items()}
+
+
 class TextShapes:
     """Per text: the labellers' votes and the shares of its hashed shapes."""
 
     def __init__(self):
+        self.plain = _plain_letters()
+        cases = [f"{case}{end}" for case in ("a", "A", "Aa") for end in ("", *_ENDS)]
+        self.case_bucket = np.array([zlib.crc32(c.encode()) for c in cases], np.int64)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        # a word that is new takes the next number
+        self.place: defaultdict[str, int] = defaultdict(count().__next__)
         self.attributes = np.zeros((0, 6), np.float32)
         self.bucket = np.zeros(0, np.int64)
 
+    def _describe(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Attributes and shape hash of words: as ``describe`` gives them, for plain letters with one sign behind in bulk."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        points = np.minimum(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4"), _PLAIN_BELOW)
+        begin = np.cumsum(size) - size
+        end = points[begin + size - 1]
+        sign = np.zeros(len(words), np.int64)
+        for i, mark in enumerate(_ENDS):
+            sign[end == ord(mark)] = i + 1
+        letters = np.add.reduceat(self.plain["letter"][points], begin, dtype=np.int64)
+        stem = size - (sign > 0)
+        easy = (stem > 0) & (letters == stem)
+        shouted = ~np.logical_or.reduceat(self.plain["lower"][points], begin)
+        shouted &= np.logical_or.reduceat(self.plain["upper"][points], begin)
+        case = np.where(~self.plain["upper"][points[begin]], 0, np.where((stem > 1) & shouted, 1, 2))
+        attributes = np.zeros((len(words), 6), np.float32)
+        attributes[:, 2], attributes[:, 3], attributes[:, 4], attributes[:, 5] = case == 1, sign > 0, stem, size
+        bucket = self.case_bucket[case * (len(_ENDS) + 1) + sign]
+        for i in np.flatnonzero(~easy).tolist():
+            made = describe(words[i])
+            attributes[i], bucket[i] = made[1:], zlib.crc32(made[0].encode())
+        return attributes, bucket
+
     def words(self, texts: list[str | None]) -> list[np.ndarray]:
         """Numbers of the words of each text; equal words have equal numbers."""
-        rows = [(t or "").split() for t in texts]
         if len(self.place) > _MEMO_WORDS:
             self._forget()
-        fresh = list(set().union(*rows).difference(self.place)) if rows else []
-        if fresh:
-            self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh)), strict=True))
-            made = list(map(describe, fresh))
-            self.attributes = np.concatenate([self.attributes, np.array([m[1:] for m in made], np.float32)])
-            self.bucket = np.concatenate([self.bucket, np.array([zlib.crc32(m[0].encode()) for m in made], np.int64)])
-        return [np.fromiter(map(self.place.__getitem__, row), np.int64, len(row)) for row in rows]
+        known, rows = len(self.place), []
+        for text in texts:
+            row = (text or "").split()
+            rows.append(np.fromiter(map(self.place.__getitem__, row), np.int64, len(row)))
+        if fresh := list(islice(reversed(self.place), len(self.place) - known)):
+            attributes, bucket = self._describe(fresh[::-1])
+            self.attributes = np.concatenate([self.attributes, attributes])
+            self.bucket = np.concatenate([self.bucket, bucket])
+        return rows
 
     def votes(self, words: np.ndarray) -> tuple[int, ...]:
         n = len(words)
@@ -125,7 +165,12 @@ class TextShapes:
         return out
 
 
-_shapes = TextShapes()  # of this worker process, with its memo
+_shapes = TextShapes()
+
+
+def own_shapes() -> TextShapes:
+    """That of this worker process, with its memo. A task's function that named it directly would carry a copy of its own."""
+    return _shapes
 
 
 def pattern_number(votes: tuple[int, ...]) -> int:
@@ -219,10 +264,11 @@ def fit(docs: DataFrame, text: str = "text", *, sample_rows: int = 6_000, slice_
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[int] = Counter()
+        shapes = own_shapes()
         for batch in batches:
             values = batch.column("text").to_pylist()
             for at in range(0, len(values), slice_rows):
-                found.update(pattern_number(_shapes.votes(w)) for w in _shapes.words(values[at : at + slice_rows]))
+                found.update(pattern_number(shapes.votes(w)) for w in shapes.words(values[at : at + slice_rows]))
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], schema=target)
 
     texts = docs.select(F.col(text).alias("text"))
@@ -235,9 +281,10 @@ def fit(docs: DataFrame, text: str = "text", *, sample_rows: int = 6_000, slice_
 
     def sampled(texts: pa.Array) -> dict[str, object]:
         out: dict[str, object] = {"votes": [], "features": []}
-        for words in _shapes.words(texts.to_pylist()):
-            out["votes"].append(pattern_number(_shapes.votes(words)))
-            out["features"].append(_shapes.features(words).astype(np.float32).tobytes())
+        shapes = own_shapes()
+        for words in shapes.words(texts.to_pylist()):
+            out["votes"].append(pattern_number(shapes.votes(words)))
+            out["features"].append(shapes.features(words).astype(np.float32).tobytes())
         return out
 
     step = max(1, -(-int(counts.sum()) // sample_rows))

@@ -1,26 +1,14 @@
-"""Near-duplicates by 64-bit SimHash: within some bits, or by word shingles that are alike.
+"""Near-duplicates by 64-bit SimHash: all texts that fingerprints within some bits join.
 
-A text's fingerprint has a bit where over half of the hashes of its word shingles have it.
-
-Within ``most_different`` bits (``similarity=None``, the contract of op6): equal fingerprints are one node.
-Of some blocks of bits, two fingerprints within the radius share ``len(blocks) - most_different``, so every
+A text's fingerprint has a bit where over half of the hashes of its word shingles have it. Equal fingerprints are one
+node. Of some blocks of bits, two fingerprints within the radius share ``len(blocks) - most_different``, so every
 such choice of blocks is a key under which they meet. There each row carries its Hamming distances to
 reference fingerprints, the pivots. By the triangle inequality a pair whose distances to any pivot differ by
 more than the radius is discarded; the rows are sorted by the first pivot, so most pairs are never formed.
 Survivors are verified bit by bit. A group gives at most one link per row, to the least row it reaches.
 
-By ``similarity`` of shingle sets (the default): equal texts (by a 64-bit hash) are one node. Texts of Jaccard
-0.8 differ in about ten bits, and no blocks of 64 bits are both selective and sure to be shared there. So
-texts meet under bands of the least values of their shingle hashes; 20 bands of five miss a pair of 0.8 once
-in 2,500 times. In a group the pairs within ``SIMILAR_BITS`` (pivots discard next to nothing at that
-radius) give links. The exact Jaccard of the two texts decides on each link. A first pass takes the groups of
-each salt and tries a forest of the nearest pairs, so most copies are joined by few links. A second pass takes
-all groups and tries every pair that is still apart, except where a sketch of 100 values says that it is far below
-the similarity. No pair is left out for the size of its group; only many texts just below the similarity to each
-other cost all their pairs.
-
-A key with many rows is dealt out by salt: each two salts meet in a group of their own, so every pair still
-meets and no group grows.
+``blocks`` decides how wide the keys are. Six blocks give 15 keys of 20 to 22 bits a fingerprint, which parts some 10^9 distinct
+fingerprints well; beyond that pass eight blocks of eight bits (70 keys of 32 bits), which lose no link either.
 
 Defined cases: null, empty and blank texts have fingerprint 0 and are alike; fewer words
 than a shingle are one shingle; a null key takes part but names no component unless all are null;
@@ -29,7 +17,7 @@ repeated rows are copies of each other; an empty table gives no rows; other colu
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,12 +33,7 @@ MOST_DIFFERENT = 4
 BLOCKS = (11, 11, 11, 11, 10, 10)
 PIVOTS = 16
 GROUP_ROWS = 512
-SHINGLE = 5
-SIMILARITY = 0.8
-BANDS, BAND_ROWS = 20, 5
-SIMILAR_BITS = 20  # 0.8 gives 9.7 bits on average, with a standard deviation of 2.9
-SMALL_GROUP = 8
-SKETCH_SLACK = 0.15  # the sketch has a standard deviation of 0.04 at 0.8
+SHINGLE = 4
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -85,58 +68,27 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42) -> int:
     """Unsigned fingerprint of one text."""
     return majority(shingle_hashes(text, shingle, seed))
 
 
-def _numbers(label: bytes, count: int) -> np.ndarray:
-    """Fixed 64-bit numbers: the first half of SHA-256 of a label and a number, so they are alike in every run."""
-    import hashlib
-
-    return np.array([int.from_bytes(hashlib.sha256(b"%s%d" % (label, i)).digest()[:8], "big") for i in range(count)], np.uint64)
-
-
-def least_marks(hashes: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> list[int]:
-    """Signed key of each band, a hash of the least values that ``BAND_ROWS`` linear orders give to the hashes; the sketch.
-
-    The sketch has 16 bits of a hash of each least value, four to a number.
-    """
-    import xxhash
-
-    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        values = hashes[None, at : at + 1024] * factors[:, None]
-        values += terms[:, None]
-        np.minimum(least, values.min(axis=1), out=least)
-    rows = least.reshape(BANDS, BAND_ROWS)
-    keys = [xxhash.xxh64_intdigest(rows[k].tobytes(), k) - (1 << 63) for k in range(BANDS)]
-    mixed = ((least ^ (least >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)
-    return keys + mixed.astype(np.uint16).view(np.int64).tolist()
-
+def fingerprint_column(text: Column | str, shingle: int, seed: int = 42) -> Column:
+    """The fingerprint as a signed bigint."""
 
-def marks_column(text: Column | str, shingle: int, banded: bool, seed: int = 42) -> Column:
-    """Array of the fingerprint as a signed bigint and, if ``banded``, the keys of all bands and the sketch."""
-    width = 1 + (BANDS + BANDS * BAND_ROWS // 4) * banded
-    factors, terms = _numbers(b"factor", BANDS * BAND_ROWS) | np.uint64(1), _numbers(b"term", BANDS * BAND_ROWS)
+    @F.arrow_udf("bigint")
+    def prints(texts: pa.Array) -> pa.Array:
+        made = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in texts), np.uint64, len(texts))
+        return pa.array(made.view(np.int64))
 
-    @F.arrow_udf("array<bigint>")
-    def marks(texts: pa.Array) -> pa.Array:
-        made = np.zeros((len(texts), width), np.int64)
-        for i, t in enumerate(texts):
-            hashes = shingle_hashes(t.as_py(), shingle, seed)
-            made[i, 0] = np.uint64(majority(hashes)).view(np.int64)
-            if banded:
-                made[i, 1:] = least_marks(hashes, factors, terms)
-        offsets = np.arange(len(made) + 1, dtype=np.int32) * np.int32(width)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(made.reshape(-1)))
-
-    return marks(text)
+    return prints(text)
 
 
 def pivots() -> np.ndarray:
-    """Reference fingerprints."""
-    return _numbers(b"", PIVOTS)
+    """Reference fingerprints: the first half of SHA-256 of small numbers, so they are alike in every run."""
+    import hashlib
+
+    return np.array([int.from_bytes(hashlib.sha256(b"%d" % i).digest()[:8], "big") for i in range(PIVOTS)], np.uint64)
 
 
 def link_groups(
@@ -182,73 +134,6 @@ def link_groups(
     return np.stack([prints[rows].view(np.int64), prints[label[rows]].view(np.int64)], axis=1)
 
 
-def nearest_links(
-    group: np.ndarray, salt: np.ndarray, ids: np.ndarray, prints: np.ndarray, cross: np.ndarray, root: np.ndarray
-) -> np.ndarray:
-    """Pairs of ids within ``SIMILAR_BITS`` and of different roots: all of a small group, else a forest of the nearest.
-
-    In the forest every pair within the radius is joined over pairs that are as near or nearer. Rows of one root are
-    joined from the start. Where ``cross`` is true, rows of equal salt are compared in another group.
-    """
-    order = np.lexsort((ids, group))
-    group, salt, ids, prints, cross, root = (x[order] for x in (group, salt, ids, prints, cross, root))
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    sizes = np.diff(np.append(starts, len(group)))
-    left, right = [], []
-    small = np.repeat(sizes <= SMALL_GROUP, sizes)
-    for step in range(1, SMALL_GROUP):
-        a = np.flatnonzero(small[:-step] & (group[step:] == group[:-step])) if step < len(group) else np.zeros(0, np.int64)
-        b = a + step
-        keep = (root[a] != root[b]) & ~(cross[a] & (salt[a] == salt[b]))
-        keep &= np.bitwise_count(prints[a] ^ prints[b]) <= SIMILAR_BITS
-        left.append(ids[a[keep]])
-        right.append(ids[b[keep]])
-    for start, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist(), strict=True):
-        at = slice(start, start + size)
-        s, i, p, r, crossed = salt[at], ids[at], prints[at], root[at], bool(cross[start])
-        if (r == r[0]).all():
-            continue
-        near, parent, todo = np.full(size, BITS + 1, np.int16), np.zeros(size, np.int64), np.ones(size, bool)
-        a, b = [], []
-        for _ in range(size):
-            new = int(np.argmin(np.where(todo, near, BITS + 2)))
-            todo[new] = False
-            if 0 <= near[new] <= SIMILAR_BITS:
-                a.append(parent[new])
-                b.append(new)
-            distance = np.bitwise_count(p ^ p[new]).astype(np.int16)
-            if crossed:
-                distance[s == s[new]] = BITS + 1
-            distance[r == r[new]] = -1
-            closer = distance < near
-            near[closer], parent[closer] = distance[closer], new
-        left.append(i[np.array(a, np.int64)])
-        right.append(i[np.array(b, np.int64)])
-    return np.stack([np.concatenate(left), np.concatenate(right)], axis=1)
-
-
-def open_links(
-    group: np.ndarray, salt: np.ndarray, ids: np.ndarray, prints: np.ndarray, cross: np.ndarray, root: np.ndarray,
-    sketch: np.ndarray, least: float,
-) -> np.ndarray:
-    """All pairs of ids within ``SIMILAR_BITS``, of different roots, and alike to ``least`` by their sketches."""
-    order = np.argsort(group, kind="stable")
-    group, salt, ids, prints, cross, root, sketch = (x[order] for x in (group, salt, ids, prints, cross, root, sketch))
-    values = np.ascontiguousarray(sketch).view(np.uint16)
-    ends = np.searchsorted(group, group, side="right").tolist()
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i, end in enumerate(ends):
-        after = slice(i + 1, end)
-        keep = (root[after] != root[i]) & (np.bitwise_count(prints[after] ^ prints[i]) <= SIMILAR_BITS)
-        if cross[i]:
-            keep &= salt[after] != salt[i]
-        others = np.flatnonzero(keep) + i + 1
-        others = others[(values[others] == values[i]).mean(axis=1) >= least] if len(others) else others
-        left.append(np.full(len(others), ids[i]))
-        right.append(ids[others])
-    return np.stack([np.concatenate(left), np.concatenate(right)], axis=1)
-
-
 def _keyed(prints: DataFrame, most_different: int, blocks: tuple[int, ...]) -> DataFrame:
     """One row per fingerprint and choice of shared blocks, with the blocks' bits as ``key``."""
     starts = np.cumsum((0, *blocks))
@@ -262,37 +147,32 @@ def _keyed(prints: DataFrame, most_different: int, blocks: tuple[int, ...]) -> D
     return prints.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def _links_of_groups(
-    keyed: DataFrame, columns: list[str], link: Callable[..., np.ndarray], group_rows: int, crossing: bool = True
+def near_links(
+    prints: DataFrame, group_rows: int = GROUP_ROWS, most_different: int = MOST_DIFFERENT, blocks: tuple[int, ...] = BLOCKS
 ) -> DataFrame:
-    """Links (``a``, ``b``) that ``link`` finds in the groups of ``keyed``, whose first column names the row.
+    """Links (``a``, ``b``) that join all distinct fingerprints ``fp`` of at most ``most_different`` different bits.
 
-    ``link`` gets group, salt, the columns and whether only rows of different salts are to be compared. Without
-    ``crossing`` only rows of equal salt meet.
+    Keys of more than ``group_rows`` rows are dealt out by salts; every two salts meet in a task of their own.
     """
+    keyed = _keyed(prints, most_different, blocks)
     large = keyed.groupBy("key").count().where(F.col("count") > group_rows)
     salts = F.coalesce(F.ceil(F.col("count") / group_rows), F.lit(1)).cast("int")
-    own = F.pmod(F.xxhash64(columns[0]), F.col("salts")).cast("int")
-    salted = keyed.join(large, "key", "left").select(*columns, "key", salts.alias("salts")).withColumn("salt", own)
-    others = F.sequence(F.lit(0), F.col("salts") - 1) if crossing else F.array("salt")
-    met = salted.select(*columns, "key", "salt", F.explode(others).alias("with")).select(
-        *columns, "key", "salt", F.least("salt", "with").alias("lo"), F.greatest("salt", "with").alias("hi")
+    own = F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int")
+    salted = keyed.join(large, "key", "left").select("fp", "key", salts.alias("salts")).withColumn("salt", own)
+    others = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("with")
+    met = salted.select("fp", "key", "salt", others).select(
+        "fp", "key", "salt", F.least("salt", "with").alias("lo"), F.greatest("salt", "with").alias("hi")
     )
     target = pa_schema("a bigint, b bigint")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
-        def values(column: pa.ChunkedArray) -> np.ndarray:
-            if not pa.types.is_list(column.type):
-                return column.to_numpy()
-            return column.combine_chunks().flatten().to_numpy().reshape(len(column), -1)
-
         def links(rows: pa.Table) -> pa.RecordBatch:
-            key, lo, hi, salt = (rows.column(c).to_numpy() for c in ("key", "lo", "hi", "salt"))
+            key, lo, hi, salt, fp = (rows.column(c).to_numpy() for c in ("key", "lo", "hi", "salt", "fp"))
             turn = np.ones(len(key), bool)
             turn[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-            pairs = link(np.cumsum(turn), salt, *(values(rows.column(c)) for c in columns), lo != hi)
+            pairs = link_groups(np.cumsum(turn), salt, fp.view(np.uint64), lo != hi, most_different)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=target)
 
         for batch in batches:
@@ -308,103 +188,25 @@ def _links_of_groups(
             yield links(held)
 
     groups = met.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return groups.select(*columns, "key", "salt", "lo", "hi").mapInArrow(compare, "a bigint, b bigint")
+    return groups.select("fp", "key", "salt", "lo", "hi").mapInArrow(compare, "a bigint, b bigint")
 
 
-def near_links(
-    prints: DataFrame, group_rows: int = GROUP_ROWS, most_different: int = MOST_DIFFERENT, blocks: tuple[int, ...] = BLOCKS
+def components(
+    df: DataFrame, key: str, text: str, shingle: int, most_different: int, blocks: tuple[int, ...]
 ) -> DataFrame:
-    """Links (``a``, ``b``) that join all distinct fingerprints ``fp`` of at most ``most_different`` different bits."""
-
-    def link(group: np.ndarray, salt: np.ndarray, fp: np.ndarray, cross: np.ndarray) -> np.ndarray:
-        return link_groups(group, salt, fp.view(np.uint64), cross, most_different)
-
-    return _links_of_groups(_keyed(prints, most_different, blocks), ["fp"], link, group_rows)
-
-
-def jaccard_column(left: Column | str, right: Column | str, shingle: int) -> Column:
-    """Exact similarity of the sets of word shingles; two texts without words are alike."""
-
-    def shingles(text: str | None) -> set[bytes]:
-        words = _words(text)
-        return {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
-
-    @F.arrow_udf("double")
-    def jaccard(lefts: pa.Array, rights: pa.Array) -> pa.Array:
-        out = []
-        for a, b in zip(lefts, rights, strict=True):
-            x, y = shingles(a.as_py()), shingles(b.as_py())
-            both = len(x & y)
-            out.append(both / (len(x) + len(y) - both))
-        return pa.array(out, pa.float64())
-
-    return jaccard(left, right)
+    """``key``, fingerprint ``fp``, ``body`` (a hash of the whole text), ``root`` and ``component_id`` of every row.
 
-
-def similar_links(
-    nodes: DataFrame, df: DataFrame, text: str, *, shingle: int, similarity: float, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Verified links (``a``, ``b``) between the distinct texts ``nodes`` (``body``, ``marks``) of ``df``; a written table."""
-    fp, bands = F.col("marks")[0].alias("fp"), F.slice("marks", 2, BANDS)
-    sketch = F.slice("marks", 2 + BANDS, BANDS * BAND_ROWS // 4).alias("sketch")
-
-    def nearest(group, salt, body, fp, root, cross) -> np.ndarray:
-        return nearest_links(group, salt, body, fp.view(np.uint64), cross, root)
-
-    def still_open(group, salt, body, fp, root, sketch, cross) -> np.ndarray:
-        return open_links(group, salt, body, fp.view(np.uint64), cross, root, sketch, similarity - SKETCH_SLACK)
-
-    def verified(found: DataFrame) -> DataFrame:
-        ends = found.select(F.col("a").alias("body")).unionByName(found.select(F.col("b").alias("body"))).distinct()
-        bodies = df.select(F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
-        texts = written(bodies.join(ends, "body", "left_semi").groupBy("body").agg(F.min("text").alias("text")), "texts")
-        pairs = found.join(texts.toDF("a", "left"), "a").join(texts.toDF("b", "right"), "b")
-        return written(pairs.where(jaccard_column("left", "right", shingle) >= similarity).select("a", "b"), "alike")
-
-    def ordered(found: DataFrame) -> DataFrame:
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    keyed = nodes.select("body", fp, F.col("body").alias("root"), F.explode(bands).alias("key"))
-    found = _links_of_groups(keyed, ["body", "fp", "root"], nearest, group_rows, crossing=False)
-    tried = written(ordered(found), "candidates")
-    first = verified(tried)
-    roots = connected_components(first, "a", "b").withColumnsRenamed({"node": "body"})
-    rooted = nodes.join(roots, "body", "left").withColumn("root", F.coalesce("root", "body"))
-    keyed = rooted.select("body", "root", F.explode(bands).alias("key"))
-    mixed = keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    # only groups that still hold several roots; the sketches go to their rows alone
-    keyed = written(keyed.join(mixed, "key", "left_semi"), "open").join(nodes.select("body", fp, sketch), "body")
-    found = _links_of_groups(keyed, ["body", "fp", "root", "sketch"], still_open, group_rows)
-    more = written(ordered(found).join(tried, ["a", "b"], "left_anti"), "candidates")
-    return first.unionByName(verified(more))
-
-
-def near_duplicates(prints: DataFrame, key: str, node: str, links: DataFrame) -> DataFrame:
-    """``prints`` (``key``, ``node``) with ``component_id``, the least ``key`` that a row can reach over links of nodes.
-
-    ``root`` tells components apart whose keys are all null. ``prints`` is read several times; pass a written table.
+    ``component_id`` is the least key that a row can reach; ``root`` tells components apart whose keys are all null.
     """
-    nodes = prints.groupBy(node).agg(F.min(key).alias("least"))
-    roots = connected_components(links, "a", "b").withColumnsRenamed({"node": node})
-    placed = nodes.join(roots, node, "left").select(node, "least", F.coalesce("root", node).alias("root"))
-    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = placed.join(names, "root").select(node, "root", "component_id")
-    return prints.join(members, node).select(*prints.columns, "root", "component_id")
-
-
-def components(
-    df: DataFrame, key: str, text: str, shingle: int, similarity: float | None, most_different: int, blocks: tuple[int, ...]
-) -> DataFrame:
-    """``key``, fingerprint ``fp``, ``body`` (a hash of the whole text), ``root`` and ``component_id`` of every row."""
     body = F.xxhash64(F.col(text)).alias("body")
-    marks = marks_column(text, shingle, similarity is not None).alias("marks")
-    rows = written(df.select(F.col(key).alias("key"), marks, body), "fingerprints")
-    prints = rows.select("key", F.col("marks")[0].alias("fp"), "body")
-    if similarity is None:
-        links = near_links(prints.select("fp").distinct(), GROUP_ROWS, most_different, blocks)
-        return near_duplicates(prints, "key", "fp", links)
-    nodes = written(rows.select("body", "marks").dropDuplicates(["body"]), "nodes")
-    return near_duplicates(prints, "key", "body", similar_links(nodes, df, text, shingle=shingle, similarity=similarity))
+    prints = written(df.select(F.col(key).alias("key"), fingerprint_column(text, shingle).alias("fp"), body), "fingerprints")
+    links = near_links(prints.select("fp").distinct(), GROUP_ROWS, most_different, blocks)
+    nodes = prints.groupBy("fp").agg(F.min("key").alias("least"))
+    roots = connected_components(links, "a", "b").withColumnsRenamed({"node": "fp"})
+    placed = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    members = placed.join(names, "root").select("fp", "root", "component_id")
+    return prints.join(members, "fp").select("key", "fp", "body", "root", "component_id")
 
 
 def simhash_components(
@@ -413,15 +215,11 @@ def simhash_components(
     text: str,
     *,
     shingle: int = SHINGLE,
-    similarity: float | None = SIMILARITY,
     most_different: int = MOST_DIFFERENT,
     blocks: tuple[int, ...] = BLOCKS,
 ) -> DataFrame:
-    """``key``, fingerprint as 16 hex digits and component of every row.
-
-    ``most_different`` and ``blocks`` count where ``similarity`` is None.
-    """
-    found = components(df, key, text, shingle, similarity, most_different, blocks)
+    """``key``, fingerprint as 16 hex digits and component of every row."""
+    found = components(df, key, text, shingle, most_different, blocks)
     return found.select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -431,7 +229,6 @@ def keep_one_per_group(
     text: str,
     *,
     shingle: int = SHINGLE,
-    similarity: float | None = SIMILARITY,
     most_different: int = MOST_DIFFERENT,
     blocks: tuple[int, ...] = BLOCKS,
 ) -> DataFrame:
@@ -441,7 +238,7 @@ def keep_one_per_group(
     """
     own = own_columns(df)
     body, of, kept_body = own("body"), own("key"), own("kept")
-    found = components(df, key, text, shingle, similarity, most_different, blocks)
+    found = components(df, key, text, shingle, most_different, blocks)
     least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "body")).alias("least")
     kept = found.groupBy("root").agg(least).select(F.col("least.key").alias(of), F.col("least.body").alias(kept_body))
     same = F.col(key).eqNullSafe(F.col(of)) & (F.col(body) == F.col(kept_body))

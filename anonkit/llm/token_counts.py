@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cache
 from itertools import filterfalse
 
 import numpy as np
@@ -28,7 +29,7 @@ from anonkit.llm.common import map_rows, tokenizer_path
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _NO_RANK = np.int64(1) << 40
-_MEMO_PIECES = 1_000_000
+_MEMO_PIECES = 500_000
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,11 +112,14 @@ class RankMerger:
     def merge(self, pieces: list[bytes], with_ids: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Surviving symbols of each piece: their number and, one piece after the other, their ids."""
         length = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        out = np.zeros(len(pieces), np.int64)
+        return self.merge_flat(np.frombuffer(b"".join(pieces), np.uint8), length, with_ids)
+
+    def merge_flat(self, data: np.ndarray, length: np.ndarray, with_ids: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces whose bytes lie one after the other, with the length of each."""
+        out = np.zeros(len(length), np.int64)
         row = np.flatnonzero(length)
         done_flat: list[np.ndarray] = []
         done_row: list[np.ndarray] = []
-        data = np.frombuffer(b"".join(pieces), np.uint8)
         flat, length = self.first[data], length[row]
         last = np.cumsum(length) - 1
         flat[last] = self.final[data[last]]
@@ -223,7 +227,10 @@ class TextCounter:
         return [next(sums) if text else 0 for text in texts]
 
 
-_counters: dict[str, TextCounter] = {}
+@cache
+def own_counter(path: str) -> TextCounter:
+    """That of this worker process, with its memo."""
+    return TextCounter(path)
 
 
 def count_tokens(
@@ -232,11 +239,9 @@ def count_tokens(
     """``key``, n_bytes, n_tokens and over_limit (more than ``limit`` tokens) of every text. A projection: no shuffle."""
 
     def work(keys: pa.Array, texts: pa.Array) -> dict[str, object]:
-        path = tokenizer_path(tokenizer)
-        if path not in _counters:
-            _counters[path] = TextCounter(path)
+        counter = own_counter(tokenizer_path(tokenizer))
         values = texts.to_pylist()
-        n = [c for i in range(0, len(values), slice_rows) for c in _counters[path].counts(values[i : i + slice_rows])]
+        n = [c for i in range(0, len(values), slice_rows) for c in counter.counts(values[i : i + slice_rows])]
         size = [len(t.encode()) if t else 0 for t in values]
         return {key: keys, "n_bytes": size, "n_tokens": n, "over_limit": [c > limit for c in n]}
 

@@ -135,3 +135,15 @@ def test_quality_of_odd_tables(spark, odd_documents):
     assert quality.drop_junk(odd_documents, model).columns == odd_documents.columns
     empty = odd_documents.limit(0)
     assert quality.drop_junk(empty, quality.fit(empty)).count() == 0
+
+
+def test_words_described_in_bulk_as_one_by_one():
+    rng = np.random.default_rng(2)
+    signs = [chr(c) for c in range(0x21, 0x300) if not chr(c).isspace()] + ["\u4e2d", "\u00e9", "\u01c5", "\u0130", "\U0001f600"]
+    words = ["".join(rng.choice(signs, rng.integers(1, 6))) for _ in range(20_000)]
+    words += [w + e for w in ("Word", "WORD", "word", "W", "w", "wOrd", "\u01c5A", "\u00aaB", "\u00df") for e in ("", ".", ",", ";", ":", "!", "?", "..", "-")]
+    shapes = quality.TextShapes()
+    attributes, bucket = shapes._describe(words)
+    for i, word in enumerate(words):
+        shape, *rest = quality.describe(word)
+        assert (bucket[i], attributes[i].tolist()) == (zlib.crc32(shape.encode()), [float(x) for x in rest]), word

@@ -1,35 +1,15 @@
-"""Near-duplicates by similarity of word shingles, against all pairs."""
+"""SimHash components against all pairs of fingerprints, with both widths of keys."""
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from anonkit.llm import simhash
 from anonkit.llm.common import table
 
 
-def similar_pairs(texts, least=0.8, shingle=5):
-    """All pairs of at least that Jaccard, as {(a, b): Jaccard}: rarest shingles first, only as many as such a pair must share."""
-    sets = {}
-    for k, t in texts.items():
-        words = (t or "").encode().lower().split()
-        sets[k] = {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
-    often = Counter(s for x in sets.values() for s in x)
-    index, found = defaultdict(list), {}
-    for k, x in sets.items():
-        order = sorted(x, key=lambda s: (often[s], s))[: len(x) - int(np.ceil(least * len(x) - 1e-9)) + 1]
-        for other in {o for s in order for o in index[s]}:
-            both = len(x & sets[other])
-            if (j := both / (len(x) + len(sets[other]) - both)) >= least:
-                found[other, k] = j
-        for s in order:
-            index[s].append(k)
-    return found
-
-
 def parts(nodes, pairs):
     root = {n: n for n in nodes}
 
@@ -44,55 +24,35 @@ def parts(nodes, pairs):
     return {n: find(n) for n in nodes}
 
 
-def edited(rng, words, changes):
-    out = list(words)
-    for at in rng.choice(len(out), changes, replace=False):
-        out[at] = f"x{rng.integers(10**9)}"
-    return " ".join(out)
-
-
-@pytest.mark.parametrize("rows", [1, 60])
-def test_pairs_of_four_fifths_are_grouped_and_others_are_not(spark, rows):
-    """Alone, and as a large group of near copies whose keys are dealt out by salts."""
-    rng = np.random.default_rng(8)
-    texts, key = {}, 0
-    for base in range(2 if rows > 1 else 25):
-        words = [f"w{base}_{i}" for i in range(200)]
-        texts[key] = " ".join(words)
-        for copy in range(rows):
-            texts[key + 1 + copy] = edited(rng, words, int(rng.integers(1, 6)))
-        texts[key + rows + 1] = edited(rng, words, 12)  # about 0.6 and no copy
-        key += rows + 2
-    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    pairs = similar_pairs(texts)
-    assert any((simhash.fingerprint(texts[a], 5) ^ simhash.fingerprint(texts[b], 5)).bit_count() > 4 for a, b in pairs)
-    want = parts(texts, pairs)
-    assert {r.doc_id: r.component_id for r in simhash.simhash_components(df, "doc_id", "text").collect()} == want
-    kept = {r.doc_id for r in simhash.keep_one_per_group(df, "doc_id", "text").collect()}
-    assert kept == set(want.values())
-
-
-def test_documents_equal_all_pairs(spark):
-    texts = {r.doc_id: r.text for r in table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").collect()}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    got = {r.doc_id: r.component_id for r in simhash.simhash_components(docs, "doc_id", "text").collect()}
-    assert got == parts(texts, similar_pairs(texts))
-
-
-def test_forest_of_salted_groups_loses_no_near_row():
-    rng = np.random.default_rng(4)
-    n = 300
-    prints = rng.integers(0, 2**63, 6).astype(np.uint64)[np.arange(n) % 6]
-    for i in range(n):
-        prints[i] ^= np.uint64(sum(1 << int(b) for b in rng.choice(64, 4, replace=False)))
-    ids, salt = np.arange(n), rng.integers(0, 2, n)
-    group, no = np.zeros(n, np.int64), np.zeros(n, bool)
-    near = [(a, b) for a in range(n) for b in range(a) if int(prints[a] ^ prints[b]).bit_count() <= simhash.SIMILAR_BITS]
-    own = simhash.nearest_links(group, salt, ids, prints, no, ids)
-    assert parts(ids, own.tolist()) == parts(ids, near) and len(own) < n
-    cross = simhash.nearest_links(group, salt, ids, prints, ~no, ids)
-    assert parts(ids, cross.tolist()) == parts(ids, [(a, b) for a, b in near if salt[a] != salt[b]])
-    root, sketch = np.array(list(parts(ids, near).values())), np.zeros((n, 25), np.int64)
-    assert len(simhash.nearest_links(group, salt, ids, prints, ~no, root)) == 0
-    assert len(simhash.open_links(group, salt, ids, prints, no, root, sketch, 0.65)) == 0
-    assert {frozenset(p) for p in simhash.open_links(group, salt, ids, prints, no, ids, sketch, 0.65).tolist()} == set(map(frozenset, near))
+def near_pairs(texts, most=4):
+    keys = list(texts)
+    prints = np.array([simhash.fingerprint(texts[k]) for k in keys], np.uint64)
+    for i, k in enumerate(keys):
+        for j in np.flatnonzero(np.bitwise_count(prints[i + 1 :] ^ prints[i]) <= most):
+            yield k, keys[i + 1 + int(j)]
+
+
+@pytest.mark.parametrize("blocks", [simhash.BLOCKS, (8,) * 8])
+def test_documents_equal_all_pairs(spark, blocks):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = parts(texts, near_pairs(texts))
+    got = {r.doc_id: r.component_id for r in simhash.simhash_components(docs, "doc_id", "text", blocks=blocks).collect()}
+    assert got == want
+    kept = {r.doc_id for r in simhash.keep_one_per_group(docs, "doc_id", "text", blocks=blocks).collect()}
+    assert kept == set(want.values()) and len(kept) < len(texts)
+
+
+def test_wide_keys_lose_no_link(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 40)
+    prints = [int(b) for b in base]
+    for b in base:
+        for bits in range(1, 7):
+            prints.append(int(b) ^ sum(1 << int(x) for x in rng.choice(63, bits, replace=False)))
+    prints = sorted(set(prints))
+    df = spark.createDataFrame([(p,) for p in prints], "fp bigint")
+    links = [(r.a, r.b) for r in simhash.near_links(df, 8, blocks=(8,) * 8).collect()]
+    pairs = [(a, b) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 4]
+    assert parts(prints, links) == parts(prints, pairs)
+    assert df.where(F.col("fp").isNull()).count() == 0
