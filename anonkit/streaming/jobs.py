@@ -32,9 +32,9 @@ def run_files(
 ) -> StreamingQuery:
     """Process the parquet files that arrived since the last run, then stop.
 
-    By default one batch takes all files. ``max_bytes_per_trigger`` (such as
-    ``10t``) bounds what is done again after a crash; it should be many times
-    what the cluster reads at once. ``transform`` must keep no state.
+    By default one batch takes all files. ``max_bytes_per_trigger`` (a
+    whole number of bytes) bounds what is done again after a crash; it should
+    be many times what the cluster reads at once. ``transform`` must keep no state.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:

@@ -21,9 +21,9 @@ def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose sets of five-word shingles are alike to 0.8 or more."""
+    """One document of each group of texts that fingerprints of four-word shingles within four bits join."""
     ship_package(spark)
-    return simhash.keep_one_per_group(docs, "doc_id", "text", shingle=5, similarity=0.8)
+    return simhash.keep_one_per_group(docs, "doc_id", "text")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
