@@ -11,9 +11,10 @@ Query blocks meet vector blocks in an equi-join on block numbers; each pair is o
 bounded memory. Each gives at most k rows per query, which are ranked once more.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without id, take no
-part; shorter vectors are filled up with zeros; components beyond 32 bits after scaling are cut to 32 bits;
-rows that have the query's id are its own; a repeated row is a candidate as often as it occurs, but asked
-once; ties go to the smaller id; an empty table gives no rows; other columns have no effect.
+part; shorter vectors are filled up with zeros; scores are exact, and a component of more than 61 bits after scaling or
+a score beyond a long ends the job with an error, never with a wrong number; rows that have the query's id are its own; a
+repeated row is a candidate as often as it occurs, but asked once; rows of one id with different vectors are a query
+each, with a ranking each under that id; ties go to the smaller id; an empty table gives no rows; other columns have no effect.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from anonkit.llm.common import pa_schema, written
 
 SLICES = 6
-_LIMIT = 2**31 - 1
+_LIMIT = 2.0**61
 
 
 def scaled(vectors: list[list[float]], scale: float) -> np.ndarray:
@@ -37,7 +38,24 @@ def scaled(vectors: list[list[float]], scale: float) -> np.ndarray:
     out = np.zeros((len(vectors), width))
     for row, vector in zip(out, vectors, strict=True):
         row[: len(vector)] = vector
-    return np.clip(np.floor(scale * out), -_LIMIT, _LIMIT).astype(np.int64)
+    out = np.floor(scale * out)
+    if out.size and np.abs(out).max() >= _LIMIT:
+        raise OverflowError("a component has more than 61 bits after scaling")
+    return out.astype(np.int64)
+
+
+def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Dot product of each row of one array with the same row of the other: in 64 bits if no sum can pass them, else in
+    Python's integers."""
+    if not len(left):
+        return np.zeros(0, np.int64)
+    bound = int(np.abs(left).max()) * int(np.abs(right).max()) * left.shape[1]
+    if bound < 2**63:
+        return (left * right).sum(axis=1)
+    sums = (left.astype(object) * right.astype(object)).sum(axis=1)
+    if max(map(abs, sums)) >= 2**63:
+        raise OverflowError("a score does not fit a long")
+    return sums.astype(np.int64)
 
 
 class BitSlices:
@@ -106,7 +124,7 @@ class BitSlices:
             sure = np.where(enough[:, None], sure, sure | above)
             equal = np.where(enough[:, None], above, equal & ~sums[column])
         # low bits add between sum(q-)*m and sum(q+)*m for m = 2**shift - 1: all in all |q| * m
-        slack = np.abs(queries).sum(axis=1) * ((1 << self.shift) - 1)
+        slack = [sum(map(int, row)) * ((1 << self.shift) - 1) for row in np.abs(queries)]
         floor = [max(0, value - (-(-int(s) // (1 << self.shift)))) for value, s in zip(reached, slack, strict=True)]
         greater = np.zeros_like(sure)
         equal = np.broadcast_to(self.valid, sure.shape).copy()
@@ -119,7 +137,7 @@ class BitSlices:
         return np.nonzero(flags[:, : len(self.ids)])
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, batch: int = 32) -> tuple[np.ndarray, ...]:
-        """Query id, row id and exact score of each query's ``k`` best rows here, without its own."""
+        """Number of the query, row id and exact score of each query's ``k`` best rows here, without its own."""
         width = min(queries.shape[1], self.rows.shape[1])
         padded = np.zeros((len(queries), self.rows.shape[1]), np.int64)
         padded[:, :width] = queries[:, :width]
@@ -132,19 +150,14 @@ class BitSlices:
             q, row = self.candidates(padded[part], k + own[part])
             asked = query_ids[part][q]
             other = self.ids[row] != asked
-            q, row, asked = q[other], row[other], asked[other]
-            score = np.concatenate(
-                [np.zeros(0, np.int64)]
-                + [
-                    (padded[part][q[i : i + 65536]] * self.rows[row[i : i + 65536]]).sum(axis=1)
-                    for i in range(0, len(q), 65536)
-                ]
-            )
+            q, row = q[other], row[other]
+            parts = [exact_products(padded[part][q[i : i + 65536]], self.rows[row[i : i + 65536]]) for i in range(0, len(q), 65536)]
+            score = np.concatenate([np.zeros(0, np.int64), *parts])
             order = np.lexsort((self.ids[row], -score, q))
-            q, row, asked, score = q[order], row[order], asked[order], score[order]
+            q, row, score = q[order], row[order], score[order]
             first = np.searchsorted(q, q, "left")
             best = np.arange(len(q)) - first < k
-            out.append((asked[best], self.ids[row][best], score[best]))
+            out.append((start + q[best], self.ids[row][best], score[best]))
         return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
 
@@ -176,13 +189,13 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` greatest inner products of each query."""
     index, blocks = build_index(usable(vectors, key, vector), block_rows)
-    asked = usable(queries, key, vector).distinct()
+    asked = usable(queries, key, vector).distinct().withColumn("name", F.xxhash64("id", "v"))
     groups = max(1, -(-asked.count() // query_rows))
     batches = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("batch")).agg(
-        F.collect_list(F.struct("id", "v")).alias("asked")
+        F.collect_list(F.struct("id", "v", "name")).alias("asked")
     )
     met = batches.select("batch", "asked", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    target = pa_schema("query_id bigint, vec_id bigint, score bigint")
+    target = pa_schema("query_id bigint, asked bigint, vec_id bigint, score bigint")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(values: list[dict]) -> tuple[np.ndarray, np.ndarray]:
@@ -190,11 +203,15 @@ def top_k(
 
         for batch in batches:
             for i in range(batch.num_rows):
-                found = BitSlices(*table(batch.column("rows")[i].as_py())).search(*table(batch.column("asked")[i].as_py()), k)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], schema=target)
+                values = batch.column("asked")[i].as_py()
+                ids, vectors = table(values)
+                names = np.array([r["name"] for r in values], np.int64)
+                query, row, score = BitSlices(*table(batch.column("rows")[i].as_py())).search(ids, vectors, k)
+                columns = (ids[query], names[query], row, score)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=target)
 
     pairs = index.join(met, "block").repartition(min(blocks * groups, 4096), "block", "batch")
-    found = pairs.select("rows", "asked").mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.select("rows", "asked").mapInArrow(search, "query_id bigint, asked bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+import math
+
 import numpy as np
 import pytest
 import xxhash
@@ -218,3 +220,35 @@ def test_vectors_that_take_no_part(spark):
     assert [r[0] for r in got] == [0] * len(got)
     assert [(r[2], r[3]) for r in got] == [(7, 5 * 65536), (5, 3 * 65536), (4, 0), (4, 0), (6, 0)]
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [1e7, 1e9, 1e12])
+def test_top_k_of_large_components_is_exact(spark, size):
+    rng = np.random.default_rng(int(size))
+    rows = [(i, [float(x) for x in rng.choice([0.0, 1.0, -1.0], 6) * (size if i % 2 else 1.0)]) for i in range(40)]
+    rows = [(i, v if i % 4 < 2 or size < 1e9 else [x / size for x in v]) for i, v in rows]
+    small = [(100 + i, [1.0, -2.0, 3.0, 0.0, 0.5, 1.0]) for i in range(2)]
+    df = spark.createDataFrame(rows + small, "vec_id bigint, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id >= 100")).orderBy("query_id", "rank").collect()]
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows + small}
+    want = []
+    for q, _ in small:
+        score = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in whole.items() if i != q}
+        want += [(q, n + 1, i, score[i]) for n, i in enumerate(sorted(score, key=lambda i: (-score[i], i))[:5])]
+    assert got == want
+
+
+def test_top_k_says_what_does_not_fit(spark):
+    df = spark.createDataFrame([(1, [1e17, 0.0]), (2, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="61 bits"):
+        topk.top_k(df, df).collect()
+    df = spark.createDataFrame([(1, [1e12] * 3), (2, [1e12] * 3)], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(df, df).collect()
+
+
+def test_top_k_of_one_id_with_two_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [3.0, 1.0]), (3, [1.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id = 1"), k=1).collect())
+    assert got == [(1, 1, 2, 256 * 768), (1, 1, 3, 256 * 768)]
