@@ -146,13 +146,14 @@ class BenchmarkBlock:
 
 
 def benchmark_blocks(items: DataFrame, key: str, text: str, block_bytes: int) -> list[BenchmarkBlock]:
-    """The benchmark in blocks of about ``block_bytes``; only one block at a time passes the driver."""
+    """The benchmark in blocks of about ``block_bytes``, whichever ids its rows have. The driver and each worker hold all blocks, so
+    the benchmark has to fit a worker's memory."""
     known = items.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text).distinct()
     size = known.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     count = max(1, -(-size // block_bytes))
     blocks = []
     for i in range(count):
-        rows = known.where(F.pmod(F.xxhash64(F.col(key)), F.lit(count)) == i).orderBy(key, text).collect()
+        rows = known.where(F.pmod(F.xxhash64(key, text), F.lit(count)) == i).orderBy(key, text).collect()
         blocks.append(BenchmarkBlock([(r[0], r[1]) for r in rows]))
     return blocks
 

@@ -8,26 +8,30 @@ scoring segments (each run whose sum no longer or shorter run beats). Their scor
 extreme-value law: in n tokens of clean text a score of S or more is expected ``scale * n * exp(-rate * S)``
 times. Scale and rate are the maximum-likelihood fit to the segments of clean texts that the word counts
 have not seen. The evidence of a text is how surprising its best segments are together; a logistic curve,
-fitted on labelled texts that the counts have not seen either, turns it into a probability. A word scores above zero once per text, so mere repetition proves nothing.
+fitted on labelled texts that the counts have not seen either, turns it into a probability.
 
-The model is fitted on a bounded sample of labelled texts (``sample_rows``) and holds at most
-``most_features`` words and prefixes. Scoring is a projection over all rows.
+Mere repetition proves nothing: a word scores above zero only if it did not just before (``REACH`` words), and in the
+evidence of several segments each word counts in the best segment that holds it. So every passage is scored by
+itself, whatever stands before it, and more evidence never makes a text look cleaner.
+
+The model is fitted on a bounded sample of labelled texts (``sample_rows``, half of each class, weighted by how many labelled
+texts each stands for) and holds at most ``most_features`` words and prefixes. Scoring is a projection over all rows.
 
 Defined cases: null, empty and wordless texts get the score of no evidence; without labelled texts of
-both classes every score is 0; labels that are null are left out, of several labels of a key the largest
+both classes every score is 0; the only text of a class serves both counts and curve; labels that are null are left out, of several labels of a key the largest
 counts; repeated rows score alike; an empty table gives no rows; other columns have no effect.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from anonkit.llm.common import map_rows, pa_schema, word_bytes, written
@@ -36,6 +40,7 @@ PREFIXES = (3, 4, 5, 6)  # characters
 PRIOR = 4.0
 DRAG = 1.0
 THRESHOLD = 0.3
+REACH = 64  # words
 _MEMO_WORDS = 200_000
 
 
@@ -73,35 +78,49 @@ class SegmentModel:
         for word in set(words).difference(memo):
             memo[word] = self.word_score(word)
         scores = np.fromiter(map(memo.__getitem__, words), float, len(words))
-        seen: set[bytes] = set()
+        last: dict[bytes, int] = {}
         for i in np.flatnonzero(scores > 0).tolist():
-            if words[i] in seen:
+            if i - last.get(words[i], -REACH - 1) <= REACH:
                 scores[i] = -DRAG
-            seen.add(words[i])
+            last[words[i]] = i
         return scores
 
-    def evidence(self, scores: np.ndarray) -> float:
+    def evidence(self, scores: np.ndarray, words: list[bytes]) -> float:
         """log(1 + surprise), with the surprise of the best r segments, for the r that gives most.
 
         The r-th best score S is reached by chance ``E = scale * n * exp(-rate * S)`` times; r or more times
-        has a probability of at most ``exp(r - E) * (E / r) ** r`` (Chernoff bound of the Poisson law).
+        has a probability of at most ``exp(r - E) * (E / r) ** r`` (Chernoff bound of the Poisson law). Of a segment
+        behind the best one, words that a better one holds count nothing.
         """
-        best = np.sort([s for _, _, s in segments(scores)])[::-1]
-        if not len(best):
+        found = sorted(segments(scores), key=lambda s: (-s[2], s[0]))
+        if not found:
             return 0.0
+        counted: set[bytes] = set()
+        own = []
+        for start, end, total in found:
+            good = (start + np.flatnonzero(scores[start:end] > 0)).tolist()
+            total -= sum(float(scores[i]) for i in good if words[i] in counted)
+            counted.update(words[i] for i in good)
+            if total > 0:
+                own.append(total)
+        best = np.sort(own)[::-1]
         r = np.arange(1, len(best) + 1)
         log_expected = math.log(self.scale * len(scores)) - self.rate * best
         expected = np.exp(np.minimum(log_expected, 50))
         surprise = np.where(r > expected, expected - r + r * (np.log(r) - log_expected), 0.0)
         return math.log1p(float(surprise.max()))
 
+    def text_evidence(self, text: str | None) -> float:
+        words = words_of(text)
+        return self.evidence(self.token_scores(words), words)
+
     def probability(self, evidence: float) -> float:
         if self.bias == -math.inf:
             return 0.0
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, self.bias + self.weight * evidence))))
 
     def score(self, text: str | None) -> float:
-        return self.probability(self.evidence(self.token_scores(words_of(text))))
+        return self.probability(self.text_evidence(text))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -130,52 +149,62 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample_rows: int) -> DataFrame:
-    """At most about ``sample_rows`` labelled texts outside the held-out quarter, chosen by a hash of the key.
+    """At most about ``sample_rows`` labelled texts outside the held-out quarter, chosen by a hash of the key, half of each class.
 
-    A quarter of them (``curve``) is kept from the counts, for the rate and the curve. Written as a table.
+    ``weight`` is how many labelled texts a row stands for, on average 1. Every fourth of a class (``curve``) is kept from the
+    counts, for the rate and the curve; the only one of a class is in both. Written as a table.
     """
     crc = F.crc32(F.col(key).cast("string").cast("binary"))
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (F.pmod(crc, F.lit(4)) != 2))
         .groupBy(F.col(key).alias("key"))
-        .agg(F.max(label).cast("int").alias("label"))
+        .agg((F.max(label).cast("int") == 1).alias("toxic"))
     )
-    step = max(1, -(-known.count() // sample_rows))
-    # bounded: one in ``step`` of the keys, so about sample_rows rows
-    chosen = F.broadcast(known.where(F.pmod(F.xxhash64("key"), F.lit(step)) == 0))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    steps = {toxic: max(1, -(-n // max(1, sample_rows // 2))) for toxic, n in sizes.items()}
+    if sum(sizes.values()) <= sample_rows:
+        steps = dict.fromkeys(sizes, 1)
+    step = F.when(F.col("toxic"), steps.get(True, 1)).otherwise(steps.get(False, 1))
+    # bounded: one in ``step`` of the keys of a class, so about sample_rows rows
+    chosen = F.broadcast(known.where(F.pmod(F.xxhash64("key"), step) == 0))
     sample = (
         docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         .join(chosen, "key")
-        .groupBy("key", "label")
+        .groupBy("key", "toxic")
         .agg(F.min("text").alias("text"))
     )
-    curve = F.pmod(F.xxhash64("key", F.lit("curve")), F.lit(4)) == 0
-    return written(sample.select("key", "text", F.col("label") == 1, curve).toDF("key", "text", "toxic", "curve"), "toxic")
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("key", F.lit("curve")), "key"))  # of the sample
+    alone = F.count("*").over(Window.partitionBy("toxic")) == 1
+    kept = sum(n / steps[toxic] for toxic, n in sizes.items()) or 1.0
+    weight = (step * F.lit(kept / max(1, sum(sizes.values())))).cast("double").alias("weight")
+    curve = F.col("place") % 4 == 1
+    rows = sample.withColumns({"place": place, "alone": alone})
+    return written(rows.select("key", "text", "toxic", curve.alias("curve"), (~curve | F.col("alone")).alias("counted"), weight), "toxic")
 
 
 def feature_scores(sample: DataFrame, base: float, most_features: int) -> dict[str, float]:
     """Log-odds of the features that say something other than their prior; the clearest ``most_features``."""
-    target = pa_schema("root string, feature string, toxic bigint, n bigint")
+    target = pa_schema("root string, feature string, toxic double, n double")
     kept = pa_schema("feature string, score double, weight double")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic: Counter[str] = Counter()
-            n: Counter[str] = Counter()
-            for text, bad in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            toxic: defaultdict[str, float] = defaultdict(float)
+            n: defaultdict[str, float] = defaultdict(float)
+            for text, bad, weight in zip(*(batch.column(k).to_pylist() for k in ("text", "toxic", "weight")), strict=True):
                 words = [w.decode("utf-8", "replace") for w in set(words_of(text))]
-                features = {f for w in words for f in chain(w)}
-                n.update(features)
-                if bad:
-                    toxic.update(features)
+                for feature in {f for w in words for f in chain(w)}:
+                    n[feature] += weight
+                    if bad:
+                        toxic[feature] += weight
             names = list(n)
             root = [f[: PREFIXES[0]] for f in names]
-            columns = (root, names, [toxic[f] for f in names], list(n.values()))
+            columns = (root, names, [toxic.get(f, 0.0) for f in names], list(n.values()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic: Counter[str] = Counter()
-        n: Counter[str] = Counter()
+        toxic: defaultdict[str, float] = defaultdict(float)
+        n: defaultdict[str, float] = defaultdict(float)
         for batch in batches:
             for name, t, c in zip(*(batch.column(k).to_pylist() for k in ("feature", "toxic", "n")), strict=True):
                 toxic[name] += t
@@ -192,19 +221,19 @@ def feature_scores(sample: DataFrame, base: float, most_features: int) -> dict[s
         columns = zip(*out, strict=True) if out else ([], [], [])
         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, kept, strict=True)], schema=kept)
 
-    counted = sample.select("text", "toxic").mapInArrow(count, "root string, feature string, toxic bigint, n bigint")
+    counted = sample.select("text", "toxic", "weight").mapInArrow(count, "root string, feature string, toxic double, n double")
     weighed = counted.repartition("root").mapInArrow(weigh, "feature string, score double, weight double")
     rows = weighed.orderBy(F.desc("weight"), "feature").limit(most_features).collect()
     return {r.feature: r.score for r in rows}
 
 
-def fit_curve(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+def fit_curve(evidence: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Weight and bias of a logistic curve over the evidence; slightly ridged, so separable data stay finite."""
     x = np.stack([evidence, np.ones(len(evidence))], axis=1)
     w, ridge = np.zeros(2), np.diag([0.05, 0.01])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (toxic - p) - ridge @ w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (toxic - p)) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -223,12 +252,12 @@ def fit(
 ) -> SegmentModel:
     """Learn the model; what reaches the driver is bounded by the two limits."""
     sample = training_rows(docs, labels, key, text, label, sample_rows)
-    counted = {(r.curve, r.toxic): r.n for r in sample.groupBy("curve", "toxic").agg(F.count("*").alias("n")).collect()}
-    bad, good = counted.get((False, True), 0), counted.get((False, False), 0)
+    sums = sample.groupBy("toxic").agg(F.sum("weight").alias("weight")).collect()
+    weights = {r["toxic"]: r["weight"] for r in sums}
     model = SegmentModel({})
-    if not (bad and good and counted.get((True, True)) and counted.get((True, False))):
+    if len(weights) < 2:
         return model
-    model.scores = feature_scores(sample.where("not curve"), bad / (bad + good), most_features)
+    model.scores = feature_scores(sample.where("counted"), weights[True] / sum(weights.values()), most_features)
 
     def tally(texts: pa.Array) -> dict[str, object]:
         scores = [model.token_scores(words_of(t)) for t in texts.to_pylist()]
@@ -240,12 +269,12 @@ def fit(
     n, count, total = tallied.agg(F.sum("n"), F.sum("count"), F.sum("total")).first()
     model.rate, model.scale = (count + 1) / (total + 1), (count + 1) / (n + 1)
 
-    def weigh(texts: pa.Array, toxic: pa.Array) -> dict[str, object]:
-        return {"evidence": [model.evidence(model.token_scores(words_of(t))) for t in texts.to_pylist()], "toxic": toxic}
+    def weigh(texts: pa.Array, toxic: pa.Array, weights: pa.Array) -> dict[str, object]:
+        return {"evidence": [model.text_evidence(t) for t in texts.to_pylist()], "toxic": toxic, "weight": weights}
 
-    weighed = map_rows(unseen, ["text", "toxic"], weigh, "evidence double, toxic boolean").orderBy("evidence", "toxic").collect()
-    curve = fit_curve(np.array([r.evidence for r in weighed]), np.array([r.toxic for r in weighed], float))
-    model.weight, model.bias = curve
+    rows = map_rows(unseen, ["text", "toxic", "weight"], weigh, "evidence double, toxic boolean, weight double").collect()
+    weighed = np.array(sorted(tuple(r) for r in rows), float)  # in a fixed order, so that sums come out alike
+    model.weight, model.bias = fit_curve(weighed[:, 0], weighed[:, 1], weighed[:, 2])
     return model
 
 

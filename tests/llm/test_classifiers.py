@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -147,3 +148,56 @@ def test_words_described_in_bulk_as_one_by_one():
     for i, word in enumerate(words):
         shape, *rest = quality.describe(word)
         assert (bucket[i], attributes[i].tolist()) == (zlib.crc32(shape.encode()), [float(x) for x in rest]), word
+
+
+def small_model():
+    return toxicity.SegmentModel({w: 3.0 for w in ("vile", "foul", "grim", "nasty")}, rate=1.0, scale=0.05, weight=2.0, bias=-3.0)
+
+
+def test_a_dense_passage_counts_whatever_stands_before():
+    model = small_model()
+    clean = ["plain"] * 300
+    dense = ["vile", "foul", "grim", "nasty"]
+    alone = model.score(" ".join(clean + dense + clean))
+    scattered = [w for d in dense for w in [d, *["plain"] * 100]]
+    both = model.score(" ".join(scattered + clean[: 600 - len(scattered)] + dense))
+    assert both >= alone > toxicity.THRESHOLD
+    text = " ".join(scattered + dense + clean + dense)
+    found = [(a, b) for a, b, _ in toxicity.passages(model, text)]
+    words = text.split()
+    assert [words[a:b] for a, b in found if b - a > 1] == [dense, dense]
+
+
+def test_repetition_proves_nothing():
+    model = small_model()
+    once = model.score(" ".join(["vile", *["plain"] * 99] * 1 + ["plain"] * 900))
+    often = model.score(" ".join(["vile", *["plain"] * 99] * 10))
+    assert abs(often - once) < 1e-9
+    assert model.score("vile " * 50 + "plain " * 950) <= once + 1e-9
+
+
+def test_score_from_segments_by_hand():
+    model = small_model()
+    words = "plain vile foul plain plain plain plain plain vile grim plain".split()
+    scores = [2.0 if w in model.scores else -1.0 for w in words]
+    scores[8] = -1.0  # vile, said before
+    assert model.token_scores([w.encode() for w in words]).tolist() == scores
+    assert sorted(toxicity.segments(np.array(scores))) == [(1, 3, 4.0), (9, 10, 2.0)]
+    surprises = []
+    for r, s in ((1, 4.0), (2, 2.0)):
+        e = 0.05 * len(words) * math.exp(-s)
+        surprises.append(e - r + r * (math.log(r) - math.log(e)) if r > e else 0.0)
+    evidence = math.log1p(max(surprises))
+    assert math.isclose(model.text_evidence(" ".join(words)), evidence)
+    assert math.isclose(model.score(" ".join(words)), 1 / (1 + math.exp(3 - 2 * evidence)))
+
+
+def test_rare_toxic_labels_still_teach(spark):
+    rng = np.random.default_rng(1)
+    filler = [f"word{i}" for i in range(200)]
+    rows = [(i, " ".join(rng.choice(filler, 60)) + (" vile foul grim nasty horrid" * 2 if i % 400 == 3 else "")) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 400 == 3).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels, sample_rows=400)
+    found = {r.doc_id for r in docs.where(toxicity.score_column(model, "text") >= toxicity.THRESHOLD).select("doc_id").collect()}
+    assert found == {i for i in range(4000) if i % 400 == 3}
