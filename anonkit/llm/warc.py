@@ -1,7 +1,8 @@
 """Deterministic sharded WARC writer, and the reader of what it wrote.
 
-Pages are range-sorted: a histogram of payload bytes over the key's range (bounded, whatever the input)
-gives shards of about equal size, and each shard is sorted by key, payload digest and URL. Of equal
+Pages are range-sorted: shards are ranges of (key, payload digest) whose borders are rows of a bounded sample, chosen by a hash
+of the row, so that shards follow the data, wherever its keys lie, and hold about equally many bytes. Each shard is
+sorted by key, payload digest and URL. Of equal
 payloads the record of the least key is a response, all others revisit it. Which payloads occur repeatedly
 is found on digests alone; a mark for each such key and digest travels with the pages to their shard, so
 pages are shuffled once. A task writes its shard to files of gzip members, one per record, and starts the
@@ -20,10 +21,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +34,6 @@ from pyspark.sql import functions as F
 from anonkit.llm.common import pa_schema, written
 from anonkit.sources.scratch import fresh_dir
 
-BUCKETS = 8192
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _IDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:anonkit:warc")
@@ -135,41 +136,42 @@ class ShardFiles:
         self.part, self.stream = self.part + 1, None
 
 
-@dataclass(frozen=True)
-class Shards:
-    """Shard numbers over equal ranges of the key: the first shard of each range, and how many it is split into."""
-
-    low: int
-    width: int
-    first: list[int]
-    split: list[int]
-    count: int
-
-
-def plan_shards(narrow: DataFrame, shard_bytes: int) -> Shards:
-    """Shards of about ``shard_bytes`` each; a range that alone is larger is split by digest."""
-    low, high = narrow.agg(F.coalesce(F.min("key"), F.lit(0)), F.coalesce(F.max("key"), F.lit(0))).first()
-    width = max(1, -(-(high - low + 1) // BUCKETS))
-    bucket = F.coalesce(F.floor((F.col("key") - low) / width), F.lit(0))
-    sizes = {r.b: r.s for r in narrow.groupBy(bucket.alias("b")).agg(F.sum(F.col("size") + 512).alias("s")).collect()}
-    first, split, shard, filled = [], [], 0, 0
-    for b in range(-(-(high - low + 1) // width)):
-        size = sizes.get(b, 0)
-        if filled and filled + size > shard_bytes:
-            shard, filled = shard + 1, 0
-        parts = max(1, -(-size // (2 * shard_bytes)))
-        first.append(shard)
-        split.append(parts)
-        if parts > 1:
-            shard, filled = shard + parts, 0
-        else:
-            filled += size
-    return Shards(low, width, first, split, shard + 1)
-
-
-def _numbers(values: list[int]) -> Column:
-    """A constant array; as text it is one literal, which Spark folds."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+def plan_shards(narrow: DataFrame, shard_bytes: int, sample_rows: int = 100_000) -> list[tuple[int | None, str]]:
+    """Borders (key, digest) between shards of about ``shard_bytes``, ascending; a border's own row is right of it.
+
+    The sample decides how even the shards are. There are at most a tenth as many as rows in it; beyond that shards grow.
+    """
+    total = narrow.agg(F.coalesce(F.sum(F.col("size") + 512), F.lit(0))).first()[0]
+    shards = min(max(1, -(-total // shard_bytes)), sample_rows // 10)
+    if shards == 1:
+        return []
+    chosen = narrow.select("key", "digest", "size").orderBy(F.xxhash64("key", "digest", "url"), "key", "digest").limit(sample_rows)
+    rows = sorted(((r.key is not None, r.key or 0, r.digest), r.size + 512) for r in chosen.collect())
+    room, filled = sum(size for _, size in rows) / shards, 0
+    borders: list[tuple[int | None, str]] = []
+    for (known, key, digest), size in rows:
+        border = (key if known else None, digest)
+        if filled >= room and border not in borders[-1:]:
+            borders.append(border)
+            filled = 0
+        filled += size
+    return borders
+
+
+def shard_column(borders: list[tuple[int | None, str]]) -> Column:
+    """Number of borders that do not lie behind (``key``, ``digest``): first those of every so many-th, then those in between."""
+    if not borders:
+        return F.lit(0)
+    step = max(1, math.isqrt(len(borders)))
+    row = F.struct(F.col("key"), F.col("digest"))
+
+    def literal(some: list[tuple[int | None, str]]) -> Column:
+        text = json.dumps([{"key": k, "digest": d} for k, d in some])
+        return F.from_json(F.lit(text), "array<struct<key: bigint, digest: string>>")  # one constant, which Spark folds
+
+    coarse = F.size(F.filter(literal(borders[step - 1 :: step]), lambda b: b <= row)) * step
+    rest = F.slice(literal(borders), coarse + 1, F.lit(step))
+    return coarse + F.size(F.filter(rest, lambda b: b <= row))
 
 
 def write_archives(
@@ -188,10 +190,8 @@ def write_archives(
     rows = pages.select(F.col(key).cast("bigint").alias("key"), F.col(url).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("bigint"))
     narrow = rows.select("key", "url", "digest", "size")
-    shards = plan_shards(narrow, shard_bytes)
-    at = F.coalesce(F.floor((F.col("key") - shards.low) / shards.width), F.lit(0)).cast("int") + 1
-    first, split = (F.element_at(_numbers(x), at) for x in (shards.first, shards.split))
-    shard = (first + F.pmod(F.xxhash64("digest"), split).cast("int")).alias("shard")
+    borders = plan_shards(narrow, shard_bytes)
+    shard = shard_column(borders).alias("shard")
     repeated = (
         narrow.where(F.col("size") >= least_bytes)
         .groupBy("digest")
@@ -205,7 +205,7 @@ def write_archives(
         rows.select(shard, "key", "digest", F.lit(1).alias("kind"), "url", "payload"), allowMissingColumns=True
     )
     order = ["shard", "key", "digest", "kind", "url"]
-    dealt = stream.repartitionById(shards.count, F.col("shard")).sortWithinPartitions(*order)
+    dealt = stream.repartitionById(len(borders) + 1, F.col("shard")).sortWithinPartitions(*order)
     target = pa_schema(_MANIFEST)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from anonkit.llm import html_text, url_filters, warc
 from anonkit.llm.common import table
 from anonkit.llm.queries import ORACLE_SQL, QUERIES
+from anonkit.sources.scratch import fresh_dir
 
 # ---- main text --------------------------------------------------------------
 
@@ -187,3 +188,23 @@ def test_archives_of_odd_tables(spark):
     rows = sorted(((r.page_id, r.record_type, r.refers_to) for r in warc.archive(spark, df).collect()), key=str)
     assert rows == [(5, "revisit", None), (None, "response", None), (None, "response", None)]
     assert warc.archive(spark, df.limit(0)).count() == 0
+
+
+def test_shards_follow_the_data(spark):
+    """One far-off id, clustered ids, a third of the pages without html: shards stay even, and in key order."""
+    rows = [(i, f"http://h/{i}", None if i % 3 == 0 else f"page {i} " * 40) for i in range(600)]
+    rows += [(10**18, "http://far/", "far"), (-(2**63), "http://least/", "least"), (2**63 - 1, "http://most/", "most"), (None, "http://none/", "none")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    manifest = warc.write_archives(pages, fresh_dir(spark, "warc"), shard_bytes=40_000)
+    records = {r.shard: r.n for r in manifest.groupBy("shard").agg(F.sum("records").alias("n")).collect()}
+    assert len(records) >= 8 and max(records.values()) < 3 * len(rows) / len(records)
+    found = warc.read_archives(spark, manifest).collect()
+    assert sorted((r.page_id is not None, r.page_id or 0) for r in found) == sorted((r[0] is not None, r[0] or 0) for r in rows)
+    empty = [r for r in found if r.payload_bytes == 0]
+    assert [r.page_id for r in empty if r.record_type == "response"] == [0] and {r.refers_to for r in empty if r.page_id} == {0}
+    narrow = pages.select(F.col("page_id").alias("key"), "url", F.sha1(F.coalesce("html", F.lit(""))).alias("digest"), F.lit(300).cast("bigint").alias("size"))
+    borders = warc.plan_shards(narrow, 3_000)
+    assert len(borders) > 100
+    shards = narrow.select("key", "digest", warc.shard_column(borders).alias("shard")).collect()
+    rank = lambda k, d: (k is not None, k or 0, d)
+    assert all(r.shard == sum(rank(*b) <= rank(r.key, r.digest) for b in borders) for r in shards)
