@@ -18,7 +18,7 @@ The model is fitted on a bounded sample of labelled texts (``sample_rows``, half
 texts each stands for) and holds at most ``most_features`` words and prefixes. Scoring is a projection over all rows.
 
 Defined cases: null, empty and wordless texts get the score of no evidence; without labelled texts of
-both classes every score is 0; the only text of a class serves both counts and curve; labels that are null are left out, of several labels of a key the largest
+both classes every score is 0; where a class is too small to be parted, all rows serve both counts and curve; labels that are null are left out, of several labels of a key the largest
 counts; repeated rows score alike; an empty table gives no rows; other columns have no effect.
 """
 
@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anonkit.llm.common import map_rows, pa_schema, word_bytes, written
@@ -151,8 +151,8 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample_rows: int) -> DataFrame:
     """At most about ``sample_rows`` labelled texts outside the held-out quarter, chosen by a hash of the key, half of each class.
 
-    ``weight`` is how many labelled texts a row stands for, on average 1. Every fourth of a class (``curve``) is kept from the
-    counts, for the rate and the curve; the only one of a class is in both. Written as a table.
+    ``weight`` is how many labelled texts a row stands for, on average 1. A quarter (``curve``) is kept from the counts, for the
+    rate and the curve. Written as a table.
     """
     crc = F.crc32(F.col(key).cast("string").cast("binary"))
     known = (
@@ -173,13 +173,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
         .groupBy("key", "toxic")
         .agg(F.min("text").alias("text"))
     )
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("key", F.lit("curve")), "key"))  # of the sample
-    alone = F.count("*").over(Window.partitionBy("toxic")) == 1
     kept = sum(n / steps[toxic] for toxic, n in sizes.items()) or 1.0
     weight = (step * F.lit(kept / max(1, sum(sizes.values())))).cast("double").alias("weight")
-    curve = F.col("place") % 4 == 1
-    rows = sample.withColumns({"place": place, "alone": alone})
-    return written(rows.select("key", "text", "toxic", curve.alias("curve"), (~curve | F.col("alone")).alias("counted"), weight), "toxic")
+    curve = F.pmod(F.xxhash64("key", F.lit("curve")), F.lit(4)) == 0
+    return written(sample.select("key", "text", "toxic", curve.alias("curve"), weight), "toxic")
 
 
 def feature_scores(sample: DataFrame, base: float, most_features: int) -> dict[str, float]:
@@ -252,19 +249,22 @@ def fit(
 ) -> SegmentModel:
     """Learn the model; what reaches the driver is bounded by the two limits."""
     sample = training_rows(docs, labels, key, text, label, sample_rows)
-    sums = sample.groupBy("toxic").agg(F.sum("weight").alias("weight")).collect()
-    weights = {r["toxic"]: r["weight"] for r in sums}
+    sums = sample.groupBy("toxic", "curve").agg(F.sum("weight").alias("weight")).collect()
+    weights = {(r["toxic"], r["curve"]): r["weight"] for r in sums}
     model = SegmentModel({})
-    if len(weights) < 2:
+    if len({toxic for toxic, _ in weights}) < 2:
         return model
-    model.scores = feature_scores(sample.where("counted"), weights[True] / sum(weights.values()), most_features)
+    parted = len(weights) == 4  # else a class is too small to be parted, and all rows serve both
+    taught = {toxic: weights.get((toxic, False), 0.0) + (0.0 if parted else weights.get((toxic, True), 0.0)) for toxic in (False, True)}
+    rows = sample.where("not curve") if parted else sample
+    model.scores = feature_scores(rows, taught[True] / sum(taught.values()), most_features)
 
     def tally(texts: pa.Array) -> dict[str, object]:
         scores = [model.token_scores(words_of(t)) for t in texts.to_pylist()]
         found = [[s for _, _, s in segments(x)] for x in scores]
         return {"n": [len(x) for x in scores], "count": list(map(len, found)), "total": [float(sum(f)) for f in found]}
 
-    unseen = sample.where("curve")
+    unseen = sample.where("curve") if parted else sample
     tallied = map_rows(unseen.where("not toxic"), ["text"], tally, "n bigint, count bigint, total double")
     n, count, total = tallied.agg(F.sum("n"), F.sum("count"), F.sum("total")).first()
     model.rate, model.scale = (count + 1) / (total + 1), (count + 1) / (n + 1)
