@@ -88,6 +88,7 @@ UNION ALL SELECT 'country', country, count(*) FROM orders_flat GROUP BY country"
 
 SQL = {
     "src_csv_multiline": _ALL,
+    "src_csv_split": _ALL,
     "src_table": _ALL,
     "sink_full_refresh": _ALL,
     "sink_refresh_table": _ALL,

@@ -234,7 +234,32 @@ two AS (
     regexp_matches(q[place], '^{_W}') AS starts FROM cuts),
 names AS (SELECT DISTINCT full_name AS core FROM orders_flat)"""
 
+def _checked(t: str, pattern: str, valid: str) -> str:
+    """Hits that are valid replaced; the texts between hits and the hits themselves, one after the other."""
+    hits, between = f"regexp_extract_all({t}, {_literal(pattern)})", f"regexp_split_to_array({t}, {_literal(pattern)})"
+    return (
+        f"array_to_string(list_transform(list_zip({between}, {hits}), lambda z: coalesce(z[1], '') || CASE WHEN z[2] IS NULL THEN ''"
+        f" WHEN {valid} THEN '[CARD]' ELSE z[2] END), '')"
+    )
+
+
+_LUHN = (
+    "list_sum(list_transform(range(1, length(regexp_replace(z[2], '[^0-9]', '', 'g')) + 1), lambda i: CASE WHEN i % 2 = 1 THEN"
+    " reverse(regexp_replace(z[2], '[^0-9]', '', 'g'))[i]::BIGINT ELSE"
+    " (2 * reverse(regexp_replace(z[2], '[^0-9]', '', 'g'))[i]::BIGINT) // 10 + (2 * reverse(regexp_replace(z[2], '[^0-9]', '', 'g'))[i]::BIGINT) % 10 END)) % 10 = 0"
+)
+_SIGNS = "replace(z[2], ' ', '')"
+_MOD97 = (  # the whole number, as text, of at most 34 signs: taken in parts of one sign
+    f"list_reduce(list_concat([0::BIGINT], list_transform(string_split(substr({_SIGNS}, 5) || left({_SIGNS}, 4), ''), lambda c:"
+    " CASE WHEN c BETWEEN '0' AND '9' THEN c::BIGINT ELSE ascii(c) - 55 END)),"
+    " lambda a, d: (CASE WHEN d < 10 THEN a * 10 ELSE a * 100 END + d) % 97) = 1"
+)
+
 SQL = {
+    "redact_card_checked": on_texts(
+        f"""SELECT kind, text_id, {_checked("t", RULES[1][1], _LUHN)} AS redacted
+FROM (SELECT kind, text_id, {_checked("text", RULES[0][1], _MOD97)} AS t FROM texts)"""
+    ),
     "redact_all_values": on_orders(
         "SELECT kind, text_id, t AS redacted FROM all4", TEXTS, VALUES, _HELD, *_all_values_replaced()
     ),

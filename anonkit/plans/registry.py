@@ -108,6 +108,13 @@ def _csv_round_trip(inputs: Inputs, columns: list[str] | None = None) -> DataFra
     return csv.read_csv(inputs.spark, path, orders.schema)
 
 
+def _csv_read_split(inputs: Inputs) -> DataFrame:
+    """One file of all orders, read by many tasks."""
+    path = inputs.fresh_dir("csv")
+    csv.write_csv(inputs.orders().coalesce(1), path, max_records_per_file=0)
+    return csv.read_csv_split(inputs.spark, path)
+
+
 def _refreshed(inputs: Inputs) -> str:
     """Load twice: the second load must replace the first."""
     path = inputs.fresh_dir("refresh")
@@ -251,6 +258,7 @@ def _stream_notes(inputs: Inputs) -> DataFrame:
 
 _SOURCES: dict[str, Query] = {
     "src_csv_multiline": _csv_round_trip,
+    "src_csv_split": _csv_read_split,
     "src_null_normalize": lambda i: csv.null_if_blank(
         i.orders().select("order_id", "email", "phone", "postal_code", "customer_notes")
     ),
@@ -464,6 +472,9 @@ _TEXTS: dict[str, Query] = {
         f"redact_{kind}": _redacted_texts(text.rules_for(f"[{kind.upper()}]"))
         for kind in ("email", "phone", "card", "id", "dob", "address", "name")
     },
+    "redact_card_checked": lambda i: i.texts().select(
+        "kind", "text_id", text.redact_valid_cards(F.col("text")).alias("redacted")
+    ),
     "redact_documents": _redacted_texts(),
     "redact_unchanged": _unchanged,
     "redact_known_values": _known_values,

@@ -36,6 +36,30 @@ def test_csv_round_trip_keeps_every_character(spark, tmp_path):
     assert got == dict(enumerate(notes))
 
 
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    """The rows of the multi-line reader, from splits so small that records cross several of them."""
+    notes = ["", None, " blanks ", 'q"u"o', "a,b", "a\nb", "a\r\nb", "back\\slash", '"', "\\", "é😀", '","', "\ttab\t", "\n", "x\n" * 50, '"\n"' * 20]
+    rows = [(i, notes[i % len(notes)], "end") for i in range(600)]
+    df = spark.createDataFrame(rows, "i int, note string, last string").coalesce(1)
+    for name in ("one", "two"):
+        csv.write_csv(df, str(tmp_path / "out" / name), max_records_per_file=0)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        reader = csv.read_csv_split(spark, str(tmp_path / "out" / "*"), df.schema)
+        assert spark.read.text(str(tmp_path / "out" / "*")).rdd.getNumPartitions() > 40
+        got = sorted(map(tuple, reader.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted(rows * 2, key=str)
+
+
+def test_open_quote_is_an_error(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('id,note\n1,"a\nb\n2,c\n')
+    with pytest.raises(Exception, match="never closed"):
+        csv.read_csv_split(spark, str(tmp_path), csv.T.StructType.fromDDL("id int, note string")).collect()
+
+
 def test_csv_is_split_into_files(spark, tmp_path):
     csv.write_csv(spark.range(0, 100, 1, 1), str(tmp_path / "out"), max_records_per_file=30)
     assert len(list((tmp_path / "out").glob("part-*.csv"))) == 4

@@ -153,3 +153,22 @@ def test_label_counts_leave_out_labels_that_were_there(spark):
         ("y", "[ID]"): (2, 1),
     }
     assert got.count() == 2 * len(text.LABELS)
+
+
+def test_checksums_of_cards_and_accounts(spark):
+    from anonkit.functions.text import redact_valid_cards
+
+    pairs = {
+        "card 4111 1111 1111 1111, order 4111 1111 1111 1112": "card [CARD], order 4111 1111 1111 1112",
+        "378282246310005 and 378282246310006": "[CARD] and 378282246310006",
+        "5500-0000-0000-0004": "[CARD]",
+        "IBAN DE89 3704 0044 0532 0130 00, not DE89 3704 0044 0532 0130 01": "IBAN [CARD], not DE89 3704 0044 0532 0130 01",
+        "GB82WEST12345698765432": "[CARD]",
+        "invoice 1234567890123456": "invoice 1234567890123456",
+        "nothing": "nothing",
+        "": "",
+        None: None,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(pairs)], "i int, t string")
+    got = [r.r for r in df.select("i", redact_valid_cards(df.t).alias("r")).orderBy("i").collect()]
+    assert got == list(pairs.values())
