@@ -73,8 +73,11 @@ def finest_sets(
         passed |= {c: f for c, f in facts.items() if f[2] <= most_lost * total}
         tried = sorted({up for c in facts if c in passed for up in finer(c) if all(d in passed for d in coarser(up))})
     best = [(*c, sum(c), *f) for c, f in passed.items() if not any(up in passed for up in finer(c))]
-    schema = ", ".join([f"`{c}` bigint" for c in columns] + ["levels bigint", "groups bigint", "small_groups bigint", "rows_lost bigint"])
-    return spark.createDataFrame(best, schema)
+    shown = [*columns, "levels", "groups", "small_groups", "rows_lost"]
+    rows = [F.struct(*[F.lit(v).cast("bigint").alias(n) for n, v in zip(shown, row, strict=True)]) for row in best]
+    if not rows:
+        return spark.range(0).select(*[F.col("id").alias(n) for n in shown])
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 # ---- ranges by median cuts -------------------------------------------------------
