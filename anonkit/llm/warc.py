@@ -139,13 +139,14 @@ class ShardFiles:
 def plan_shards(narrow: DataFrame, shard_bytes: int, sample_rows: int = 100_000) -> list[tuple[int | None, str]]:
     """Borders (key, digest) between shards of about ``shard_bytes``, ascending; a border's own row is right of it.
 
-    The sample decides how even the shards are. There are at most a tenth as many as rows in it; beyond that shards grow.
+    The sample has 100 rows for each shard and decides how even the shards are. There are at most a tenth as many shards as
+    ``sample_rows``; beyond that shards grow.
     """
     total = narrow.agg(F.coalesce(F.sum(F.col("size") + 512), F.lit(0))).first()[0]
     shards = min(max(1, -(-total // shard_bytes)), sample_rows // 10)
     if shards == 1:
         return []
-    chosen = narrow.select("key", "digest", "size").orderBy(F.xxhash64("key", "digest", "url"), "key", "digest").limit(sample_rows)
+    chosen = narrow.select("key", "digest", "size").orderBy(F.xxhash64("key", "digest", "url"), "key", "digest").limit(min(100 * shards, sample_rows))
     rows = sorted(((r.key is not None, r.key or 0, r.digest), r.size + 512) for r in chosen.collect())
     room, filled = sum(size for _, size in rows) / shards, 0
     borders: list[tuple[int | None, str]] = []
