@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from anonkit.sources.scratch import fresh_dir
 from anonkit.sources.tables import read_test_table
@@ -88,7 +89,7 @@ _ARROW = {
 
 
 def pa_type(kind: T.DataType) -> pa.DataType:
-    return pa.list_(pa_type(kind.elementType)) if isinstance(kind, T.ArrayType) else _ARROW[kind]
+    return pa.list_(pa_type(kind.elementType)) if isinstance(kind, T.ArrayType) else _ARROW.get(kind) or to_arrow_type(kind)
 
 
 def pa_schema(ddl: str) -> pa.Schema:
@@ -131,6 +132,11 @@ _WORD_BYTES = bytes(
 )
 
 
+def spaced_bytes(text: str | None) -> bytes:
+    """A text with A-Z in lower case, in UTF-8, with spaces for what parts words."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES)
+
+
 def word_bytes(text: str | None) -> list[bytes]:
     """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z in lower case, in UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
+    return spaced_bytes(text).split()

@@ -1,49 +1,91 @@
-"""Benchmark decontamination by winnowed fingerprints, extended to exact spans.
+"""Benchmark decontamination by winnowed fingerprints, joined and extended to exact spans.
 
-Words are numbers of the benchmark's vocabulary, so comparing numbers is exact; words it does not have
-match nothing. A k-gram of words is kept as a fingerprint if it has the least hash in one of the windows
-of consecutive k-grams that contain it. With k = 5 and 6 k-grams in a window, any 10 equal words in a row
-have a fingerprint in common, whatever stands around them. Fingerprints of a text that the benchmark has
-too are joined to the places they have there and extended to both sides word by word; spans of at least
-10 words are hits. An item of fewer words is one n-gram, which all n-grams of a text are looked up in.
+A k-gram of words is kept as a fingerprint if it has the least hash in one of the windows of consecutive
+k-grams that contain it. With k = 5 and 6 k-grams in a window, any 10 equal words in a row have a fingerprint
+in common, whatever stands around them. The fingerprints of the texts, each with the words around it, are
+joined to those of the benchmark; what is left is extended to the spans of 10 words that hold the fingerprint,
+and these are joined to the spans of the benchmark by their words, so no hit rests on a hash. An item of fewer
+words is one span and its own fingerprint, for which every run of as many words of a text is looked up.
 
-The benchmark is matched in blocks of bounded size (``block_bytes``); each block is broadcast, and the
-texts pass the blocks one after the other in one stage. There is no shuffle of texts, so no passage, text
-or source can become hot.
+Both sides are tables and both joins shuffle only fingerprints that pass a bit filter over those of the
+benchmark. The filter has a fixed size (``filter_bytes``); a larger benchmark lets more pass, and the join
+removes them. Nothing else of the benchmark goes through the driver or is sent to all workers. Texts are never
+shuffled. Frequent spans and copies are spread by ``SALTS``; spans that stand in the same set of items are one
+class, so a passage meets its items once, not once a word. Equal texts are matched once, by their digest.
 
 Defined cases: null, empty and wordless texts have no words and no hits; items without words or without
-id are left out; items of equal id count once; repeated rows are matched each; an empty benchmark leaves
+id are left out; items of equal id count once; repeated rows get a row each; an empty benchmark leaves
 all texts clean; an empty table gives no rows; other columns have no effect.
 """
 
 from __future__ import annotations
 
 import hashlib
-from itertools import repeat
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anonkit.llm.common import map_rows, word_bytes
+from anonkit.llm.common import own_columns, pa_schema, spaced_bytes, written
 
 SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1  # k-grams
+SALTS = 16
+FILTER_BYTES = 8 << 20  # a power of two
+SLICE_ROWS = 200
+SLICE_CHARS = 1 << 20
+BATCH_ROWS = 10_000
+_CHUNK = 1 << 18  # bytes whose words are hashed at a time
+_BASE = 0x2545F4914F6CDD1D
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                      0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
 
 
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(size, base, np.uint64)
+        factors[0] = 1
+        made.append(np.cumprod(factors, dtype=np.uint64))
+    return made[0], made[1]
+
+
+def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of each word between spaces."""
+    parts, at = [], 0
+    while at < len(data):
+        end = data.find(b" ", at + _CHUNK)
+        end = len(data) if end < 0 else end
+        part = np.frombuffer(data, np.uint8, end - at, at)
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = part != 32
+        edges = np.diff(inside)
+        start, stop = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        powers, inverse = _powers(1 << max(len(part) - 1, 1).bit_length())
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers[: len(part)], out=total[1:])
+        parts.append(((total[stop] - total[start]) * inverse[start], start + at, stop + at))
+        at = end
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes, start, stop = (np.concatenate(p) for p in zip(*parts, strict=True))
+    return hashes, start, stop
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of ``n`` words."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
-    part = words.astype(np.int64).view(np.uint64)
     total = np.full(len(words) - n + 1, n, np.uint64)
     for i in range(n):
-        value = (part[i : len(part) - n + 1 + i] + np.uint64(0x51)) * _FACTORS[i]
+        value = (words[i : len(words) - n + 1 + i] + np.uint64(0x51)) * _FACTORS[i]
         total = (total ^ (value ^ (value >> np.uint64(29)))) * np.uint64(0xBF58476D1CE4E5B9)
     return total ^ (total >> np.uint64(32))
 
@@ -62,100 +104,199 @@ def winnow(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.flatnonzero(most == hashes)
 
 
-class BenchmarkBlock:
-    """Items as one array of word numbers, parted by -2, with their fingerprints in hash order."""
-
-    def __init__(self, items: list[tuple[object, str | None]]):
-        texts = [(item, w) for item, w in ((i, word_bytes(t)) for i, t in items if i is not None) if w]
-        self.ids = [str(i) for i, _ in texts]
-        self.vocabulary: dict[bytes, int] = {}
-        number = self.vocabulary.setdefault
-        flat, owner, short = [], [], {}
-        for k, (_, words) in enumerate(texts):
-            numbers = [number(w, len(self.vocabulary)) for w in words]
-            if len(words) < SPAN:
-                short.setdefault(len(words), []).append((k, numbers))
-            flat += [*numbers, -2]
-            owner += [k] * (len(words) + 1)
-        self.flat, self.owner = np.array(flat, np.int64), np.array(owner, np.int64)
-        hashes = gram_hashes(self.flat, GRAM)
-        place = winnow(hashes)
-        place = place[np.argsort(hashes[place], kind="stable")]
-        self.place, self.hash = place, hashes[place]
-        self.short = {}
-        for n, rows in short.items():
-            grams = np.array([r for _, r in rows], np.int64)
-            hashes = np.array([gram_hashes(g, n)[0] for g in grams], np.uint64)
-            order = np.argsort(hashes, kind="stable")
-            self.short[n] = (hashes[order], grams[order], np.array([k for k, _ in rows])[order])
-
-    def match(self, texts: list[list[bytes]]) -> tuple[np.ndarray, list[set[str]], np.ndarray]:
-        """Which words are hit (one array over all texts), items found per text, where each text starts."""
-        length = np.array([len(t) for t in texts], np.int64)
-        start = np.concatenate([[0], np.cumsum(length + 1)])
-        words = np.full(int(start[-1]), -1, np.int64)  # -1: unknown, and the gap behind each text
-        for text, at in zip(texts, start[:-1].tolist(), strict=True):
-            words[at : at + len(text)] = np.fromiter(map(self.vocabulary.get, text, repeat(-1)), np.int64, len(text))
-        cover = np.zeros(len(words) + 1, np.int64)
-        found: list[set[str]] = [set() for _ in texts]
-
-        def hit(first: int, after: int, item: int) -> None:
-            cover[first] += 1
-            cover[after] -= 1
-            found[int(np.searchsorted(start, first, "right")) - 1].add(self.ids[item])
-
-        hashes = gram_hashes(words, GRAM)
-        place = winnow(hashes)
-        place = place[(words[place] >= 0) & (words[place + GRAM - 1] >= 0)]
-        low, high = (np.searchsorted(self.hash, hashes[place], side) for side in ("left", "right"))
-        reached: dict[int, int] = {}  # by the distance between both places: end of the last span
-        for p, a, b in zip(*(x[high > low].tolist() for x in (place, low, high)), strict=True):
-            for q in self.place[a:b].tolist():
-                if reached.get(p - q, -1) > p:
-                    continue
-                first, after = self._extend(words, p, q)
-                if after - first >= SPAN:
-                    reached[p - q] = after
-                    hit(first, after, int(self.owner[q]))
-        for n, (known, grams, items) in self.short.items():
-            hashes = gram_hashes(words, n)
-            low, high = (np.searchsorted(known, hashes, side) for side in ("left", "right"))
-            for p in np.flatnonzero(high > low).tolist():
-                for k in range(low[p], high[p]):
-                    if (words[p : p + n] == grams[k]).all():
-                        hit(p, p + n, int(items[k]))
-        return np.cumsum(cover[:-1]) > 0, found, start
-
-    def _extend(self, words: np.ndarray, p: int, q: int, step: int = 64) -> tuple[int, int]:
-        """The longest span of equal words that holds ``words[p] == flat[q]``."""
-
-        def run(a: np.ndarray, b: np.ndarray) -> int:
-            done, most = 0, min(len(a), len(b))
-            while done < most:
-                unequal = np.flatnonzero(a[done : done + step] != b[done : done + step][: most - done])
-                if len(unequal):
-                    return done + int(unequal[0])
-                done = min(most, done + step)
-            return done
-
-        most = min(len(words) - p, len(self.flat) - q)
-        back = min(p, q)
-        after = run(words[p : p + most], self.flat[q : q + most])
-        before = run(words[p - back : p][::-1], self.flat[q - back : q][::-1])
-        return p - before, p + after
-
-
-def benchmark_blocks(items: DataFrame, key: str, text: str, block_bytes: int) -> list[BenchmarkBlock]:
-    """The benchmark in blocks of about ``block_bytes``, whichever ids its rows have. The driver and each worker hold all blocks, so
-    the benchmark has to fit a worker's memory."""
-    known = items.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text).distinct()
-    size = known.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    count = max(1, -(-size // block_bytes))
-    blocks = []
-    for i in range(count):
-        rows = known.where(F.pmod(F.xxhash64(key, text), F.lit(count)) == i).orderBy(key, text).collect()
-        blocks.append(BenchmarkBlock([(r[0], r[1]) for r in rows]))
-    return blocks
+@dataclass
+class Fingerprints:
+    """Fingerprints of some texts: their text, hash, the words around them (from, to), and the words of a span."""
+
+    text: np.ndarray
+    hash: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    size: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.text)
+
+
+class Texts:
+    """The words of some texts as hashes in one row; text ``i`` has the words ``first[i]`` to ``first[i + 1]``."""
+
+    def __init__(self, texts: list[str | None]):
+        parts = [spaced_bytes(t) for t in texts]
+        self.data = b" ".join(parts)
+        self.hash, self.start, self.end = hash_words(self.data)
+        begin = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+        self.first = np.searchsorted(self.start, begin)
+        self.count = np.diff(self.first)
+        self.owner = np.repeat(np.arange(len(parts)), self.count)
+
+    def words(self, low: int, high: int) -> str:
+        return b" ".join(self.data[self.start[low] : self.end[high - 1]].split()).decode("utf-8", "surrogatepass")
+
+    def fingerprints(self, n: int, known: np.ndarray | None = None) -> Fingerprints:
+        """Those for spans of ``SPAN`` words, or of ``n`` words where ``n`` is less; with ``known``, those that the filter has."""
+        length = GRAM if n >= SPAN else n
+        hashes = gram_hashes(self.hash, length)
+        place = winnow(hashes) if n >= SPAN else np.arange(len(hashes))
+        if known is not None:
+            place = place[_passes(known, hashes[place])]
+        text = self.owner[place]
+        around = SPAN - GRAM if n >= SPAN else 0
+        low = np.maximum(place - around, self.first[text])
+        high = np.minimum(place + length + around, self.first[text + 1])
+        whole = (place + length <= self.first[text + 1]) & (high - low >= n)
+        return Fingerprints(text[whole], hashes[place[whole]], low[whole], high[whole], np.full(int(whole.sum()), n))
+
+
+def _slots(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    for shift in (0, 32):
+        yield (hashes >> np.uint64(shift)) & np.uint64(bits - 1)
+
+
+def _passes(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    out = np.ones(len(hashes), bool)
+    for slot in _slots(hashes, len(known) * 64):
+        out &= (known[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    return out
+
+
+def _slices(texts: list[str | None], rows: int) -> Iterator[slice]:
+    at = chars = 0
+    for i, text in enumerate(texts):
+        if i > at and (i - at >= rows or chars + len(text or "") > SLICE_CHARS):
+            yield slice(at, i)
+            at, chars = i, 0
+        chars += len(text or "")
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
+def _batches(target: pa.Schema, columns: dict[str, object], count: int) -> Iterator[pa.RecordBatch]:
+    """``count`` rows in batches; a column is an array, a function of a row's number, or missing (null)."""
+    for at in range(0, count, BATCH_ROWS):
+        end = min(count, at + BATCH_ROWS)
+        made = []
+        for field in target:
+            column = columns.get(field.name)
+            if column is None:
+                made.append(pa.nulls(end - at, field.type))
+            elif callable(column):
+                made.append(pa.array([column(i) for i in range(at, end)], field.type))
+            else:
+                made.append(pa.array(column[at:end], field.type))
+        yield pa.RecordBatch.from_arrays(made, schema=target)
+
+
+def benchmark_table(items: DataFrame, key: str, text: str) -> DataFrame:
+    """Written rows of two kinds: a fingerprint (hash, size of its spans), and a span of an item (span, item)."""
+    schema = "hash bigint, size bigint, span string, item string"
+    target = pa_schema(schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for rows in _slices(texts, SLICE_ROWS):
+                read, own = Texts(texts[rows]), ids[rows]
+                short = set(read.count[(read.count > 0) & (read.count < SPAN)].tolist())
+                for n in (SPAN, *short):
+                    found = read.fingerprints(n)
+                    if n < SPAN:  # only the items that are this one span
+                        first = read.first[found.text]
+                        kept = (found.low == first) & (read.count[found.text] == n)
+                        start, hashes = found.low[kept], found.hash[kept]
+                    else:
+                        hashes = np.unique(found.hash)
+                        start = np.arange(len(read.hash))
+                        start = start[start + n <= read.first[read.owner + 1]]
+                    yield from _batches(target, {"hash": hashes.view(np.int64), "size": np.full(len(hashes), n)}, len(hashes))
+                    spans = {"span": lambda i, s=start, n=n: read.words(s[i], s[i] + n), "item": lambda i, s=start: own[read.owner[s[i]]]}
+                    yield from _batches(target, spans, len(start))
+
+    known = items.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("item"), F.col(text).alias("text"))
+    return written(known.mapInArrow(work, schema), "benchmark")
+
+
+def fingerprint_filter(bench: DataFrame, filter_bytes: int) -> np.ndarray:
+    """Two bits for each fingerprint of the benchmark in an array of fixed size."""
+    bits = filter_bytes * 8
+    slots = F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(bits - 1)) for s in (0, 32)])
+    slot = bench.where("hash is not null").select(F.explode(slots).alias("slot"))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    rows = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    known = np.zeros(filter_bytes // 8, np.uint64)
+    known[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return known
+
+
+def text_digest(text: str | Column) -> Column:
+    return F.sha2(F.col(text) if isinstance(text, str) else text, 256)
+
+
+def scan_texts(docs: DataFrame, key: str | None, text: str, bench: DataFrame, filter_bytes: int) -> DataFrame:
+    """Written rows of two kinds: one per document (key, n_words, and digest if a fingerprint passed the filter), and one
+    per such fingerprint (digest, hash, size, number of the first word around it, words around it)."""
+    context = docs.sparkSession.sparkContext
+    known = context.broadcast(fingerprint_filter(bench, filter_bytes))
+    sizes = [r[0] for r in bench.where("hash is not null").select("size").distinct().collect()]  # at most SPAN rows
+    kind = docs.schema[key].dataType.simpleString() if key else "boolean"
+    schema = f"key {kind}, digest string, n_words bigint, hash bigint, size bigint, low bigint, around string"
+    target = pa_schema(schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            for rows in _slices(texts, SLICE_ROWS):
+                read = Texts(texts[rows])
+                digest: list[str | None] = [None] * (rows.stop - rows.start)
+                for n in sizes:
+                    found = read.fingerprints(n, known.value)
+                    for i in np.unique(found.text).tolist():
+                        if digest[i] is None:
+                            digest[i] = hashlib.sha256(texts[rows.start + i].encode("utf-8", "surrogatepass")).hexdigest()
+                    columns = {
+                        "digest": lambda i, f=found: digest[f.text[i]],
+                        "hash": found.hash.view(np.int64),
+                        "size": found.size,
+                        "low": found.low - read.first[found.text],
+                        "around": lambda i, f=found: read.words(f.low[i], f.high[i]),
+                    }
+                    yield from _batches(target, columns, len(found))
+                if key:
+                    own = keys.slice(rows.start, len(digest))
+                    yield from _batches(target, {"key": own, "digest": np.array(digest, object), "n_words": read.count}, len(digest))
+
+    own = F.col(key) if key else F.lit(None).cast("boolean")
+    return written(docs.select(own.alias("key"), F.col(text).alias("text")).mapInArrow(work, schema), "scanned")
+
+
+def _salted(many: DataFrame, few: DataFrame, on: list[str], how: str, by: list[str]) -> DataFrame:
+    """A join in which each row of ``few`` stands in ``SALTS`` places, and rows of ``many`` go to one of them by the columns ``by``."""
+    salt = own_columns(many)("salt")
+    left = many.withColumn(salt, F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    right = few.withColumn(salt, F.explode(F.lit(list(range(SALTS))).cast("array<bigint>")))
+    return left.join(right, [*on, salt], how).drop(salt)
+
+
+def benchmark_spans(bench: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each span with the class of its set of items, and the items of each class."""
+    pairs = bench.where("span is not null").select("span", "item").distinct()
+    bits = [F.bit_xor(F.xxhash64(F.lit(seed), F.col("item"))).alias(name) for seed, name in ((1, "a"), (2, "b"))]
+    kind = F.concat_ws(":", "a", "b", "n").alias("kind")
+    spans = pairs.groupBy("span").agg(*bits, F.count("*").alias("n")).select("span", kind)
+    one = spans.groupBy("kind").agg(F.min("span").alias("span"))
+    return spans, _salted(pairs, one, ["span"], "inner", ["item"]).select("kind", "item")
+
+
+def matched_spans(scanned: DataFrame, bench: DataFrame, spans: DataFrame) -> DataFrame:
+    """Per text with hits, by its digest: number of the first word of a span that the benchmark has, the span's size and class."""
+    prints = scanned.where("hash is not null").select("digest", "hash", "size", "low", "around").distinct()
+    known = bench.where("hash is not null").select("hash", "size").distinct()
+    joined = _salted(prints, known, ["hash", "size"], "left_semi", ["digest", "low"])
+    words = joined.select("digest", "size", "low", F.split("around", " ").alias("words"))
+    places = F.posexplode(F.expr("transform(sequence(0, size(words) - int(size)), i -> array_join(slice(words, i + 1, int(size)), ' '))"))
+    extended = words.select("digest", "size", "low", places.alias("i", "span"))
+    extended = extended.select("digest", "size", (F.col("low") + F.col("i")).alias("at"), "span")
+    return _salted(extended, spans, ["span"], "inner", ["digest"]).select("digest", "at", "size", "kind")
 
 
 def find_contamination(
@@ -166,69 +307,51 @@ def find_contamination(
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
-    block_bytes: int = 16 << 20,
-    slice_rows: int = 200,
+    filter_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, and item_ids."""
-    kind = docs.schema[key].dataType.simpleString()
-    blocks = [docs.sparkSession.sparkContext.broadcast(b) for b in benchmark_blocks(items, item_key, item_text, block_bytes)]
-    current = docs.select(F.col(key), F.col(text).alias("_text"), F.lit(b"").alias("_hits"), F.array().cast("array<string>").alias("_items"))
-    for number, block in enumerate(blocks):
-        last = number == len(blocks) - 1
-
-        def work(keys, texts, hits, items, block=block, last=last):
-            out = {key: keys, "_text": texts, "_hits": [], "_items": [], "n_words": [], "n_hit": []}
-            values, hits, items = texts.to_pylist(), hits.to_pylist(), items.to_pylist()
-            for at in range(0, len(values), slice_rows):
-                words = [word_bytes(t) for t in values[at : at + slice_rows]]
-                cover, found, start = block.value.match(words)
-                for i, w in enumerate(words):
-                    hit = cover[start[i] : start[i] + len(w)]
-                    if hits[at + i]:  # of the blocks before
-                        hit = hit | np.unpackbits(np.frombuffer(hits[at + i], np.uint8), count=len(w)).astype(bool)
-                    out["n_words"].append(len(w))
-                    out["n_hit"].append(int(hit.sum()))
-                    out["_items"].append(sorted(found[i].union(items[at + i])))
-                    out["_hits"].append(b"" if last or not hit.any() else np.packbits(hit).tobytes())
-            return out
-
-        carried = "" if last else "_text string, _hits binary, "
-        schema = f"`{key}` {kind}, {carried}_items array<string>, n_words bigint, n_hit bigint"
-        current = map_rows(current.select(key, "_text", "_hits", "_items"), [key, "_text", "_hits", "_items"], work, schema)
-    found = F.col("_items")
-    return current.select(
-        key,
+    bench = benchmark_table(items, item_key, item_text)
+    spans, classes = benchmark_spans(bench)
+    scanned = scan_texts(docs, key, text, bench, filter_bytes)
+    hits = written(matched_spans(scanned, bench, spans), "hits")
+    # words inside any span: what each adds behind the end of those before it
+    merged = hits.groupBy("digest", "at").agg(F.max(F.col("at") + F.col("size")).alias("after"))
+    before = F.max("after").over(Window.partitionBy("digest").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    gain = F.greatest(F.lit(0), F.col("after") - F.greatest(F.col("at"), F.coalesce(before, F.col("at"))))
+    covered = merged.select("digest", gain.alias("gain")).groupBy("digest").agg(F.sum("gain").alias("n_hit"))
+    found = _salted(hits.select("digest", "kind").distinct(), classes, ["kind"], "inner", ["digest"])
+    found = found.groupBy("digest").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
+    results = covered.join(found, "digest")
+
+    rows = scanned.where("n_words is not null").select("key", "digest", "n_words")
+    clean = rows.where("digest is null").select("key", "n_words", F.lit(0).cast("bigint").alias("n_hit"), F.array().cast("array<string>").alias("item_ids"))
+    other = _salted(rows.where("digest is not null"), results, ["digest"], "left", ["key", "n_words"])
+    other = other.select("key", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    return clean.union(other).select(
+        F.col("key").alias(key),
         "n_words",
         "n_hit",
-        F.size(found).cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", found), 256).alias("items_sha256"),
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        found.alias("item_ids"),
+        "item_ids",
     )
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = 16 << 20, slice_rows: int = 200
+    docs: DataFrame, items: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", filter_bytes: int = FILTER_BYTES
 ) -> DataFrame:
-    """The documents without any hit; a filter, so all columns stay."""
-    kept = docs
-    for built in benchmark_blocks(items, item_key, item_text, block_bytes):
-        kept = kept.where(_clean_column(docs.sparkSession.sparkContext.broadcast(built), F.col(text), slice_rows))
-    return kept
-
-
-def _clean_column(block: Broadcast, text: Column, slice_rows: int) -> Column:
-    """Whether a text has no hit in one block."""
-
-    @F.arrow_udf("boolean")
-    def clean(texts: pa.Array) -> pa.Array:
-        values, out = texts.to_pylist(), []
-        for at in range(0, len(values), slice_rows):
-            found = block.value.match([word_bytes(t) for t in values[at : at + slice_rows]])[1]
-            out += [not f for f in found]
-        return pa.array(out, pa.bool_())
-
-    return clean(text)
+    """The documents without any hit, with all columns. Spark sends the digests of the others to all tasks if they are few, else both
+    sides meet by digest and salt."""
+    bench = benchmark_table(items, item_key, item_text)
+    scanned = scan_texts(docs, None, text, bench, filter_bytes)
+    hits = matched_spans(scanned, bench, benchmark_spans(bench)[0])
+    own = own_columns(docs)
+    digest = own("digest")
+    found = written(hits.select(F.col("digest").alias(digest)).distinct(), "contaminated")
+    marked = docs.withColumn(digest, F.coalesce(text_digest(text), F.lit("")))
+    by = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    return _salted(marked, found, [digest], "left_anti", [F.col(f"`{name}`") for name in by]).select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def items_digest(item_ids: list[str]) -> str:

@@ -146,8 +146,8 @@ def test_op2_equals_brute_force(spark, sf_dir):
     assert any(r[5] for r in got)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 24, 60])
-def test_short_overlapping_and_frequent_items(spark, odd_documents, block_bytes):
+@pytest.mark.parametrize("filter_bytes", [decontaminate.FILTER_BYTES, 8])  # the second lets nearly all pass to the join
+def test_short_overlapping_and_frequent_items(spark, odd_documents, filter_bytes):
     long = " ".join(f"w{i % 13}" for i in range(40))
     items = [(1, long), (2, "the The"), (3, "one"), (4, ""), (5, None), (6, "a b c d e f g h i"), (7, "word " * 12), (None, "x"), (2, "the The")]
     documents = [
@@ -155,20 +155,71 @@ def test_short_overlapping_and_frequent_items(spark, odd_documents, block_bytes)
         (7, "Word! " * 50), (8, "ONE-the_the"), (9, "é" + long), (9, "é" + long), (None, "one"),
     ]
     df = spark.createDataFrame(documents, "doc_id bigint, text string")
-    found = decontaminate.find_contamination(df, spark.createDataFrame(items, "item_id bigint, text string"), block_bytes=block_bytes)
+    found = decontaminate.find_contamination(df, spark.createDataFrame(items, "item_id bigint, text string"), filter_bytes=filter_bytes)
     got = sorted((tuple(r)[:6] for r in found.collect()), key=str)
     assert got == brute_contamination(documents, [i for i in dict.fromkeys(items) if i[0] is not None])
-    kept = decontaminate.drop_contaminated(df, spark.createDataFrame(items, "item_id bigint, text string"), block_bytes=block_bytes)
+    kept = decontaminate.drop_contaminated(df, spark.createDataFrame(items, "item_id bigint, text string"), filter_bytes=filter_bytes)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in got if not r[5])
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcd"])
+def test_matching_few_words_equals_brute_force(spark, letters):
+    """Random texts of few words: all overlaps, borders and repetitions, copies, and spans that many items share."""
+    rng = np.random.default_rng(len(letters))
+
+    def sequence(most):
+        return " ".join(rng.choice(list(letters), rng.integers(0, most)))
+
+    base = sequence(60)
+    documents = [(i, sequence(40) if i % 3 else sequence(8) + " " + base[: 2 * int(rng.integers(0, 60))]) for i in range(400)]
+    documents += [(1000 + i, documents[7][1]) for i in range(30)]
+    for n_items in (1, 12):
+        items = [(i, sequence(25) if i % 2 else base[2 * int(rng.integers(0, 20)) :]) for i in range(n_items)]
+        df = spark.createDataFrame(documents, "doc_id bigint, text string")
+        benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+        got = sorted((tuple(r)[:6] for r in decontaminate.find_contamination(df, benchmark).collect()), key=str)
+        assert got == brute_contamination(documents, items)
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from("abc"), max_size=40), st.lists(st.lists(st.sampled_from("abc"), max_size=25), max_size=3))
-def test_matching_few_words_equals_brute_force(document, items):
-    block = decontaminate.BenchmarkBlock([(i, " ".join(w)) for i, w in enumerate(items)])
-    cover, found, start = block.match([[w.encode() for w in document]])
-    got = (0, len(document), int(cover[: len(document)].sum()), len(found[0]), decontaminate.items_digest(found[0]), bool(cover.any()))
-    assert [got] == brute_contamination([(0, " ".join(document))], [(i, " ".join(w)) for i, w in enumerate(items)])
+@given(st.lists(st.text(alphabet="aB é-1\n", max_size=30), min_size=1, max_size=4))
+def test_words_of_joined_texts(texts):
+    read = decontaminate.Texts(texts)
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(t)) for t in texts]
+    assert read.count.tolist() == [len(w) for w in words]
+    flat = [w for ws in words for w in ws]
+    assert [read.words(i, i + 1) for i in range(len(flat))] == flat
+    assert len(set(zip(flat, read.hash.tolist(), strict=True))) == len(set(flat)) == len(set(read.hash.tolist()))
+
+
+def test_word_hashes_do_not_depend_on_the_place(monkeypatch):
+    data = b" ".join(b"w%d" % (i % 97) for i in range(5000)) + b" " + b"x" * 3000 + b" w5"
+    whole = decontaminate.hash_words(data)
+    monkeypatch.setattr(decontaminate, "_CHUNK", 100)
+    for a, b in zip(whole, decontaminate.hash_words(data), strict=True):
+        assert (a == b).all()
+    assert len(set(whole[0].tolist())) == 98 and whole[0][5] == whole[0][-1]
+
+
+@pytest.mark.parametrize("kind", ["date", "decimal(20,2)", "float", "smallint", "string", "timestamp"])
+def test_decontamination_with_keys_of_any_type(spark, kind):
+    key = F.lit("2024-01-02" if kind in ("date", "timestamp") else "12").cast(kind)
+    words = "one two three four five six seven eight nine ten"
+    df = spark.range(2).select(key.alias("doc_id"), F.when(F.col("id") == 0, words).alias("text"))
+    found = decontaminate.find_contamination(df, spark.createDataFrame([(1, words)], "item_id bigint, text string"))
+    assert dict(found.dtypes)["doc_id"] == kind
+    assert sorted(r.n_hit for r in found.where(F.col("doc_id") == key).collect()) == [0, 10]
+
+
+def test_decontamination_with_a_hot_span_and_a_large_benchmark(spark):
+    """A span in a third of the texts and in all items, and more fingerprints than the filter can tell apart."""
+    hot = " ".join(f"hot{i}" for i in range(12))
+    items = [(i, f"{hot} " + " ".join(f"i{i}x{k}" for k in range(30))) for i in range(60)]
+    documents = [(i, (f"d{i} {hot} end" if i % 3 == 0 else f"d{i} " + " ".join(f"i{i % 60}x{k}" for k in range(i % 30)))) for i in range(600)]
+    df = spark.createDataFrame(documents, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((tuple(r)[:6] for r in decontaminate.find_contamination(df, benchmark, filter_bytes=64).collect()), key=str)
+    assert got == brute_contamination(documents, items)
 
 
 def test_decontamination_of_odd_tables(spark, odd_documents):
