@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from anonkit.sources.scratch import fresh_dir
 from anonkit.sources.tables import read_test_table
 
+SALTS = 16
 _shipped: set[str] = set()
 
 
@@ -109,6 +110,14 @@ def own_columns(df: DataFrame, prefix: str = "_w") -> Callable[[str], str]:
     return name
 
 
+def salted_join(many: DataFrame, few: DataFrame, on: list[str], how: str, by: list[str | Column]) -> DataFrame:
+    """A join in which each row of ``few`` stands in ``SALTS`` places, and rows of ``many`` go to one of them by the columns ``by``."""
+    salt = own_columns(many)("salt")
+    left = many.withColumn(salt, F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    right = few.withColumn(salt, F.explode(F.lit(list(range(SALTS))).cast("array<bigint>")))
+    return left.join(right, [*on, salt], how).drop(salt)
+
+
 def tokenizer_path(name: str) -> str:
     """File of a public tokenizer; looked up where it is used, as executors have their own copy."""
     import public_tokenizers
@@ -122,7 +131,7 @@ def quiet_tokenizers() -> None:
     os.environ["RAYON_NUM_THREADS"] = "1"
 
 
-__all__ = ["F", "map_rows", "own_columns", "pa_schema", "quiet_tokenizers", "table", "tokenizer_path", "written"]
+__all__ = ["F", "map_rows", "own_columns", "pa_schema", "quiet_tokenizers", "salted_join", "table", "tokenizer_path", "written"]
 
 
 # Byte to byte: A-Z become a-z; a-z, digits and all bytes of non-ASCII characters stay; the rest parts words.

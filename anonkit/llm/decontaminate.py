@@ -10,7 +10,7 @@ words is one span and its own fingerprint, for which every run of as many words
 Both sides are tables and both joins shuffle only fingerprints that pass a bit filter over those of the
 benchmark. The filter has a fixed size (``filter_bytes``); a larger benchmark lets more pass, and the join
 removes them. Nothing else of the benchmark goes through the driver or is sent to all workers. Texts are never
-shuffled. Frequent spans and copies are spread by ``SALTS``; spans that stand in the same set of items are one
+shuffled. Frequent spans and copies are spread by salts; spans that stand in the same set of items are one
 class, so a passage meets its items once, not once a word. Equal texts are matched once, by their digest.
 
 Defined cases: null, empty and wordless texts have no words and no hits; items without words or without
@@ -30,12 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from anonkit.llm.common import own_columns, pa_schema, spaced_bytes, written
+from anonkit.llm.common import own_columns, pa_schema, salted_join, spaced_bytes, written
 
 SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1  # k-grams
-SALTS = 16
 FILTER_BYTES = 8 << 20  # a power of two
 SLICE_ROWS = 200
 SLICE_CHARS = 1 << 20
@@ -269,14 +268,6 @@ def scan_texts(docs: DataFrame, key: str | None, text: str, bench: DataFrame, fi
     return written(docs.select(own.alias("key"), F.col(text).alias("text")).mapInArrow(work, schema), "scanned")
 
 
-def _salted(many: DataFrame, few: DataFrame, on: list[str], how: str, by: list[str]) -> DataFrame:
-    """A join in which each row of ``few`` stands in ``SALTS`` places, and rows of ``many`` go to one of them by the columns ``by``."""
-    salt = own_columns(many)("salt")
-    left = many.withColumn(salt, F.pmod(F.xxhash64(*by), F.lit(SALTS)))
-    right = few.withColumn(salt, F.explode(F.lit(list(range(SALTS))).cast("array<bigint>")))
-    return left.join(right, [*on, salt], how).drop(salt)
-
-
 def benchmark_spans(bench: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each span with the class of its set of items, and the items of each class."""
     pairs = bench.where("span is not null").select("span", "item").distinct()
@@ -284,19 +275,19 @@ def benchmark_spans(bench: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind = F.concat_ws(":", "a", "b", "n").alias("kind")
     spans = pairs.groupBy("span").agg(*bits, F.count("*").alias("n")).select("span", kind)
     one = spans.groupBy("kind").agg(F.min("span").alias("span"))
-    return spans, _salted(pairs, one, ["span"], "inner", ["item"]).select("kind", "item")
+    return spans, salted_join(pairs, one, ["span"], "inner", ["item"]).select("kind", "item")
 
 
 def matched_spans(scanned: DataFrame, bench: DataFrame, spans: DataFrame) -> DataFrame:
     """Per text with hits, by its digest: number of the first word of a span that the benchmark has, the span's size and class."""
     prints = scanned.where("hash is not null").select("digest", "hash", "size", "low", "around").distinct()
     known = bench.where("hash is not null").select("hash", "size").distinct()
-    joined = _salted(prints, known, ["hash", "size"], "left_semi", ["digest", "low"])
+    joined = salted_join(prints, known, ["hash", "size"], "left_semi", ["digest", "low"])
     words = joined.select("digest", "size", "low", F.split("around", " ").alias("words"))
     places = F.posexplode(F.expr("transform(sequence(0, size(words) - int(size)), i -> array_join(slice(words, i + 1, int(size)), ' '))"))
     extended = words.select("digest", "size", "low", places.alias("i", "span"))
     extended = extended.select("digest", "size", (F.col("low") + F.col("i")).alias("at"), "span")
-    return _salted(extended, spans, ["span"], "inner", ["digest"]).select("digest", "at", "size", "kind")
+    return salted_join(extended, spans, ["span"], "inner", ["digest"]).select("digest", "at", "size", "kind")
 
 
 def find_contamination(
@@ -319,13 +310,13 @@ def find_contamination(
     before = F.max("after").over(Window.partitionBy("digest").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
     gain = F.greatest(F.lit(0), F.col("after") - F.greatest(F.col("at"), F.coalesce(before, F.col("at"))))
     covered = merged.select("digest", gain.alias("gain")).groupBy("digest").agg(F.sum("gain").alias("n_hit"))
-    found = _salted(hits.select("digest", "kind").distinct(), classes, ["kind"], "inner", ["digest"])
+    found = salted_join(hits.select("digest", "kind").distinct(), classes, ["kind"], "inner", ["digest"])
     found = found.groupBy("digest").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
     results = covered.join(found, "digest")
 
     rows = scanned.where("n_words is not null").select("key", "digest", "n_words")
     clean = rows.where("digest is null").select("key", "n_words", F.lit(0).cast("bigint").alias("n_hit"), F.array().cast("array<string>").alias("item_ids"))
-    other = _salted(rows.where("digest is not null"), results, ["digest"], "left", ["key", "n_words"])
+    other = salted_join(rows.where("digest is not null"), results, ["digest"], "left", ["key", "n_words"])
     other = other.select("key", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
     return clean.union(other).select(
         F.col("key").alias(key),
@@ -351,7 +342,7 @@ def drop_contaminated(
     found = written(hits.select(F.col("digest").alias(digest)).distinct(), "contaminated")
     marked = docs.withColumn(digest, F.coalesce(text_digest(text), F.lit("")))
     by = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    return _salted(marked, found, [digest], "left_anti", [F.col(f"`{name}`") for name in by]).select(*[F.col(f"`{name}`") for name in docs.columns])
+    return salted_join(marked, found, [digest], "left_anti", [F.col(f"`{name}`") for name in by]).select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def items_digest(item_ids: list[str]) -> str:

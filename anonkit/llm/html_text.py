@@ -15,8 +15,10 @@ where the branch around it is important, and stays if it holds over half of what
 copies of one article on a host do not remove it.
 
 Each page gives one row per style path, with hashes for text and child styles, so the merge is a plain
-aggregation that combines on the map side; a host of any size is never in one task. Only nodes on at least
-a tenth of a host's pages can be removed, so a host's list is bounded by what a page holds.
+aggregation that combines on the map side; a host of any size is never in one task. A path counts if it is on
+``least_pages`` pages, whatever the size of its host. Hosts with up to ``LIST_PATHS`` paths to remove hand their
+list to their pages; on other hosts the paths of each page are joined to those to remove, by host, path and salt,
+and each page gets its own ones. Both ways give the same text.
 
 Defined cases: null and empty html give empty text; pages without host form a host of their own, the empty
 one; hosts of fewer than ``least_pages`` pages have no style tree; repeated rows count as pages each; markup
@@ -36,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from anonkit.llm.common import own_columns, pa_schema, written
+from anonkit.llm.common import own_columns, pa_schema, salted_join, written
 from anonkit.llm.url_filters import host_column
 
 LEAST_PAGES = 10
-LEAST_SHARE = 0.1
+LIST_PATHS = 2000
 LEAST_IMPORTANCE = 0.3
 CONTENT_WEIGHT = 0.9
 DEPTH = 64  # of the style tree; what is nested deeper belongs to the node at this level
@@ -309,12 +311,27 @@ def path_importance(pages: DataFrame, host: str, html: str) -> DataFrame:
 
 
 def unimportant_paths(pages: DataFrame, host: str, html: str, *, least_pages: int, least_importance: float) -> DataFrame:
-    """Per host the hashes of the paths to remove, written as a table so that Spark knows its size."""
-    total = pages.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    low = path_importance(pages, host, html).where(F.col("importance") < least_importance)
-    # at least a tenth of the pages each: at most ten times as many paths as a page has
-    bound = low.join(total, "host").where((F.col("m") >= least_pages) & (F.col("m") >= LEAST_SHARE * F.col("pages")))
-    return written(bound.groupBy("host").agg(F.collect_list("path").alias("paths")), "styletree")
+    """The host and hash of each path to remove, written as a table so that Spark knows its size."""
+    low = path_importance(pages, host, html).where((F.col("importance") < least_importance) & (F.col("m") >= least_pages))
+    return written(low.select("host", "path"), "styletree")
+
+
+def paths_of_pages(pages: DataFrame, low: DataFrame, host: str, html: str, digest: str) -> DataFrame:
+    """Per host and digest of a page the hashes of its own paths that are in ``low``."""
+    schema = "host string, digest string, path bigint"
+    target = pa_schema(schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[str, str, int]] = []
+            for host_, digest_, source in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found += [(host_, digest_, path) for path in {_hash(p) for block in Page(source).blocks for p in block.paths}]
+            columns = zip(*found, strict=True) if found else ([],) * len(target)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+
+    rows = pages.select(F.col(host).alias("host"), F.col(digest).alias("digest"), F.col(html).alias("html")).mapInArrow(work, schema)
+    found = salted_join(rows, low, ["host", "path"], "inner", ["digest"])
+    return found.groupBy("host", "digest").agg(F.collect_set("path").alias("paths"))
 
 
 def extract(
@@ -325,13 +342,26 @@ def extract(
     html: str = "html",
     least_pages: int = LEAST_PAGES,
     least_importance: float = LEAST_IMPORTANCE,
+    list_paths: int = LIST_PATHS,
 ) -> DataFrame:
     """``key``, ``url``, main text, and its number of characters for every page."""
     own = own_columns(pages)
-    host, paths = own("host"), own("paths")
+    host, paths, digest = own("host"), own("paths"), own("digest")
     rows = pages.select(key, url, F.col(html).alias("html"), host_column(F.col(url)).alias(host))
     low = unimportant_paths(rows, host, "html", least_pages=least_pages, least_importance=least_importance)
-    joined = rows.join(low.select(F.col("host").alias(host), F.col("paths").alias(paths)), host, "left")
+    counted = low.groupBy("host").agg(F.count("*").alias("n"))
+    wide = written(counted.where(F.col("n") > list_paths).select("host"), "widehosts")
+    short = low.join(wide, "host", "left_anti").groupBy("host").agg(F.collect_list("path").alias(paths))
+    by_page = [F.col(key), F.col(url), F.col("html")]
+    named = wide.withColumnRenamed("host", host)
+    some = not wide.isEmpty()
+    rest = salted_join(rows, named, [host], "left_anti", by_page) if some else rows
+    joined = salted_join(rest, short.withColumnRenamed("host", host), [host], "left", by_page).select(key, url, "html", paths)
+    if some:
+        marked = salted_join(rows, named, [host], "left_semi", by_page).withColumn(digest, F.sha2("html", 256))
+        lists = paths_of_pages(marked, low.join(wide, "host", "left_semi"), host, "html", digest)
+        lists = lists.select(F.col("host").alias(host), F.col("digest").alias(digest), F.col("paths").alias(paths))
+        joined = joined.union(salted_join(marked, lists, [host, digest], "left", by_page).select(key, url, "html", paths))
 
     @F.arrow_udf("string")
     def text_of(sources: pa.Array, removed: pa.Array) -> pa.Array:

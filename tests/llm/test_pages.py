@@ -39,6 +39,26 @@ def test_repeated_branches_of_a_host_are_removed(spark):
         assert r.text == f"Title {i}\n{LONG}{i * 7919}\nMore on {i}" and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("list_paths", [html_text.LIST_PATHS, 0])
+def test_a_box_on_few_pages_of_a_large_host_is_removed(spark, list_paths):
+    """The same box on 20 of 2,000 pages; with ``list_paths=0`` every page gets its own paths by the join."""
+    box = "<div class='teaser'><p>Ten tips that doctors hate</p></div>"
+    rows = [(i, "http://big.example/", f"<body>{box if i % 100 == 0 else ''}<div class='text'><p>Story {i} {LONG}</p></div></body>") for i in range(2000)]
+    rows += [(5000 + i, "http://big.example/", f"<body><div class='teaser{i}'><p>Once {i}</p></div><p>Story {LONG}</p></body>") for i in range(3)]
+    rows += [(9000, None, None), (9000, None, None), (9001, "http://big.example/", None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"host": F.lit("x"), "paths": F.lit("x"), "digest": F.lit("x")})
+    got = {r.page_id: r for r in html_text.extract(df, list_paths=list_paths).collect()}
+    assert html_text.extract(df, list_paths=list_paths).count() == len(rows)
+    assert all(got[i].text == f"Story {i} {LONG}".strip() for i in range(2000))
+    assert all(got[5000 + i].text == f"Once {i}\nStory {LONG}".strip() for i in range(3))
+    assert got[9000].text == got[9001].text == ""
+
+
+def test_both_ways_to_hand_out_paths_are_equal(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    assert sorted(html_text.extract(pages, list_paths=0).collect()) == sorted(html_text.extract(pages).collect())
+
+
 def test_small_hosts_and_copies_keep_their_text(spark):
     rows = [(i, f"http://h{i}.example/", page(i)) for i in range(5)] + [(100 + i, "http://copies.example/", page(7)) for i in range(30)]
     got = extract(spark, rows)
