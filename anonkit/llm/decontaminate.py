@@ -36,6 +36,7 @@ SPAN = 10
 GRAM = 5
 WINDOW = SPAN - GRAM + 1  # k-grams
 FILTER_BYTES = 8 << 20  # a power of two
+BROADCAST_ROWS = 100_000  # digests of 64 characters
 SLICE_ROWS = 200
 SLICE_CHARS = 1 << 20
 BATCH_ROWS = 10_000
@@ -330,19 +331,29 @@ def find_contamination(
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text", filter_bytes: int = FILTER_BYTES
+    docs: DataFrame,
+    items: DataFrame,
+    *,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    filter_bytes: int = FILTER_BYTES,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The documents without any hit, with all columns. Spark sends the digests of the others to all tasks if they are few, else both
-    sides meet by digest and salt."""
+    """The documents without any hit, with all columns. Up to ``broadcast_rows`` digests of texts with hits are counted and sent to
+    all tasks, so no text is shuffled; more meet the documents by digest and salt."""
     bench = benchmark_table(items, item_key, item_text)
     scanned = scan_texts(docs, None, text, bench, filter_bytes)
     hits = matched_spans(scanned, bench, benchmark_spans(bench)[0])
-    own = own_columns(docs)
-    digest = own("digest")
+    digest = own_columns(docs)("digest")
     found = written(hits.select(F.col("digest").alias(digest)).distinct(), "contaminated")
     marked = docs.withColumn(digest, F.coalesce(text_digest(text), F.lit("")))
-    by = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    return salted_join(marked, found, [digest], "left_anti", [F.col(f"`{name}`") for name in by]).select(*[F.col(f"`{name}`") for name in docs.columns])
+    if found.count() <= broadcast_rows:
+        kept = marked.join(F.broadcast(found), digest, "left_anti")
+    else:
+        by = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+        kept = salted_join(marked, found, [digest], "left_anti", by)
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def items_digest(item_ids: list[str]) -> str:

@@ -158,8 +158,11 @@ def test_short_overlapping_and_frequent_items(spark, odd_documents, filter_bytes
     found = decontaminate.find_contamination(df, spark.createDataFrame(items, "item_id bigint, text string"), filter_bytes=filter_bytes)
     got = sorted((tuple(r)[:6] for r in found.collect()), key=str)
     assert got == brute_contamination(documents, [i for i in dict.fromkeys(items) if i[0] is not None])
-    kept = decontaminate.drop_contaminated(df, spark.createDataFrame(items, "item_id bigint, text string"), filter_bytes=filter_bytes)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in got if not r[5])
+    for most in (decontaminate.BROADCAST_ROWS, 0):
+        kept = decontaminate.drop_contaminated(
+            df, spark.createDataFrame(items, "item_id bigint, text string"), filter_bytes=filter_bytes, broadcast_rows=most
+        )
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in got if not r[5])
 
 
 @pytest.mark.parametrize("letters", ["ab", "abcd"])
