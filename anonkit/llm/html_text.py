@@ -15,13 +15,15 @@ where the branch around it is important, and stays if it holds over half of what
 copies of one article on a host do not remove it.
 
 Each page gives one row per style path, with hashes for text and child styles, so the merge is a plain
-aggregation that combines on the map side; a host of any size is never in one task. A path counts if it is on
-``least_pages`` pages, whatever the size of its host. Hosts with up to ``LIST_PATHS`` paths to remove hand their
+aggregation that combines on the map side; a host of any size is never in one task. A path that is on
+``least_pages`` pages of its host is judged by them, whatever the size of the host. All others, those of small hosts
+among them, are judged together over all hosts: such a path is unimportant where it is on ``least_pages`` pages of
+them and shows the same there, as the boxes of site builders do. Hosts with up to ``LIST_PATHS`` paths to remove hand their
 list to their pages; on other hosts the paths of each page are joined to those to remove, by host, path and salt,
 and each page gets its own ones. Both ways give the same text.
 
 Defined cases: null and empty html give empty text; pages without host form a host of their own, the empty
-one; hosts of fewer than ``least_pages`` pages have no style tree; repeated rows count as pages each; markup
+one; a path on fewer than ``least_pages`` pages of all such hosts stays; repeated rows count as pages each; markup
 that is cut off or never closed is read as far as it goes; an empty table gives no rows; other columns have
 no effect.
 """
@@ -278,13 +280,10 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def path_importance(pages: DataFrame, host: str, html: str) -> DataFrame:
-    """Per host and style path: pages it is on, and its importance from 0 to 1.
-
-    With a feature shared by k of a node's m pages, log(k) / log(m) is its entropy; content counts by one minus
-    the mean of it, presentation by the entropy of the child orders, so both are high where pages differ.
-    """
-    target = pa_schema("host string, path bigint, content bigint, style bigint, n bigint")
+def merged_paths(pages: DataFrame, host: str, html: str) -> DataFrame:
+    """Per host, style path, text and child styles the number of pages, as a table: pages are parsed once for it."""
+    schema = "host string, path bigint, content bigint, style bigint, n bigint"
+    target = pa_schema(schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,24 +295,36 @@ def path_importance(pages: DataFrame, host: str, html: str) -> DataFrame:
             arrays = [*columns, list(found.values())]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(arrays, target, strict=True)], schema=target)
 
-    rows = pages.select(F.col(host).alias("host"), F.col(html).alias("html")).mapInArrow(
-        merge, "host string, path bigint, content bigint, style bigint, n bigint"
-    )
-    merged = rows.groupBy("host", "path", "content", "style").agg(F.sum("n").alias("n"))
+    rows = pages.select(F.col(host).alias("host"), F.col(html).alias("html")).mapInArrow(merge, schema)
+    return written(rows.groupBy("host", "path", "content", "style").agg(F.sum("n").alias("n")), "paths")
+
+
+def importance(merged: DataFrame, node: list[str]) -> DataFrame:
+    """Per node of the tree: pages it is on, and its importance from 0 to 1.
+
+    With a feature shared by k of a node's m pages, log(k) / log(m) is its entropy; content counts by one minus
+    the mean of it, presentation by the entropy of the child orders, so both are high where pages differ.
+    """
     # k log k is summed per feature, first over contents, then over styles
     weight = F.sum("n") * F.log(F.sum("n"))
-    content = merged.groupBy("host", "path", "content").agg(F.sum("n").alias("n"), weight.alias("w"))
-    content = content.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum("w").alias("content"))
-    style = merged.groupBy("host", "path", "style").agg(weight.alias("w")).groupBy("host", "path").agg(F.sum("w").alias("style"))
+    content = merged.groupBy(*node, "content").agg(F.sum("n").alias("n"), weight.alias("w"))
+    content = content.groupBy(*node).agg(F.sum("n").alias("m"), F.sum("w").alias("content"))
+    style = merged.groupBy(*node, "style").agg(weight.alias("w")).groupBy(*node).agg(F.sum("w").alias("style"))
     most = F.col("m") * F.log("m")
-    importance = (CONTENT_WEIGHT * (most - F.col("content")) + (1 - CONTENT_WEIGHT) * (most - F.col("style"))) / most
-    return content.where("m > 1").join(style, ["host", "path"]).select("host", "path", "m", importance.alias("importance"))
+    value = (CONTENT_WEIGHT * (most - F.col("content")) + (1 - CONTENT_WEIGHT) * (most - F.col("style"))) / most
+    return content.where("m > 1").join(style, node).select(*node, "m", value.alias("importance"))
 
 
 def unimportant_paths(pages: DataFrame, host: str, html: str, *, least_pages: int, least_importance: float) -> DataFrame:
     """The host and hash of each path to remove, written as a table so that Spark knows its size."""
-    low = path_importance(pages, host, html).where((F.col("importance") < least_importance) & (F.col("m") >= least_pages))
-    return written(low.select("host", "path"), "styletree")
+    merged = merged_paths(pages, host, html)
+    enough, low = F.col("m") >= least_pages, F.col("importance") < least_importance
+    node = ["host", "path"]
+    judged = written(importance(merged, node).where(enough), "styletree")
+    rare = salted_join(merged, judged.select(*node), node, "left_anti", ["content"])
+    anywhere = importance(rare, ["path"]).where(enough & low).select("path")
+    shared = salted_join(rare.select(*node).distinct(), anywhere, ["path"], "inner", ["host"])
+    return written(judged.where(low).select(*node).union(shared.select(*node)), "unimportant")
 
 
 def paths_of_pages(pages: DataFrame, low: DataFrame, host: str, html: str, digest: str) -> DataFrame:

@@ -54,6 +54,29 @@ def test_a_box_on_few_pages_of_a_large_host_is_removed(spark, list_paths):
     assert got[9000].text == got[9001].text == ""
 
 
+@pytest.mark.parametrize("list_paths", [html_text.LIST_PATHS, 0])
+def test_small_hosts_are_judged_together(spark, list_paths):
+    """Hosts of one to three pages: a site builder's box goes, what is a host's own or an article stays, copied articles too."""
+    box = "<div class='builder'><p>Made with our builder, try it today</p></div>"
+    rows, want = [], {}
+    for i in range(120):
+        url, kind = f"http://small{i // (1 + i % 3)}.example/{i}", i % 4
+        story = f"Story {i} {LONG}".strip()
+        if kind == 0:  # a box of its own
+            body, text = f"{box}<div class='own{i}'><p>Own box</p></div><div class='text'><p>{story}</p></div>", f"Own box\n{story}"
+        elif kind == 1:  # one article on all of them
+            body, text = f"{box}<div class='copy'><h2>Copied</h2><p>{LONG}</p></div>", f"Copied\n{LONG}".strip()
+        else:  # the box's style with texts of the page
+            body, text = f"<div class='text'><p>{story}</p></div><div class='quote'><p>Said {i}</p></div>", f"{story}\nSaid {i}"
+        rows.append((i, url, f"<html><body>{body}</body></html>"))
+        want[i] = text
+    got = extract(spark, rows, list_paths=list_paths)
+    assert {i: r.text for i, r in got.items()} == want
+    # the box on nine pages in all is too little to tell
+    few = extract(spark, [r for r in rows if r[0] % 4 == 0][:9], list_paths=list_paths)
+    assert all("Made with our builder" in r.text for r in few.values())
+
+
 def test_both_ways_to_hand_out_paths_are_equal(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     assert sorted(html_text.extract(pages, list_paths=0).collect()) == sorted(html_text.extract(pages).collect())
