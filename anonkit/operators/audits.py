@@ -18,6 +18,8 @@ from anonkit.sources.scratch import fresh_dir
 
 # Fixed value: groups with fewer rows than this are reported as rare.
 RARE_BELOW = 10
+# Cents in a block of amounts, when the median is looked for.
+BLOCK = 10**6
 
 
 # ---- phone ------------------------------------------------------------------
@@ -233,52 +235,56 @@ def _noised(orders: DataFrame, salt: str) -> DataFrame:
     )
 
 
-def _middle_values(counted: DataFrame) -> DataFrame:
-    """The exact median of each series from a table of (series, value, n), in three narrowing steps.
+def _holds(rank: str) -> Column:
+    """Whether the row, the last of the first ``upto`` with ``n`` of its own, holds the rank counted from 0."""
+    return (F.col(rank) < F.col("upto")) & (F.col(rank) >= F.col("upto") - F.col("n"))
 
-    Each step counts by leading digits, finds the digits that hold the middle rank, and goes on with their rows.
-    At most 10,000 counts of a series meet in one task, whatever the number of distinct amounts.
+
+def _middle_values(counted: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The exact median of each series from counts per amount in cents, and these counts per block of ``BLOCK`` cents.
+
+    Running counts over the blocks find those that hold the two middle ranks (one and the same for an odd count), running
+    counts inside them the amounts. An amount has twelve digits, so a task never sorts more than a million counts.
     """
-    cents = (F.col("value") * 100).cast("bigint")
-    total = counted.groupBy("series").agg(F.sum("n").alias("total"))
-    side = F.explode(F.array(F.lit(0), F.lit(1))).alias("side")  # both middle ranks; one and the same for an odd count
-    ranks = total.select("series", F.floor((F.col("total") - 1) / 2).alias("low"), F.floor(F.col("total") / 2).alias("high"), side)
-    ranks = ranks.select("series", "side", F.when(F.col("side") == 0, F.col("low")).otherwise(F.col("high")).alias("rank"))
-    rows = counted.select("series", cents.alias("cents"), "n").join(F.broadcast(ranks.select("series", "side")), "series")
-    for unit in (10**8, 10**4, 1):
-        digits = F.floor(F.col("cents") / unit).alias("digits")
-        counts = rows.groupBy("series", "side", digits).agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("series", "side").orderBy("digits"))
-        placed = counts.withColumn("upto", upto).join(F.broadcast(ranks), ["series", "side"])
-        held = placed.where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        # two rows for each series
-        chosen = held.select("series", "side", "digits", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
-        ranks = chosen.select("series", "side", "rank")
-        rows = rows.withColumn("digits", digits).join(F.broadcast(chosen.drop("rank")), ["series", "side", "digits"]).drop("digits")
-    middle = rows.groupBy("series", "side").agg(F.min("cents").alias("cents"))
-    return middle.groupBy("series").agg((F.avg("cents") / 100).alias("median_value"))
+    upto = F.sum("n").over(Window.partitionBy("series").orderBy("block"))
+    total = F.sum("n").over(Window.partitionBy("series"))
+    placed = blocks.select("series", "block", "n", upto.alias("upto"), F.floor((total - 1) / 2).alias("low"), F.floor(total / 2).alias("high"))
+    # at most two rows for each of the series
+    held = placed.where(_holds("low") | _holds("high")).select("series", "block", "low", "high", (F.col("upto") - F.col("n")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("series", "block").orderBy("cents")) + F.col("before")
+    rows = counted.join(F.broadcast(held), ["series", "block"]).withColumn("upto", inside)
+    middle = [F.max(F.when(_holds(rank), F.col("cents"))) for rank in ("low", "high")]
+    return rows.groupBy("series").agg(((middle[0] + middle[1]) / 2 / 100).alias("median_value"))
 
 
 def noise_utility_total(orders: DataFrame, salt: str) -> DataFrame:
     """Count, mean, extremes, sum and median before and after the noise.
 
-    One scan: rows are counted per (series, value) on the map side into a table, and all statistics are formed
+    One scan: rows are counted per series and amount on the map side into a table, and all statistics are formed
     from the counts.
     """
     values = _noised(orders, salt).selectExpr("stack(2, 'original', original, 'noised', noised) as (series, value)")
+    cents = (F.col("value") * 100).cast("bigint")
     counts = values.where(F.col("value").isNotNull()).groupBy("series", "value").agg(F.count("*").alias("n"))
+    counted = counts.select("series", "value", "n", cents.alias("cents"), F.floor(cents / BLOCK).alias("block"))
     path = fresh_dir(orders.sparkSession, "amounts")
-    counts.write.parquet(path)
-    counted = orders.sparkSession.read.schema(counts.schema).parquet(path)
-    weighted = F.sum(F.col("value") * F.col("n"))
-    sums = counted.groupBy("series").agg(
+    counted.write.parquet(path)
+    counted = orders.sparkSession.read.schema(counted.schema).parquet(path)
+    blocks = counted.groupBy("series", "block").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("value") * F.col("n")).alias("weighted"),
+        F.max("value").alias("most"),
+        F.min("value").alias("least"),
+    )
+    sums = blocks.groupBy("series").agg(
         F.sum("n").alias("orders"),
-        F.round(weighted / F.sum("n"), 2).alias("avg_value"),
-        F.max("value").alias("max_value"),
-        F.min("value").alias("min_value"),
-        weighted.cast("decimal(20,2)").alias("total_value"),
+        F.round(F.sum("weighted") / F.sum("n"), 2).alias("avg_value"),
+        F.max("most").alias("max_value"),
+        F.min("least").alias("min_value"),
+        F.sum("weighted").cast("decimal(20,2)").alias("total_value"),
     )
-    return sums.join(_middle_values(counted), "series")
+    # a row for each series
+    return sums.join(F.broadcast(_middle_values(counted, blocks)), "series")
 
 
 def noise_drawn(orders: DataFrame, noise_of: Callable[[Column], Column], bound: float) -> DataFrame:
