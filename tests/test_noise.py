@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+import statistics
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from anonkit.functions import money, noise
 from anonkit.functions.keyed import bernoulli
+from anonkit.operators import audits
 from anonkit.schema import Policy
 
 CENT = Decimal("0.01")
@@ -74,3 +76,28 @@ def test_bernoulli_share_and_stability(spark):
 def test_policy_needs_a_secret():
     with pytest.raises(ValueError):
         Policy(noise_salt="", as_of=dt.date(2026, 1, 1))
+
+
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        ["12.34"],
+        ["0.01", "0.02"],
+        ["5.00"] * 4 + [None],
+        ["9999.99", "10000.00", "10000.01"],  # over the border of a block
+        ["9999.99", "10000.00"],
+        ["0.00", "9999999999.99", "9999999999.99", "25000.00", "10000.00", "10000.00"],
+        [f"{i * 777 % 40000}.{i % 100:02d}" for i in range(1001)],
+        [f"{i * 777 % 40000}.{i % 100:02d}" for i in range(1000)],
+    ],
+)
+def test_the_median_of_all_amounts_is_exact(spark, amounts):
+    rows = [(f"O{i}", "NL", a and Decimal(a)) for i, a in enumerate(amounts)]
+    orders = spark.createDataFrame(rows, "order_id string, country string, order_value_eur decimal(12,2)")
+    got = {r.series: r for r in audits.noise_utility_total(orders, "salt").collect()}
+    values = [Decimal(a) for a in amounts if a]
+    assert got["original"].median_value == pytest.approx(float(statistics.median(values)), rel=1e-15)
+    noised = audits._noised(orders, "salt").where("noised is not null").collect()
+    assert got["noised"].median_value == pytest.approx(float(statistics.median(r.noised for r in noised)), rel=1e-15)
+    assert got["original"].orders == len(values) and got["original"].total_value == sum(values)
+    assert (got["original"].min_value, got["original"].max_value) == (min(values), max(values))
