@@ -1,13 +1,13 @@
 """Redact the values of all people in all texts: a distributed dictionary match.
 
 A text is cut into pieces that alternate between words and what stands between them. Runs of as many words as the values have
-are looked up by an equi-join with the table of distinct values, so no text meets a value that it does not hold. Runs whose
-outline (first signs and separator) no value has are left out before anything is shuffled. Values that make up more than
-a thousandth of all finds are dealt out by salts. Finds go back to their texts and are replaced by position.
+are looked up by an equi-join with the table of distinct values, so no text meets a value that it does not hold. Before anything
+is shuffled, bit tables of a fixed size leave out runs that start as no value does, and then runs that are no value. Values that make up
+more than a thousandth of all finds are dealt out by salts. Finds go back to their texts and are replaced by position.
 
 With one edit allowed, a run and a value meet if they are equal after one sign is left out of each (or of none): any two strings within
 one insertion, deletion or replacement share such a form. The edit distance of each meeting is then computed. Edits that
-add or remove a whole separator change the number of words and are not found.
+add or remove a whole separator change the number of words and are not found. Any other edit leaves the first or the second word as it is.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ _WORD = r"[\p{L}\p{N}_]"
 _BETWEEN = r"[^\p{L}\p{N}_]"
 HOT_SHARE = 1000  # a value with more than this part of all finds is salted; so there are at most as many hot values
 SALTS = 64
+BITS = 1 << 24  # of each filter before a shuffle: 4 MB at most; more values only let more runs through
 
 # Columns whose values are looked for in all texts, with their label.
 VALUE_COLUMNS = (("email", "[EMAIL]"), ("street_address", "[ADDRESS]"), ("full_name", "[NAME]"), ("phone", "[PHONE]"))
@@ -49,21 +50,6 @@ def value_table(people: DataFrame, columns: tuple[tuple[str, str], ...] = VALUE_
     return single.select("core", "words", "first.label", "first.lead")
 
 
-def _kind(word: Column) -> Column:
-    sign = F.left(word, F.lit(1))
-    return F.when(sign.rlike(r"\p{Lu}"), "U").when(sign.rlike(r"\p{L}"), "l").otherwise("0")
-
-
-def _outlines(pieces: Column, at: Column, words: Column, edits: int) -> list[Column]:
-    """What a run's start looks like, in one or, where an edit may change one end, two half descriptions."""
-    first, between, second = (F.get(pieces, at - 1 + i) for i in range(3))
-    several = words > 1
-    start = F.when(several, F.left(between, F.lit(1))).otherwise("")
-    head = F.concat(words.cast("string"), F.lit("a"), _kind(first), start)
-    tail = F.concat(words.cast("string"), F.lit("b"), start, F.when(several, _kind(second)).otherwise(""))
-    return [head, tail] if edits else [F.concat(head, tail)]
-
-
 def _cut(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"{_WORD}+|{_BETWEEN}+"), F.lit(0))
 
@@ -76,50 +62,77 @@ def _forms(core: Column) -> Column:
     return F.array_distinct(F.concat(F.array(core), left_out))
 
 
-def runs(texts: DataFrame, text: str, keys: list[str], values: DataFrame, edits: int = 0) -> DataFrame:
-    """Runs of words that may be a value: ``keys``, ``at`` and ``until`` (pieces, from 1), ``core``."""
-    seen = values.select("words", _cut(F.col("core")).alias("pieces"))
-    outlines = seen.select("words", F.explode(F.array(*_outlines(F.col("pieces"), F.lit(1), F.col("words"), edits))).alias("outline"))
-    # a handful of numbers of words, and of outlines at most one for each of them, two kinds of words and a separator
-    known = outlines.groupBy("words").agg(F.collect_set("outline").alias("outlines")).collect()
-    if not known:
-        return texts.where("false").select(*keys, F.lit(0).alias("at"), F.lit(0).alias("until"), F.lit("").alias("core"))
+def _slot(*parts: Column) -> Column:
+    return F.pmod(F.xxhash64(*parts), F.lit(BITS))
 
-    def found(pieces: Column) -> Column:
-        start = F.when(F.get(pieces, F.lit(0)).rlike(rf"^{_WORD}"), 1).otherwise(2)
-        places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1))), lambda i: i % 2 == start % 2)
 
-        def of_length(words: int, wanted: list[str]) -> Column:
-            until = lambda i: i + 2 * words - 2
-            among = F.array(*[F.lit(w) for w in sorted(wanted)])
+def _bits(slots: DataFrame) -> DataFrame:
+    """Which values ``slot`` has: 64 bits a row, so at most ``BITS / 64`` rows, however many slots there are."""
+    bit = F.expr("shiftleft(1L, cast(slot % 64 as int))")
+    return slots.groupBy((F.shiftright("slot", 6)).alias("_row")).agg(F.bit_or(bit).alias("_bits"))
 
-            def fits(i: Column) -> Column:
-                shapes = _outlines(pieces, i, F.lit(words), edits)
-                return (until(i) <= F.size(pieces)) & reduce(lambda a, b: a | b, [F.array_contains(among, s) for s in shapes])
 
-            return F.transform(
-                F.filter(places, fits),
-                lambda i: F.struct(
-                    i.alias("at"), until(i).alias("until"), F.array_join(F.slice(pieces, i, F.lit(2 * words - 1)), "").alias("core")
-                ),
-            )
+def _looked_up(df: DataFrame, slot: Column, bits: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``name``: whether the bit of ``slot`` is set. It is for all that have it, and for few others while most bits are not."""
+    found = df.withColumn("_slot", slot)
+    joined = found.join(F.broadcast(bits), F.shiftright("_slot", 6) == F.col("_row"), "left")
+    held = F.coalesce(F.getbit("_bits", (F.col("_slot") % 64).cast("int")) == 1, F.lit(False))
+    return joined.withColumn(name, held).drop("_slot", "_row", "_bits")
 
-        return F.concat(*[of_length(row["words"], row["outlines"]) for row in known])
 
-    pieces = F.filter(_cut(F.col(text)), lambda p: p != "")
-    return texts.select(*keys, F.explode(F.flatten(F.transform(F.array(pieces), found))).alias("_run")).select(
-        *keys, "_run.at", "_run.until", "_run.core"
-    )
+def _starts(first: Column, between: Column, second: Column, edits: int) -> list[Column]:
+    """Slots of a run of several words: its first word, separator and kind of second word, or either word if one may be edited."""
+    if edits:
+        return [_slot(F.lit("first"), first), _slot(F.lit("second"), second)]
+    kind = F.ascii(second)
+    return [_slot(F.lit("both"), first, F.left(between, F.lit(1)), (kind < 58).cast("int") + (kind < 91).cast("int"))]
+
+
+def runs(texts: DataFrame, text: str, keys: list[str], values: DataFrame, edits: int = 0) -> DataFrame:
+    """Runs of words that may be a value: ``keys``, ``at`` and ``until`` (pieces, from 1), ``core``."""
+    lengths = sorted(row["words"] for row in values.select("words").distinct().collect())  # a handful of numbers
+    if not lengths:
+        return texts.where("false").select(*keys, F.lit(0).alias("at"), F.lit(0).alias("until"), F.lit("").alias("core"))
+    seen = values.select("words", _cut(F.col("core")).alias("pieces"))
+    starts = F.array(*_starts(*(F.get("pieces", F.lit(i)) for i in range(3)), edits))
+    several = seen.where("words > 1").select(F.explode(starts).alias("slot"))
+    single = seen.where("words = 1").select(_slot(F.lit("single"), F.get("pieces", F.lit(0))).alias("slot"))
+    bits = _bits(several.unionByName(single))
+
+    cut = texts.select(*keys, _cut(F.col(text)).alias("_pieces"))
+    first, size = F.when(F.get("_pieces", F.lit(0)).rlike(rf"^{_WORD}"), 0).otherwise(1), F.size("_pieces")
+    # a row per word; for an explode of the array itself Spark adds filters that cut the text again
+    places = cut.select("*", F.explode(F.when(first < size, F.sequence(first, size - 1, F.lit(2)))).alias("_at"))
+    around = [F.get("_pieces", F.col("_at") + i) for i in range(3)]
+    of_several, of_one = F.lit(False), F.lit(False)
+    if lengths[-1] > 1:
+        for i, slot in enumerate(_starts(*around, edits)):
+            places = _looked_up(places, slot, bits, f"_held{i}")
+            of_several = of_several | F.col(f"_held{i}")
+    if lengths[0] == 1 and edits:
+        of_one = F.lit(True)  # an edit may be anywhere in the only word
+    elif lengths[0] == 1:
+        places = _looked_up(places, _slot(F.lit("single"), around[0]), bits, "_single")
+        of_one = F.col("_single")
+    held = places.where(of_several | of_one).withColumn("_words", F.explode(F.array(*[F.lit(n) for n in lengths])))
+    signs = F.col("_words") * 2 - 1
+    held = held.where((F.col("_at") + signs <= F.size("_pieces")) & F.when(F.col("_words") > 1, of_several).otherwise(of_one))
+    core = F.array_join(F.slice("_pieces", F.col("_at") + 1, signs), "")
+    return held.select(*keys, (F.col("_at") + 1).alias("at"), (F.col("_at") + signs).alias("until"), core.alias("core"))
 
 
 def finds(texts: DataFrame, text: str, keys: list[str], values: DataFrame, edits: int = 0) -> DataFrame:
     """``keys``, ``at``, ``until``, ``found`` and the ``value`` it stands for, with ``label``, ``lead`` and ``distance``."""
     if edits not in (0, 1):
         raise ValueError("edits must be 0 or 1")
+    values = as_table(values, "values")
     looked_up = runs(texts, text, keys, values, edits)
     form = (lambda c: F.explode(_forms(c))) if edits else (lambda c: c)
     left = looked_up.select(*keys, "at", "until", F.col("core").alias("found"), form(F.col("core")).alias("form"))
     right = values.select(F.col("core").alias("value"), "label", "lead", form(F.col("core")).alias("form"))
+    slot = _slot(F.lit("form"), F.col("form"))
+    left = _looked_up(left, slot, _bits(right.select(slot.alias("slot"))), "_held").where("_held").drop("_held")
+    left = as_table(left, "runs")  # texts are cut once
     # how often each form that a value has is looked up: a row per form, however many texts hold it
     counted = as_table(left.groupBy("form").count().join(right.select("form").distinct(), "form", "left_semi"), "lookups")
     total = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
@@ -168,6 +181,5 @@ def redact_values(
         start = F.struct(F.lit("").alias("text"), F.lit(1).alias("next"))
         return F.aggregate("_hits", start, step, lambda d: F.concat(d["text"], join(d["next"], F.size(pieces))))
 
-    pieces = F.filter(_cut(F.col(text)), lambda p: p != "")
-    new = F.get(F.transform(F.array(pieces), replaced), F.lit(0))
+    new = F.get(F.transform(F.array(_cut(F.col(text))), replaced), F.lit(0))
     return joined.withColumn(output, F.when(F.col("_hits").isNull(), F.col(text)).otherwise(new)).drop("_hits")

@@ -117,3 +117,16 @@ def test_native_and_no_pairs(spark):
     plan = D.redact_values(texts(spark, list(TEXTS)), "note", ["id"], table)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Arrow", "Cartesian", "NestedLoop"):
         assert word not in plan
+
+
+def test_runs_that_only_look_like_a_value_are_left_out(spark):
+    table = D.value_table(people(spark), COLUMNS)
+    said = ["Bob Stone met Eve Hill (0175)-079190 eve.stone7@mail.example", "...", "", None, "Ana Keller"]
+    got = [(r.id, r["at"], r.until, r.core) for r in D.runs(texts(spark, said), "note", ["id"], table).collect()]
+    assert got == [(4, 1, 3, "Ana Keller")]
+
+
+def test_full_bit_tables_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(D, "BITS", 64)
+    table = D.value_table(people(spark), COLUMNS)
+    assert redacted(spark, [*TEXTS, None], table) == [*TEXTS.values(), None]
