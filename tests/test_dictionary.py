@@ -130,3 +130,12 @@ def test_full_bit_tables_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(D, "BITS", 64)
     table = D.value_table(people(spark), COLUMNS)
     assert redacted(spark, [*TEXTS, None], table) == [*TEXTS.values(), None]
+
+
+def test_runs_one_edit_away_only(spark):
+    table = D.value_table(people(spark, [(None, n, None) for n in ("Ana Keller", "Juan Carlos Núñez", "Madonna")]), COLUMNS)
+    said = ["Bob Stone met Eve Hill Hilton", "Ana-Keller", "Juan  Carlos Núñez", "Juna Carlos Nuñez", "Madona"]
+    pairs = {r.core for r in D.runs(texts(spark, said[:1]), "note", ["id"], table, edits=1).collect()}
+    assert pairs == {"Bob", "Stone", "met", "Eve", "Hill", "Hilton"}  # of one word, where the edit may be anywhere
+    found = {(r.found, r.value, r.distance) for r in D.finds(texts(spark, said), "note", ["id"], table, edits=1).collect()}
+    assert found == {("Ana-Keller", "Ana Keller", 1), ("Juan  Carlos Núñez", "Juan Carlos Núñez", 1), ("Madona", "Madonna", 1)}
