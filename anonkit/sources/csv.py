@@ -38,8 +38,9 @@ def read_csv_split(spark: SparkSession, path: str, schema: T.StructType = ORDERS
 
     A line ends a record if an even number of quotes stands before its end, counted from the start of the file. Lines are
     read in splits; each split's quotes are summed, running sums over the splits of a file say whether a split
-    begins inside a field, and a running sum in the split says it of each line. The lines of a record are put together again and
-    parsed by Spark. The first record of each file is its header. A file with an odd number of quotes is an error.
+    begins inside a field, and a running sum in the split says it of each line. A line that begins and ends outside fields is a
+    record; only the lines of longer records are put together again. Spark parses the records. The first record of each file
+    is its header. A file with an odd number of quotes is an error.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
@@ -50,29 +51,37 @@ def read_csv_split(spark: SparkSession, path: str, schema: T.StructType = ORDERS
     own = Window.partitionBy("split").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scanned = lines.withColumn("upto", F.sum("quotes").over(own))
     splits = lines.groupBy("split").agg(F.sum("quotes").alias("quotes"))
-    before = Window.partitionBy("split.file").orderBy("split.start").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
-    offsets = splits.select("split", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("offset"))
+    earlier = Window.partitionBy("split.file").orderBy("split.start").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    offsets = splits.select("split", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("offset"))
     at = scanned.join(offsets, "split").select(
         "split", "n", "value", ((F.col("offset") + F.col("upto") - F.col("quotes")) % 2 == 0).alias("begins"),
         ((F.col("offset") + F.col("upto")) % 2).alias("open"),
     )
     # number records within a split; lines before the first border belong to the last record of an earlier split
     at = at.withColumn("record", F.sum(F.col("begins").cast("bigint")).over(own))
-    whole = at.groupBy("split").agg(F.max("record").alias("records"), F.max_by("open", "n").alias("open"))
-    earlier = Window.partitionBy("split.file").orderBy("split.start").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = whole.select("split", F.coalesce(F.sum("records").over(earlier), F.lit(0)).alias("first"))
+    whole = F.col("begins") & (F.col("open") == 0)
+    header = (F.col("split.start") == 0) & (F.col("record") == 1)
+    alone = at.where(whole & ~header).select(F.col("value").alias("text"))
+    # what is open at the end of a split is its last record of several lines
+    parts = at.where(~whole)
+    last = parts.groupBy("split").agg(F.max("record").alias("record")).withColumn(
+        "before", F.last(F.when(F.col("record") > 0, F.struct(F.col("split.start"), "record")), ignorenulls=True).over(earlier)
+    )
+    own_record = F.struct(F.col("split.start"), "record")
     records = (
-        at.join(numbered, "split")
-        .groupBy(F.col("split.file").alias("file"), (F.col("first") + F.col("record")).alias("record"))
+        parts.join(last.select("split", "before"), "split")
+        .groupBy(F.col("split.file").alias("file"), F.when(F.col("record") > 0, own_record).otherwise(F.col("before")).alias("record"))
         .agg(F.sort_array(F.collect_list(F.struct("split.start", "n", "value", "open"))).alias("lines"))
     )
     text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
     closed = F.when(F.element_at("lines", -1)["open"] == 0, text).otherwise(F.raise_error(F.lit("a quote is never closed")).cast("string"))
-    bare = F.regexp_replace(closed, "\r$", "")
+    is_header = (F.col("record.start") == 0) & (F.col("record.record") == 1)
+    joined = records.where(~is_header).select(closed.alias("text"))
+    bare = F.regexp_replace("text", "\r$", "")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = {**_FORMAT, "mode": "FAILFAST", "nullValue": _NULL_MARK, "emptyValue": "", "multiLine": "true"}
     del options["header"]
-    kept = records.where((F.col("record") > 1) & (bare != "")).select(F.from_csv(bare, fields, options).alias("row"))
+    kept = alone.unionByName(joined).where(bare != "").select(F.from_csv(bare, fields, options).alias("row"))
     return kept.select("row.*")
 
 
