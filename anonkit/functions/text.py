@@ -64,9 +64,10 @@ PARTICLES = "de|del|della|da|dos|das|di|du|la|las|le|los|van|von|der|den|ten|ter
 class Rule:
     """A pattern, its label, and a cheap test that every text it matches passes.
 
-    The test is a substring of which one must occur (``needs``), or one or two
+    The test is a substring of which one must occur (``needs``), then one or two
     short patterns without look-around (``hint``, ``second_hint``). Most texts
-    fail it and are spared the slower search.
+    fail it and are spared the slower search. A rule with ``digits`` matches
+    only texts that hold a digit, so the others are not tested for it.
     """
 
     name: str
@@ -76,16 +77,17 @@ class Rule:
     hint: str | None = None
     second_hint: str | None = None
     keeps_group: bool = False
+    digits: bool = True
 
     def applied_to(self, text: Column) -> Column:
         replacement = ("$1" if self.keeps_group else "") + self.label
         return F.regexp_replace(text, self.pattern, replacement)
 
     def may_match(self, text: Column) -> Column:
-        if self.hint:
-            found = text.rlike(self.hint)
-            return found & text.rlike(self.second_hint) if self.second_hint else found
-        return reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in self.needs])
+        tests = [text.rlike(hint) for hint in (self.hint, self.second_hint) if hint]
+        if self.needs:
+            tests.insert(0, reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in self.needs]))
+        return reduce(lambda a, b: a & b, tests)
 
 
 # The rules, in the order they are applied. Accounts and cards come
@@ -109,6 +111,7 @@ RULES = (
         "[EMAIL]",
         rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[\p{{IsLatin}}0-9.-]+[.]\p{{IsLatin}}{{2,}}",
         needs=("@",),
+        digits=False,
     ),
     Rule(
         "ip_address",
@@ -151,24 +154,26 @@ RULES = (
         "address",
         "[ADDRESS]",
         rf"(?=[0-9]){_START}[0-9]++[A-Za-z]? {_WORD} (?:(?!(?:{STREETS}){_END}){_WORD} )*+(?:{STREETS}){_END}(?:, {_WORD})?",
-        hint=rf"(?:{STREETS})",
+        needs=tuple(STREETS.split("|")),
     ),
     Rule(
         "address_street_first",
         "[ADDRESS]",
         rf"{_NOT_IN_WORD}(?:{STREETS_FIRST}) (?:(?:de|del|la|las|los|el) )*+{_WORD}(?: (?:(?:de|del|la|las|los|el) )*+{_WORD})*+,? [0-9]++[A-Za-z]?{_END}",
-        hint=rf"(?:{STREETS_FIRST}) ",
+        needs=tuple(f"{s} " for s in STREETS_FIRST.split("|")),
     ),
     Rule(
         "address_street_inside",
         "[ADDRESS]",
         rf"{_NOT_IN_WORD}\p{{Lu}}\p{{L}}*(?:{STREET_ENDINGS}) [0-9]++[A-Za-z]?{_END}",
+        needs=tuple(f"{s} " for s in STREET_ENDINGS.split("|")),
         hint=rf"(?:{STREET_ENDINGS}) [0-9]",
     ),
     Rule(
         "address_number_first",
         "[ADDRESS]",
         rf"(?=[0-9]){_START}[0-9]++(?: bis| ter)?,? (?:{STREETS_FRENCH}) (?:(?:de|du|des|la|le|les) )*+(?:[dl]')?{_WORD}(?: {_WORD})*+",
+        needs=tuple(f" {s} " for s in STREETS_FRENCH.split("|")),
         hint=rf"[0-9rs],? (?:{STREETS_FRENCH}) ",
     ),
     Rule(
@@ -177,6 +182,7 @@ RULES = (
         rf"{_START}([Mm]y name is ){_WORD}(?: (?:(?:{PARTICLES}) )*+{_WORD})*+",
         needs=("y name is ",),
         keeps_group=True,
+        digits=False,
     ),
     Rule("customer_id", "[ID]", r"CUST-[0-9]{6,}+", needs=("CUST-",)),
     Rule(
@@ -225,7 +231,11 @@ def redact_rules(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     def step(current: Column, rule: Rule) -> Column:
         return _once(current, lambda t: F.when(rule.may_match(t), rule.applied_to(t)).otherwise(t))
 
-    return reduce(step, rules, text)
+    # one test for all of them; no rule puts a digit into a text
+    wordy = tuple(r for r in rules if not r.digits)
+    if len(rules) - len(wordy) < 2:
+        return reduce(step, rules, text)
+    return _once(text, lambda t: F.when(t.rlike("[0-9]"), reduce(step, rules, t)).otherwise(reduce(step, wordy, t)))
 
 
 def _as_token(value: Column) -> Column:

@@ -172,3 +172,25 @@ def test_checksums_of_cards_and_accounts(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(pairs)], "i int, t string")
     got = [r.r for r in df.select("i", redact_valid_cards(df.t).alias("r")).orderBy("i").collect()]
     assert got == list(pairs.values())
+
+
+def test_tests_before_rules_change_no_result(spark):
+    """All rules with their tests, and with the test for digits before them, against the bare patterns in a row."""
+    rng = random.Random(7)
+    parts = ["Calle de Mayor ", "5", "12 ", "34", "Main Street", " ", ".", "DE89 3704 0044 0532 0130 00", "1.2.3.4", "a@b.de", "born on ", "1980-02-03"]
+    parts += ["[DOB] or ", "3 May 1990", "+34 600 123 456", "(0174)-079190", "255.901.0007", "Hauptstraße ", "5 rue ", "de Lille", "my name is ", "Ana Keller"]
+    parts += ["CUST-0000012", "passport ", "123456789", "12345678Z", "\n", ", ", "x", "is the date of birth", "4465 7583 8288 1234", "٣٤"]
+    said = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    df = spark.createDataFrame([(s,) for s in [*said, "", None]], "t string")
+    bare = F.col("t")
+    for rule in text.RULES:
+        bare = rule.applied_to(bare)
+    rows = df.select("t", bare.alias("bare"), text.redact_rules(F.col("t")).alias("tested"))
+    assert rows.where(~F.col("bare").eqNullSafe(F.col("tested"))).collect() == []
+    assert rows.where("bare != t").count() > 1000
+    without = df.where(~F.col("t").rlike("[0-9]"))
+    for rule in text.RULES:
+        assert not rule.digits or without.where(F.col("t").rlike(rule.pattern)).count() == 0
+    numbers = df.select(text.redact_rules(F.col("t"), text.rules_for("[PHONE]")))._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"RLIKE\([^,()]*(?:\([^()]*\))?[^,()]*, \[0-9\]\)|rlike\([^,]*, \[0-9\]\)", numbers, re.I)
+    assert {r.name for r in text.RULES if not r.digits} == {"email", "introduced_name"}
