@@ -109,9 +109,9 @@ def _csv_round_trip(inputs: Inputs, columns: list[str] | None = None) -> DataFra
 
 
 def _csv_read_split(inputs: Inputs) -> DataFrame:
-    """All orders in a file for every two cores, each file read by many tasks."""
-    path, files = inputs.fresh_dir("csv"), max(1, inputs.spark.sparkContext.defaultParallelism // 2)
-    csv.write_csv(inputs.orders().coalesce(files), path, max_records_per_file=0)
+    """All orders in a file for each core, however large; a file is read by many tasks."""
+    path = inputs.fresh_dir("csv")
+    csv.write_csv(inputs.orders().coalesce(inputs.spark.sparkContext.defaultParallelism), path, max_records_per_file=0)
     return csv.read_csv_split(inputs.spark, path)
 
 
