@@ -51,7 +51,7 @@ def value_table(people: DataFrame, columns: tuple[tuple[str, str], ...] = VALUE_
 
 
 def _cut(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"{_WORD}+|{_BETWEEN}+"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(rf"{_WORD}++|{_BETWEEN}++"), F.lit(0))
 
 
 def _forms(core: Column) -> Column:
@@ -121,31 +121,51 @@ def runs(texts: DataFrame, text: str, keys: list[str], values: DataFrame, edits:
     return held.select(*keys, (F.col("_at") + 1).alias("at"), (F.col("_at") + signs).alias("until"), core.alias("core"))
 
 
+def _form_slot() -> Column:
+    return _slot(F.lit("form"), F.col("form"))
+
+
+def _near_a_value(left: DataFrame, forms: DataFrame) -> DataFrame:
+    """``left`` without the words, taken alone, that share no form with a value; all runs of several words stay."""
+    several = F.col("until") > F.col("at")
+    tried = left.withColumn("form", F.explode(F.when(several, F.array("found")).otherwise(_forms(F.col("found")))))
+    return _looked_up(tried, _form_slot(), forms, "_held").where(several | F.col("_held")).drop("form", "_held")
+
+
+def _near(found: DataFrame, values: DataFrame, forms: DataFrame) -> DataFrame:
+    """Each string of ``found`` with the values within one edit. Both are distinct, so few of either share a form."""
+    left = found.select("found", F.explode(_forms(F.col("found"))).alias("form"))
+    left = _looked_up(left, _form_slot(), forms, "_held").where("_held").drop("_held")
+    right = values.select(F.col("core").alias("value"), "label", "lead", F.explode(_forms(F.col("core"))).alias("form"))
+    met = left.join(right, "form").drop("form").distinct()
+    return met.withColumn("distance", F.levenshtein("found", "value")).where("distance <= 1")
+
+
 def finds(texts: DataFrame, text: str, keys: list[str], values: DataFrame, edits: int = 0) -> DataFrame:
     """``keys``, ``at``, ``until``, ``found`` and the ``value`` it stands for, with ``label``, ``lead`` and ``distance``."""
     if edits not in (0, 1):
         raise ValueError("edits must be 0 or 1")
     values = as_table(values, "values")
-    looked_up = runs(texts, text, keys, values, edits)
-    form = (lambda c: F.explode(_forms(c))) if edits else (lambda c: c)
-    left = looked_up.select(*keys, "at", "until", F.col("core").alias("found"), form(F.col("core")).alias("form"))
-    right = values.select(F.col("core").alias("value"), "label", "lead", form(F.col("core")).alias("form"))
-    slot = _slot(F.lit("form"), F.col("form"))
+    left = runs(texts, text, keys, values, edits).withColumnRenamed("core", "found")
+    right = values.select(F.col("core").alias("found"), F.col("core").alias("value"), "label", "lead", F.lit(0).alias("distance"))
+    if edits:
+        forms = _bits(values.select(F.explode(_forms(F.col("core"))).alias("form")).select(_form_slot().alias("slot")))
+        left = as_table(_near_a_value(left, forms), "candidates")
+        right = as_table(_near(left.select("found").distinct(), values, forms), "near")
+    slot = _slot(F.lit("found"), F.col("found"))
     left = _looked_up(left, slot, _bits(right.select(slot.alias("slot"))), "_held").where("_held").drop("_held")
     left = as_table(left, "runs")  # texts are cut once
-    # how often each form that a value has is looked up: a row per form, however many texts hold it
-    counted = as_table(left.groupBy("form").count().join(right.select("form").distinct(), "form", "left_semi"), "lookups")
+    # how often each string that stands for a value is found: a row per string, however many texts hold it
+    counted = as_table(left.groupBy("found").count().join(right.select("found").distinct(), "found", "left_semi"), "lookups")
     total = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    hot = counted.where(F.col("count") * HOT_SHARE > total).select("form", F.lit(True).alias("hot"))  # HOT_SHARE rows at most
+    hot = counted.where(F.col("count") * HOT_SHARE > total).select("found", F.lit(True).alias("hot"))  # HOT_SHARE rows at most
     spread = F.pmod(F.xxhash64(*keys, "at"), F.lit(SALTS)).cast("int")
-    left = left.join(F.broadcast(hot), "form", "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
-    right = right.join(F.broadcast(hot), "form", "left").withColumn(
+    left = left.join(F.broadcast(hot), "found", "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
+    right = right.join(F.broadcast(hot), "found", "left").withColumn(
         "salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     )
-    met = left.drop("hot").join(right.drop("hot"), ["form", "salt"])
-    distance = F.levenshtein("found", "value") if edits else F.lit(0)
-    close = met.withColumn("distance", distance).where(F.col("distance") <= edits)
-    return close.select(*keys, "at", "until", "found", "value", "label", "lead", "distance").distinct()
+    met = left.drop("hot").join(right.drop("hot"), ["found", "salt"])
+    return met.select(*keys, "at", "until", "found", "value", "label", "lead", "distance").distinct()
 
 
 def redact_values(

@@ -139,3 +139,21 @@ def test_runs_one_edit_away_only(spark):
     assert pairs == {"Bob", "Stone", "met", "Eve", "Hill", "Hilton"}  # of one word, where the edit may be anywhere
     found = {(r.found, r.value, r.distance) for r in D.finds(texts(spark, said), "note", ["id"], table, edits=1).collect()}
     assert found == {("Ana-Keller", "Ana Keller", 1), ("Juan  Carlos Núñez", "Juan Carlos Núñez", 1), ("Madona", "Madonna", 1)}
+
+
+def test_a_find_is_one_row_however_many_forms_it_has(spark, monkeypatch):
+    written = {}
+
+    def counted(df, label, as_table=D.as_table):
+        out = as_table(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(D, "as_table", counted)
+    table = D.value_table(people(spark, [(None, "Ana Keller", None), (None, "Madonna", None)]), COLUMNS)
+    said = ["Ana Keller and Ana Keler"] * 5 + ["Ana met Bob Keller"] * 4
+    found = D.finds(texts(spark, said), "note", ["id"], table, edits=1).collect()
+    assert len(found) == written["runs"] == 10
+    assert written["lookups"] == written["near"] == 2
+    hot = D.finds(texts(spark, ["Madona", "Maddona", "madonna"] * 3), "note", ["id"], table, edits=1).collect()
+    assert {(r.found, r.value) for r in hot} == {("Madona", "Madonna"), ("madonna", "Madonna")} and len(hot) == 6

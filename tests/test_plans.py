@@ -98,3 +98,8 @@ def test_a_filter_on_redacted_text_keeps_the_plan_small(orders):
     redacted = redact_column(orders.select("customer_notes"), "customer_notes", "r")
     text = plan(redacted.where((F.col("r") != F.col("customer_notes")) & F.col("r").isNotNull()))
     assert len(text) < 200_000
+
+
+def test_notes_are_derived_once(spark, sf_dir):
+    plan = Inputs(spark, sf_dir).texts()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("called from") == 1
