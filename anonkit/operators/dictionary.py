@@ -6,7 +6,8 @@ is shuffled, bit tables of a fixed size leave out runs that start as no value do
 more than a thousandth of all finds are dealt out by salts. Finds go back to their texts and are replaced by position.
 
 With one edit allowed, a run and a value meet if they are equal after one sign is left out of each (or of none): any two strings within
-one insertion, deletion or replacement share such a form. The edit distance of each meeting is then computed. Edits that
+one insertion, deletion or replacement share such a form. The edit distance of each meeting is then computed. This is done for each
+distinct string among the runs, not for each run; the runs are joined with the outcome as with the values themselves. Edits that
 add or remove a whole separator change the number of words and are not found. Any other edit leaves the first or the second word as it is.
 """
 

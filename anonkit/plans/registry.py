@@ -66,7 +66,7 @@ class Inputs:
             "text",
         )
         # not a filter: Spark would put that below the join as well, and derive each note three times
-        some = F.explode(F.filter(F.array("customer_notes"), lambda note: note != ""))
+        some = F.explode(F.when(F.col("customer_notes") != "", F.array("customer_notes")))
         notes = self.orders().select(
             F.lit("note").alias("kind"), F.col("order_id").alias("text_id"), F.lit("en").alias("lang"), some.alias("text")
         )
