@@ -18,6 +18,8 @@ from anonkit.sources.scratch import fresh_dir
 from anonkit.sources.tables import read_test_table
 
 SALTS = 16
+BATCH_BYTES = 1 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
@@ -46,6 +48,16 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches end at ``BATCH_BYTES``, unless the session has a limit of its own.
+
+    Spark's other limit counts rows (10,000): with whole texts a batch grows with their length, in the worker, in the
+    JVM's buffers, and in the rows that wait there for the worker's answer. No result depends on where batches end.
+    """
+    if spark.conf.get(_BATCH_LIMIT, None) is None:
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return read_test_table(spark, sf_dir, name)
@@ -131,7 +143,7 @@ def quiet_tokenizers() -> None:
     os.environ["RAYON_NUM_THREADS"] = "1"
 
 
-__all__ = ["F", "map_rows", "own_columns", "pa_schema", "quiet_tokenizers", "salted_join", "table", "tokenizer_path", "written"]
+__all__ = ["F", "bound_batches", "map_rows", "own_columns", "pa_schema", "quiet_tokenizers", "salted_join", "table", "tokenizer_path", "written"]
 
 
 # Byte to byte: A-Z become a-z; a-z, digits and all bytes of non-ASCII characters stay; the rest parts words.

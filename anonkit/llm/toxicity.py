@@ -42,6 +42,7 @@ DRAG = 1.0
 THRESHOLD = 0.3
 REACH = 64  # words
 _MEMO_WORDS = 200_000
+COUNTED_FEATURES = 100_000
 
 
 def chain(word: str) -> list[str]:
@@ -179,25 +180,39 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     return written(sample.select("key", "text", "toxic", curve.alias("curve"), weight), "toxic")
 
 
-def feature_scores(sample: DataFrame, base: float, most_features: int) -> dict[str, float]:
-    """Log-odds of the features that say something other than their prior; the clearest ``most_features``."""
+def feature_scores(
+    sample: DataFrame, base: float, most_features: int, counted_features: int = COUNTED_FEATURES
+) -> dict[str, float]:
+    """Log-odds of the features that say something other than their prior; the clearest ``most_features``.
+
+    A task hands its counts on when they are of over ``counted_features`` features.
+    """
     target = pa_schema("root string, feature string, toxic double, n double")
     kept = pa_schema("feature string, score double, weight double")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic: defaultdict[str, float] = defaultdict(float)
+        n: defaultdict[str, float] = defaultdict(float)
+
+        def counted() -> pa.RecordBatch:
+            names = list(n)
+            root = [f[: PREFIXES[0]] for f in names]
+            columns = (root, names, [toxic.get(f, 0.0) for f in names], list(n.values()))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+
         for batch in batches:
-            toxic: defaultdict[str, float] = defaultdict(float)
-            n: defaultdict[str, float] = defaultdict(float)
             for text, bad, weight in zip(*(batch.column(k).to_pylist() for k in ("text", "toxic", "weight")), strict=True):
                 words = [w.decode("utf-8", "replace") for w in set(words_of(text))]
                 for feature in {f for w in words for f in chain(w)}:
                     n[feature] += weight
                     if bad:
                         toxic[feature] += weight
-            names = list(n)
-            root = [f[: PREFIXES[0]] for f in names]
-            columns = (root, names, [toxic.get(f, 0.0) for f in names], list(n.values()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+            if len(n) > counted_features:
+                yield counted()
+                toxic.clear()
+                n.clear()
+        if n:
+            yield counted()
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic: defaultdict[str, float] = defaultdict(float)

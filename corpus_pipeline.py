@@ -5,36 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from anonkit.llm import decontaminate, packing, quality, simhash, toxicity
-from anonkit.llm.common import ship_package, table, written
+from anonkit.llm.common import bound_batches, ship_package, table, written
+
+
+def ready(spark: SparkSession) -> None:
+    """What each stage needs of the session: the package on the executors, and batches of texts bounded by bytes."""
+    ship_package(spark)
+    bound_batches(spark)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the maximum-scoring segments do not show as toxic."""
-    ship_package(spark)
+    ready(spark)
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the scorer, taught by the weak labels, takes for good."""
-    ship_package(spark)
+    ready(spark)
     return quality.drop_junk(docs, quality.fit(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts that fingerprints of four-word shingles within four bits join."""
-    ship_package(spark)
+    ready(spark)
     return simhash.keep_one_per_group(docs, "doc_id", "text")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window with a benchmark item."""
-    ship_package(spark)
+    ready(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
-    ship_package(spark)
+    ready(spark)
     return packing.pack_documents(docs, "doc_id", "text")
 
 
