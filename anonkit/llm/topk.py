@@ -7,8 +7,10 @@ a negative weight adds the complement. The sum is a bit-sliced score. Going from
 down gives the value that k rows reach; all rows that could pass it given the dropped low bits are the
 boundary rows, and their scores are computed exactly. So the result is exact for any number of slices.
 
-Query blocks meet vector blocks in an equi-join on block numbers; each pair is one unit of work with
-bounded memory. Each gives at most k rows per query, which are ranked once more.
+The vectors are dealt into parts of bounded size, each to a partition of its own, where they come first and become one
+bit-sliced block; the queries come to each part behind them, row by row, and are searched a few hundred at a time. So
+a task holds one part and one batch of queries, no row holds more than one vector, and what is shuffled is each
+vector once, and each query and its k best once a part. The k best of all parts are ranked once more.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without id, take no
 part; shorter vectors are filled up with zeros; scores are exact, and a component of more than 61 bits after scaling or
@@ -19,6 +21,7 @@ each, with a ranking each under that id; ties go to the smaller id; an empty tab
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +29,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from anonkit.llm.common import pa_schema, written
+from anonkit.llm.common import bound_batches, pa_schema
 
 SLICES = 6
+PART_BYTES = 1 << 26
 _LIMIT = 2.0**61
+_WIDE = 640
+
+
+def whole(values: np.ndarray, scale: float) -> np.ndarray:
+    """``floor(scale * x)`` of each component."""
+    out = np.floor(scale * values)
+    if out.size and np.abs(out).max() >= _LIMIT:
+        raise OverflowError("a component has more than 61 bits after scaling")
+    return out.astype(np.int64)
 
 
 def scaled(vectors: list[list[float]], scale: float) -> np.ndarray:
@@ -38,10 +51,7 @@ def scaled(vectors: list[list[float]], scale: float) -> np.ndarray:
     out = np.zeros((len(vectors), width))
     for row, vector in zip(out, vectors, strict=True):
         row[: len(vector)] = vector
-    out = np.floor(scale * out)
-    if out.size and np.abs(out).max() >= _LIMIT:
-        raise OverflowError("a component has more than 61 bits after scaling")
-    return out.astype(np.int64)
+    return whole(out, scale)
 
 
 def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -66,13 +76,14 @@ class BitSlices:
         low, high = int(rows.min()), int(rows.max())
         self.bits = count
         self.shift = max(0, (high - low).bit_length() - count)
-        lead = ((rows - low) >> self.shift).astype(np.uint64)
         words = -(-len(rows) // 64)
         self.slices = np.zeros((rows.shape[1], count, words), np.uint64)
-        for bit in range(count):
-            flags = np.zeros((rows.shape[1], words * 64), np.uint8)
-            flags[:, : len(rows)] = ((lead >> np.uint64(bit)) & np.uint64(1)).T
-            self.slices[:, bit] = np.packbits(flags, axis=1, bitorder="little").view(np.uint64)
+        flags = np.zeros(words * 64, np.uint8)
+        for j in range(rows.shape[1]):
+            lead = (rows[:, j].astype(np.int64) - low) >> self.shift
+            for bit in range(count):
+                flags[: len(rows)] = (lead >> bit) & 1
+                self.slices[j, bit] = np.packbits(flags, bitorder="little").view(np.uint64)
         valid = np.zeros(words * 64, np.uint8)
         valid[: len(rows)] = 1
         self.valid = np.packbits(valid, bitorder="little").view(np.uint64)
@@ -82,25 +93,31 @@ class BitSlices:
         weight = np.abs(queries).astype(np.uint64)
         negative = np.where(queries < 0, np.uint64(2**64 - 1), np.uint64(0))
         top = int(weight.max()).bit_length()
-        masks = [np.where((weight >> np.uint64(b)) & np.uint64(1), np.uint64(2**64 - 1), np.uint64(0)) for b in range(top)]
+        ones = [(weight >> np.uint64(b)) & np.uint64(1) != 0 for b in range(top)]
+        masks = [np.where(one, np.uint64(2**64 - 1), np.uint64(0)) for one in ones]
+        some = [one.any(axis=0).tolist() for one in ones]
+        every = [one.all(axis=0).tolist() for one in ones]
         waiting: list[list[np.ndarray]] = [[] for _ in range(top + self.bits + queries.shape[1].bit_length() + 2)]
 
         def add(column: int, bitmap: np.ndarray) -> None:
             waiting[column].append(bitmap)
-            if len(waiting[column]) == 3:  # full adder
+            while len(waiting[column]) == 3:  # full adder
                 x, y, z = waiting[column]
                 either = x ^ y
                 waiting[column] = [either ^ z]
-                add(column + 1, (x & y) | (z & either))
+                either &= z
+                either |= x & y
+                column += 1
+                waiting[column].append(either)
 
         for j in range(queries.shape[1]):
-            if not weight[:, j].any():
+            set_bits = [b for b in range(top) if some[b][j]]
+            if not set_bits:
                 continue
             for bit in range(self.bits):
                 slice_ = self.slices[j, bit][None, :] ^ negative[:, j, None]
-                for b in range(top):
-                    if masks[b][:, j].any():
-                        add(b + bit, slice_ & masks[b][:, j, None])
+                for b in set_bits:
+                    add(b + bit, slice_ if every[b][j] else slice_ & masks[b][:, j, None])
         empty = np.zeros((len(queries), len(self.valid)), np.uint64)
         out = []
         for column in range(len(waiting) - 1):
@@ -136,8 +153,14 @@ class BitSlices:
         flags = np.unpackbits((greater | equal).view(np.uint8), axis=1, bitorder="little")
         return np.nonzero(flags[:, : len(self.ids)])
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, batch: int = 32) -> tuple[np.ndarray, ...]:
-        """Number of the query, row id and exact score of each query's ``k`` best rows here, without its own."""
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, batch: int | None = None) -> tuple[np.ndarray, ...]:
+        """Number of the query, row id and exact score of each query's ``k`` best rows here, without its own.
+
+        ``batch`` queries are added up at once: by default one in a large block, where only its own bits are added, and
+        more in a small one, whose bitmaps are short.
+        """
+        words = len(self.valid)
+        batch = batch or (1 if words >= _WIDE else min(32, 8192 // words))
         width = min(queries.shape[1], self.rows.shape[1])
         padded = np.zeros((len(queries), self.rows.shape[1]), np.int64)
         padded[:, :width] = queries[:, :width]
@@ -151,7 +174,8 @@ class BitSlices:
             asked = query_ids[part][q]
             other = self.ids[row] != asked
             q, row = q[other], row[other]
-            parts = [exact_products(padded[part][q[i : i + 65536]], self.rows[row[i : i + 65536]]) for i in range(0, len(q), 65536)]
+            pieces = [slice(i, i + 65536) for i in range(0, len(q), 65536)]
+            parts = [exact_products(padded[part][q[i]], self.rows[row[i]].astype(np.int64)) for i in pieces]
             score = np.concatenate([np.zeros(0, np.int64), *parts])
             order = np.lexsort((self.ids[row], -score, q))
             q, row, score = q[order], row[order], score[order]
@@ -168,12 +192,63 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return vectors.where(known).select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
 
 
-def build_index(rows: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
-    """The vectors in blocks of about ``block_rows``, written as a table; repeated rows are spread as all others."""
-    count = max(1, -(-rows.count() // block_rows))
-    block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(count)).cast("int")
-    blocks = rows.withColumn("block", block).groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    return written(blocks, "bitslices"), count
+def extent(rows: DataFrame) -> tuple[int, int, float]:
+    """Number of rows, the longest vector's length, and the largest size of a component."""
+    size = F.greatest(F.abs(F.array_max("v")), F.abs(F.array_min("v")))
+    count, width, most = rows.agg(F.count("*"), F.max(F.size("v")), F.max(size)).first()
+    return count, max(1, width or 1), most or 0.0
+
+
+def pack(rows: DataFrame, columns: list[str], scale: float, kind: np.dtype) -> DataFrame:
+    """``columns`` of the rows, and ``packed``: the scaled vector as integers of this kind, one behind the other."""
+    schema = ", ".join(f"{c} bigint" for c in columns) + ", packed binary"
+    target = pa_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column("v")
+            values = whole(vectors.flatten().to_numpy(zero_copy_only=False), scale)
+            short = values.astype(kind)
+            if (short != values).any():
+                raise OverflowError("a component is larger than all were when they were measured")
+            ends = vectors.offsets.to_numpy().astype(np.int64)
+            ends = ((ends - ends[0]) * kind.itemsize).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(vectors), [None, pa.py_buffer(ends), pa.py_buffer(short)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), packed], schema=target)
+
+    return rows.select(*columns, "v").mapInArrow(run, schema)
+
+
+def unpacked(packed: pa.BinaryArray, kind: np.dtype) -> np.ndarray:
+    """Integer rows, filled up with zeros to the longest."""
+    ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1] // kind.itemsize
+    data = packed.buffers()[2]
+    values = np.frombuffer(data, kind)[ends[0] : ends[-1]] if data is not None and data.size else np.zeros(0, kind)
+    lengths = np.diff(ends)
+    width = max(1, int(lengths.max()))
+    if (lengths == width).all():
+        return values.reshape(len(lengths), width)
+    out = np.zeros((len(lengths), width), kind)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    out[row, np.arange(len(values)) - (ends[:-1] - ends[0])[row]] = values
+    return out
+
+
+def stacked(pieces: list[np.ndarray]) -> np.ndarray:
+    """The rows of all pieces, filled up with zeros to the longest; the list is emptied on the way."""
+    out = np.zeros((sum(map(len, pieces)), max(p.shape[1] for p in pieces)), pieces[0].dtype)
+    end = len(out)
+    while pieces:
+        piece = pieces.pop()
+        out[end - len(piece) : end, : piece.shape[1]] = piece
+        end -= len(piece)
+    return out
+
+
+def count_parts(count: int, width: int, itemsize: int, block_rows: int, cores: int) -> int:
+    """Parts of the vectors: none over ``PART_BYTES`` on average; some for each core, unless they get smaller than ``block_rows``."""
+    largest = max(1, PART_BYTES // (8 + width * (itemsize + 1)))
+    return max(1, -(-count // largest), min(-(-count // block_rows), 2 * cores))
 
 
 def top_k(
@@ -188,30 +263,57 @@ def top_k(
     query_rows: int = 512,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` greatest inner products of each query."""
-    index, blocks = build_index(usable(vectors, key, vector), block_rows)
+    spark = vectors.sparkSession
+    bound_batches(spark)
+    rows = usable(vectors, key, vector)
     asked = usable(queries, key, vector).distinct().withColumn("name", F.xxhash64("id", "v"))
-    groups = max(1, -(-asked.count() // query_rows))
-    batches = asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("batch")).agg(
-        F.collect_list(F.struct("id", "v", "name")).alias("asked")
+    count, width, most = extent(rows)
+    questions, _, asked_most = extent(asked)
+    if not (count and questions):  # nothing is scaled then
+        rows, asked = rows.where(F.lit(False)), asked.where(F.lit(False))
+    bits = math.ceil(min(abs(scale) * max(most, asked_most), _LIMIT)).bit_length() + 1
+    kind = np.dtype(np.int16 if bits <= 16 else np.int32 if bits <= 32 else np.int64)
+    parts = count_parts(count, width, kind.itemsize, block_rows, spark.sparkContext.defaultParallelism)
+
+    # repeated rows are spread as all others
+    part = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(parts)).cast("int")
+    dealt = pack(rows, ["id"], scale, kind).select(
+        part.alias("part"), F.lit(False).alias("asks"), "id", F.lit(0).cast("bigint").alias("name"), "packed"
     )
-    met = batches.select("batch", "asked", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    target = pa_schema("query_id bigint, asked bigint, vec_id bigint, score bigint")
+    each = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    asks = pack(asked, ["id", "name"], scale, kind).select(each.alias("part"), F.lit(True).alias("asks"), "id", "name", "packed")
+    together = dealt.unionByName(asks).repartitionById(parts, "part").sortWithinPartitions("part", "asks")
+    schema = "query_id bigint, asked bigint, vec_id bigint, score bigint"
+    target = pa_schema(schema)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def table(values: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-            return np.array([r["id"] for r in values], np.int64), scaled([r["v"] for r in values], scale)
-
+        at, ids, held, index = None, [], [], None
         for batch in batches:
-            for i in range(batch.num_rows):
-                values = batch.column("asked")[i].as_py()
-                ids, vectors = table(values)
-                names = np.array([r["name"] for r in values], np.int64)
-                query, row, score = BitSlices(*table(batch.column("rows")[i].as_py())).search(ids, vectors, k)
-                columns = (ids[query], names[query], row, score)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=target)
-
-    pairs = index.join(met, "block").repartition(min(blocks * groups, 4096), "block", "batch")
-    found = pairs.select("rows", "asked").mapInArrow(search, "query_id bigint, asked bigint, vec_id bigint, score bigint")
+            turns = batch.column("part").to_numpy() * 2 + batch.column("asks").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(turns)) + 1).tolist(), len(turns)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if start == stop:
+                    continue
+                piece = batch.slice(start, stop - start)
+                number, asking = divmod(int(turns[start]), 2)
+                if number != at:
+                    at, ids, held, index = number, [], [], None
+                if not asking:
+                    ids.append(piece.column("id").to_numpy().copy())
+                    held.append(unpacked(piece.column("packed"), kind).copy())
+                    continue
+                if held:
+                    index = BitSlices(np.concatenate(ids), stacked(held))
+                if index is None:  # a part without vectors
+                    continue
+                for i in range(0, stop - start, query_rows):
+                    some = piece.slice(i, query_rows)
+                    names, own = some.column("name").to_numpy(), some.column("id").to_numpy()
+                    query, row, score = index.search(own, unpacked(some.column("packed"), kind).astype(np.int64), k)
+                    columns = (own[query], names[query], row, score)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=target)
+
+    found = together.mapInArrow(search, schema)
     order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

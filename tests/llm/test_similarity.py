@@ -306,3 +306,50 @@ def test_top_k_of_one_id_with_two_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id = 1"), k=1).collect())
     assert got == [(1, 1, 2, 256 * 768), (1, 1, 3, 256 * 768)]
+
+
+def test_top_k_moves_single_vectors(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = topk.top_k(df, df.where("vec_id % 10 = 0"), block_rows=40, query_rows=7)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Join" not in plan  # no row grows with a block, no block is copied for a batch
+    assert {tuple(r) for r in found.collect()} == brute_search(rows, [r for r in rows if r[0] % 10 == 0], 5)
+
+
+def test_parts_are_bounded_by_bytes():
+    for count, width, itemsize in [(10**9, 64, 2), (10**6, 1024, 8), (10**6, 10**6, 8)]:
+        parts = topk.count_parts(count, width, itemsize, 8192, 6)
+        assert -(-count // parts) * width * itemsize <= max(topk.PART_BYTES, width * itemsize)
+    assert topk.count_parts(300, 5, 2, 40, 6) == 8 and topk.count_parts(0, 1, 2, 40, 6) == 1
+    assert topk.count_parts(10**5, 64, 2, 8192, 6) == 12
+
+
+@pytest.mark.parametrize("size", [1.0, 1e3, 1e8])
+def test_search_in_parts_of_vectors_of_many_lengths(spark, size):
+    rng = np.random.default_rng(int(size))
+    rows = [(i, [float(x) * size for x in rng.integers(-3, 4, rng.integers(0, 9))]) for i in range(400)]
+    asked = [(1000 + i, [float(x) for x in rng.integers(-2, 3, rng.integers(0, 7))]) for i in range(30)]
+    kind = "vec_id bigint, embedding array<double>"
+    got = {tuple(r) for r in topk.top_k(spark.createDataFrame(rows, kind), spark.createDataFrame(asked, kind), block_rows=1, query_rows=4).collect()}
+    assert got == brute_search(rows, asked, 5)
+
+
+@pytest.mark.parametrize("count", [700, 50_000])
+def test_blocks_of_any_width_hold_the_best(count):
+    rng = np.random.default_rng(count)
+    rows = rng.integers(-100, 101, (count, 12)).astype(np.int16)
+    queries = rng.integers(-60, 61, (5, 12))
+    ids = rng.permutation(count)
+    query, row, score = topk.BitSlices(ids, rows).search(np.array([0, 1, 2, count, count + 1]), queries, 5)
+    for q, vector in enumerate(queries):
+        values = rows.astype(np.int64) @ vector
+        best = [i for i in np.lexsort((ids, -values)) if ids[i] != q or q > 2][:5]
+        assert row[query == q].tolist() == ids[best].tolist() and score[query == q].tolist() == values[best].tolist()
+
+
+def test_top_k_of_no_queries_or_no_vectors_scales_nothing(spark):
+    df = spark.createDataFrame([(1, [1e17, 0.0]), (2, [1e308])], "vec_id bigint, embedding array<double>")
+    assert topk.top_k(df, df.limit(0)).count() == 0 and topk.top_k(df.limit(0), df).count() == 0
+    with pytest.raises(Exception, match="61 bits"):
+        topk.top_k(df, df).collect()
