@@ -2,7 +2,7 @@
 
 Vectors are integers (``floor(scale * x)``). The index holds them in blocks of bounded size. In a block the
 leading bits of each component are bitmaps over the block's rows: one slice per component and bit. A
-query adds the slices, weighted by its components, with carry-save bitmap arithmetic, many queries at once;
+query adds the slices, weighted by its components, with carry-save bitmap arithmetic, all slices of a component at once;
 a negative weight adds the complement. The sum is a bit-sliced score. Going from its most significant slice
 down gives the value that k rows reach; all rows that could pass it given the dropped low bits are the
 boundary rows, and their scores are computed exactly. So the result is exact for any number of slices.
@@ -34,7 +34,7 @@ from anonkit.llm.common import bound_batches, pa_schema
 SLICES = 6
 PART_BYTES = 1 << 26
 _LIMIT = 2.0**61
-_WIDE = 640
+_WORDS = 8192
 
 
 def whole(values: np.ndarray, scale: float) -> np.ndarray:
@@ -69,7 +69,10 @@ def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 class BitSlices:
-    """Slices of one block: ``slices[component, bit]`` is a bitmap over rows in 64-bit words."""
+    """Slices of one block: ``slices[tile, component, bit]`` is a bitmap over a tile's rows in 64-bit words.
+
+    A tile is as many words as keep the slices of a few components in the processor's cache.
+    """
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, count: int = SLICES):
         self.ids, self.rows = ids, rows
@@ -77,57 +80,74 @@ class BitSlices:
         self.bits = count
         self.shift = max(0, (high - low).bit_length() - count)
         words = -(-len(rows) // 64)
-        self.slices = np.zeros((rows.shape[1], count, words), np.uint64)
+        tiles = -(-words // max(1, _WORDS // count))
+        size = -(-words // tiles)
+        words = tiles * size
+        self.slices = np.zeros((tiles, rows.shape[1], count, size), np.uint64)
         flags = np.zeros(words * 64, np.uint8)
         for j in range(rows.shape[1]):
             lead = (rows[:, j].astype(np.int64) - low) >> self.shift
             for bit in range(count):
                 flags[: len(rows)] = (lead >> bit) & 1
-                self.slices[j, bit] = np.packbits(flags, bitorder="little").view(np.uint64)
+                self.slices[:, j, bit] = np.packbits(flags, bitorder="little").view(np.uint64).reshape(tiles, size)
         valid = np.zeros(words * 64, np.uint8)
         valid[: len(rows)] = 1
         self.valid = np.packbits(valid, bitorder="little").view(np.uint64)
 
-    def sums(self, queries: np.ndarray) -> list[np.ndarray]:
+    def sums(self, queries: np.ndarray) -> np.ndarray:
         """Bit-sliced scores of all rows for each query, up to a constant per query; least significant first."""
-        weight = np.abs(queries).astype(np.uint64)
-        negative = np.where(queries < 0, np.uint64(2**64 - 1), np.uint64(0))
-        top = int(weight.max()).bit_length()
-        ones = [(weight >> np.uint64(b)) & np.uint64(1) != 0 for b in range(top)]
-        masks = [np.where(one, np.uint64(2**64 - 1), np.uint64(0)) for one in ones]
-        some = [one.any(axis=0).tolist() for one in ones]
-        every = [one.all(axis=0).tolist() for one in ones]
-        waiting: list[list[np.ndarray]] = [[] for _ in range(top + self.bits + queries.shape[1].bit_length() + 2)]
-
-        def add(column: int, bitmap: np.ndarray) -> None:
-            waiting[column].append(bitmap)
-            while len(waiting[column]) == 3:  # full adder
-                x, y, z = waiting[column]
-                either = x ^ y
-                waiting[column] = [either ^ z]
-                either &= z
-                either |= x & y
-                column += 1
-                waiting[column].append(either)
-
-        for j in range(queries.shape[1]):
-            set_bits = [b for b in range(top) if some[b][j]]
-            if not set_bits:
-                continue
-            for bit in range(self.bits):
-                slice_ = self.slices[j, bit][None, :] ^ negative[:, j, None]
-                for b in set_bits:
-                    add(b + bit, slice_ if every[b][j] else slice_ & masks[b][:, j, None])
-        empty = np.zeros((len(queries), len(self.valid)), np.uint64)
-        out = []
-        for column in range(len(waiting) - 1):
-            if len(waiting[column]) == 2:  # half adder
-                x, y = waiting[column]
-                waiting[column] = [x ^ y]
-                add(column + 1, x & y)
-            out.append(waiting[column][0] if waiting[column] else empty)
+        top = int(np.abs(queries).max()).bit_length()
+        out = np.zeros((top + self.bits + queries.shape[1].bit_length() + 2, len(queries), len(self.valid)), np.uint64)
+        size = self.slices.shape[-1]
+        for number, query in enumerate(queries.tolist()):
+            for at, tile in enumerate(self.slices):
+                self._add_up(tile, query, out[:, number, at * size : (at + 1) * size])
         return out
 
+    def _add_up(self, tile: np.ndarray, query: list[int], out: np.ndarray) -> None:
+        """The bit-sliced scores of a tile's rows for one query."""
+        stacks: list[list[np.ndarray]] = []  # by weight: slices of components, or of their sums and carries
+
+        def add(waiting: list[list[np.ndarray]], weight: int, bitmap: np.ndarray) -> None:
+            while True:
+                while len(waiting) <= weight:
+                    waiting.append([])
+                waiting[weight].append(bitmap)
+                if len(waiting[weight]) < 3:
+                    return
+                x, y, z = waiting[weight]  # full adder
+                bitmap = x ^ y
+                waiting[weight] = [bitmap ^ z]
+                bitmap &= z
+                bitmap |= x & y
+                weight += 1
+
+        def settle(waiting: list[list[np.ndarray]]) -> None:
+            weight = 0
+            while weight < len(waiting):
+                if len(waiting[weight]) == 2:  # half adder
+                    x, y = waiting[weight]
+                    waiting[weight] = [x ^ y]
+                    add(waiting, weight + 1, x & y)
+                weight += 1
+
+        for j, component in enumerate(query):
+            if component:
+                slices = ~tile[j] if component < 0 else tile[j]
+                for b in range(component.bit_length()):
+                    if abs(component) >> b & 1:
+                        add(stacks, b, slices)
+        settle(stacks)
+        columns: list[list[np.ndarray]] = []
+        for weight, held in enumerate(stacks):
+            for stack in held:
+                for bit in range(self.bits):
+                    add(columns, weight + bit, stack[bit])
+        settle(columns)
+        for column, held in zip(out, columns):  # columns beyond are empty: no sum has so many bits
+            if held:
+                column[:] = held[0]
+
     def candidates(self, queries: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Query and row numbers of a set that holds each query's ``k`` best rows."""
         sums = self.sums(queries)
@@ -156,11 +176,9 @@ class BitSlices:
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, batch: int | None = None) -> tuple[np.ndarray, ...]:
         """Number of the query, row id and exact score of each query's ``k`` best rows here, without its own.
 
-        ``batch`` queries are added up at once: by default one in a large block, where only its own bits are added, and
-        more in a small one, whose bitmaps are short.
+        ``batch`` queries go down the slices of their scores at once, by default more in a smaller block.
         """
-        words = len(self.valid)
-        batch = batch or (1 if words >= _WIDE else min(32, 8192 // words))
+        batch = batch or max(1, min(32, _WORDS // len(self.valid)))
         width = min(queries.shape[1], self.rows.shape[1])
         padded = np.zeros((len(queries), self.rows.shape[1]), np.int64)
         padded[:, :width] = queries[:, :width]
